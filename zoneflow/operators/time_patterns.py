@@ -71,26 +71,36 @@ def pattern_violations(documents: DataFrame, key: str, text: str) -> DataFrame:
     document. Values are read as variants, so a wrong type is seen instead of turned into NULL.
     All rules of a level are checked by narrow expressions; nothing is shuffled.
     """
-    parsed = documents.select(F.col(key), F.try_parse_json(F.col(text)).alias("doc")).select(
+    parsed = documents.select(key, F.try_parse_json(F.col(text)).alias("doc")).select(
         key,
-        _kind(F.col("doc")).alias("doc_kind"),
-        _get("doc", "time_patterns", "variant").alias("listed"),
-        _get("doc", "default", "variant").alias("default"),
+        _is_object("doc").alias("is_object"),
+        _get("doc", "time_patterns").alias("listed"),
+        _get("doc", "default").alias("default"),
     )
-    checked = parsed.select(
+    listed = parsed.select(key, "is_object", "default", _items("listed").alias("patterns"))
+    checked = listed.select(
         key,
+        F.col("patterns"),
         _found(
-            _rule(~_is(F.col("doc_kind"), "OBJECT"), "config_not_object"),
-            _rule(_is(F.col("doc_kind"), "OBJECT")
-                  & F.coalesce(F.size(_items("listed")) < 1, F.lit(True)), "patterns_not_list"),
+            _rule(~F.col("is_object"), "config_not_object"),
+            _rule(F.col("is_object") & ~_holds(F.size("patterns") > 0), "patterns_not_list"),
             *_factor_rules(F.col("default"), F.lit("default"), F.col("default").isNotNull()),
         ).alias("doc_rules"),
-        _items("listed").alias("patterns"),
     )
-    whole = checked.select(key, F.lit(None).cast("int").alias("pattern_index"),
-                           F.explode("doc_rules").alias("found"))
-    each = _pattern_rules(checked.select(key, F.posexplode("patterns").alias("pattern_index", "pattern")), key)
-    return whole.unionByName(each).select(key, "pattern_index", "found.rule", "found.detail")
+    each = checked.select(key, "doc_rules", F.posexplode_outer("patterns").alias("pattern_index", "pattern"))
+    fields = each.select(
+        key, "doc_rules", "pattern_index",
+        (F.col("pattern_index").isNotNull() & ~_is_object("pattern")).alias("no_object"),
+        _is_object("pattern").alias("is_object"),
+        *[_get("pattern", name).alias(name) for name in _FIELDS],
+    )
+    # rules on the whole document are reported once, with its first pattern
+    first = F.coalesce(F.col("pattern_index"), F.lit(0)) == 0
+    found = fields.select(key, F.explode(F.concat(
+        F.when(first, _at(F.lit(None), F.col("doc_rules"))).otherwise(F.array()),
+        _at(F.col("pattern_index"), _pattern_rules()),
+    )).alias("found"))
+    return found.select(key, "found.pattern_index", "found.rule", "found.detail")
 
 
 def require_valid(documents: DataFrame, key: str, text: str) -> None:
@@ -102,71 +112,69 @@ def require_valid(documents: DataFrame, key: str, text: str) -> None:
         ))
 
 
-def _pattern_rules(patterns: DataFrame, key: str) -> DataFrame:
-    fields = patterns.select(
-        key, "pattern_index",
-        _kind(F.col("pattern")).alias("kind"),
-        *[_get("pattern", name, "variant").alias(name) for name in _FIELDS],
-    )
-    is_object = _is(F.col("kind"), "OBJECT")
+def _pattern_rules() -> Column:
+    """Broken rules of one pattern, whose four fields are columns."""
+    is_object = F.col("is_object")
     has = {name: is_object & F.col(name).isNotNull() for name in _FIELDS}
-    day = _text("day_type")
+    day, hours = _text("day_type"), _items("hours")
     factors = F.expr("map_entries(try_variant_get(zone_type_multipliers, '$', 'map<string, variant>'))")
     rules = _found(
-        _rule(~is_object, "pattern_not_object"),
+        _rule(F.col("no_object"), "pattern_not_object"),
         *[_rule(is_object & F.col(name).isNull(), "missing_field", F.lit(name)) for name in _FIELDS],
         _rule(has["pattern_id"] & ~_holds(F.length(_text("pattern_id")) > 0), "pattern_id_not_text"),
         _rule(has["day_type"] & ~_holds(day.isin(*DAY_TYPES)), "unknown_day_type", day),
-        _rule(has["hours"] & ~_holds(F.size(_items("hours")) > 0), "hours_not_list"),
+        _rule(has["hours"] & ~_holds(F.size(hours) > 0), "hours_not_list"),
         _rule(has["zone_type_multipliers"] & ~_holds(F.size(factors) > 0), "multipliers_not_object"),
     )
     bad_hours = F.transform(
-        F.filter(_items("hours"), lambda hour: ~_holds(
-            _is(_kind(hour), "BIGINT") & F.try_variant_get(hour, "$", "int").between(0, 23))),
+        F.filter(hours, lambda hour: ~_holds(
+            (_kind(hour) == "BIGINT") & F.try_variant_get(hour, "$", "long").between(0, 23))),
         lambda hour: _violation("invalid_hour", F.to_json(hour)),
     )
     bad_factors = F.flatten(F.transform(factors, lambda entry: _found(
         _rule(F.length(entry["key"]) < 1, "empty_zone_type"),
         *_factor_rules(entry["value"], entry["key"], F.lit(True)),
     )))
-    found = F.concat(rules, F.coalesce(bad_hours, _none()), F.coalesce(bad_factors, _none()))
-    return fields.select(key, "pattern_index", F.explode(found).alias("found"))
+    return F.concat(rules, F.coalesce(bad_hours, F.array()), F.coalesce(bad_factors, F.array()))
 
 
 _FIELDS = ("pattern_id", "day_type", "hours", "zone_type_multipliers")
-_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
 def _factor_rules(value: Column, context: Column, applies: Column) -> list[Column]:
-    is_object = _is(_kind(value), "OBJECT")
+    is_object = F.try_variant_get(value, "$", "map<string, variant>").isNotNull()
     rules = [_rule(applies & ~is_object, "factors_not_object", context)]
     for name in ("demand_factor", "supply_factor"):
         factor = F.try_variant_get(value, f"$.{name}", "variant")
-        number = F.when(_is(_kind(factor), *_NUMBERS), F.try_variant_get(factor, "$", "double"))
-        rules.append(_rule(applies & is_object & ~_holds(number > 0), "factor_not_positive",
+        positive = _is_number(_kind(factor)) & (F.try_variant_get(factor, "$", "double") > 0)
+        rules.append(_rule(applies & is_object & ~_holds(positive), "factor_not_positive",
                            F.concat(context, F.lit(f".{name}"))))
     return rules
 
 
 def _kind(value: Column) -> Column:
+    """Type name of a scalar variant."""
     return F.schema_of_variant(value)
 
 
-def _is(kind: Column, *names: str) -> Column:
-    """Whether a variant's type is one of ``names``, without the parameters in brackets."""
-    return _holds(F.regexp_extract(kind, "^[A-Z]+", 0).isin(*names))
+def _is_number(kind: Column) -> Column:
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
+def _is_object(column: str) -> Column:
+    return F.try_variant_get(F.col(column), "$", "map<string, variant>").isNotNull()
 
 
 def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _get(column: str, name: str, kind: str) -> Column:
-    return F.try_variant_get(F.col(column), f"$.{name}", kind)
+def _get(column: str, name: str) -> Column:
+    return F.try_variant_get(F.col(column), f"$.{name}", "variant")
 
 
 def _text(column: str) -> Column:
-    return F.when(_is(_kind(F.col(column)), "STRING"), F.try_variant_get(F.col(column), "$", "string"))
+    return F.when(_kind(F.col(column)) == "STRING", F.try_variant_get(F.col(column), "$", "string"))
 
 
 def _items(column: str) -> Column:
@@ -186,5 +194,7 @@ def _found(*rules: Column) -> Column:
     return F.filter(F.array(*rules), lambda rule: rule.isNotNull())
 
 
-def _none() -> Column:
-    return F.array().cast("array<struct<rule:string,detail:string>>")
+def _at(index: Column, violations: Column) -> Column:
+    """Violations with the position of their pattern."""
+    return F.transform(violations, lambda v: F.struct(
+        index.cast("int").alias("pattern_index"), v["rule"].alias("rule"), v["detail"].alias("detail")))

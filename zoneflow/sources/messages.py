@@ -9,16 +9,16 @@ from zoneflow import schemas
 from zoneflow.functions.time import parse_time
 
 
-def decode_events(raw: DataFrame) -> DataFrame:
+def decode_events(raw: DataFrame, fields: tuple[str, ...] = tuple(schemas.EVENT.fieldNames())) -> DataFrame:
     """Event fields and topic of every message that names a zone.
 
     Malformed JSON and null values decode to all-NULL rows, so the zone test removes them too.
-    ``received_at`` is the envelope's timestamp, where there is one.
+    ``received_at`` is the envelope's timestamp, where there is one. ``fields`` limits what is
+    parsed to what the caller uses.
     """
     received = [F.col("timestamp").alias("received_at")] if "timestamp" in raw.columns else []
-    event = F.from_json(F.col("value").cast("string"), schemas.EVENT).alias("event")
-    decoded = raw.select("topic", event, *received)
-    return decoded.select("topic", "event.*", *decoded.columns[2:]).where("h3_zone IS NOT NULL")
+    schema = schemas.T.StructType([schemas.EVENT[name] for name in fields])
+    return _parsed(raw, schema, "topic", *received)
 
 
 def encode_events(events: DataFrame) -> DataFrame:
@@ -54,7 +54,17 @@ def encode_pricing(pricing: DataFrame, calculated_at: Column | None = None, keep
 
 def decode_pricing(raw: DataFrame) -> DataFrame:
     """Price messages back to typed rows."""
-    price = F.from_json(F.col("value").cast("string"), schemas.PRICE_MESSAGE).alias("price")
-    return raw.select(price).select("price.*").where("h3_zone IS NOT NULL").withColumns(
+    return _parsed(raw, schemas.PRICE_MESSAGE).withColumns(
         {name: parse_time(F.col(name)) for name in ("window_start", "window_end", "calculated_at")}
     )
+
+
+def _parsed(raw: DataFrame, schema: schemas.T.StructType, *envelope: str | Column) -> DataFrame:
+    """Parse the message value and keep the rows that name a zone.
+
+    A filter on a plain ``from_json`` column is pushed below it and parses every message a second
+    time. ``inline`` of a one-element array yields the same columns, and the filter stays above.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    kept = raw.select(*envelope, F.inline(F.array(parsed)))
+    return kept.where("h3_zone IS NOT NULL")

@@ -25,7 +25,7 @@ def pricing_stream(events: DataFrame, params: PricingParams = PricingParams()) -
 
 def pricing_messages(raw: DataFrame, params: PricingParams = PricingParams(), on_bad: str = "now") -> DataFrame:
     """Event messages in, price messages out."""
-    events = with_event_time(decode_events(raw), on_bad)
+    events = with_event_time(decode_events(raw, ("timestamp", "h3_zone", "status")), on_bad)
     return encode_pricing(pricing_stream(events, params), F.col("calculated_at"))
 
 
