@@ -1,0 +1,133 @@
+"""Messages, event time, recent points, counts and tails."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from zoneflow.operators import events
+from zoneflow.sources import messages
+
+NOW = datetime(2026, 4, 24, 9)
+
+
+def decode(spark, values, **columns):
+    raw = spark.createDataFrame([("ride_requests", v) for v in values], "topic string, value string")
+    return messages.decode_events(raw)
+
+
+def test_decode(spark):
+    good = {"event_id": "1", "timestamp": "2026-04-24T08:00:01.123456+00:00", "lat": 1.5, "lon": 2, "h3_zone": "z",
+            "status": "available"}
+    values = [json.dumps(good), "not json", "[1]", None, json.dumps(good | {"lat": "abc"}),
+              json.dumps(good | {"h3_zone": ""}), json.dumps(good | {"h3_zone": 7}),
+              json.dumps({k: v for k, v in good.items() if k != "h3_zone"}),
+              json.dumps(good | {"user_id": "user_00001", "generosity": 0.5})]
+    rows = decode(spark, values).collect()
+    assert [r.h3_zone for r in rows] == ["z", "z", "", "7", "z"]
+    assert rows[0].asDict() == good | {"topic": "ride_requests", "lon": 2.0}
+    assert rows[1].lat is None and rows[1].lon == 2.0
+
+
+def test_envelope_time_becomes_received_at(spark):
+    raw = spark.createDataFrame([("t", NOW, '{"h3_zone":"a"}')], "topic string, timestamp timestamp, value string")
+    [row] = messages.decode_events(raw).collect()
+    assert row.received_at == NOW and row.timestamp is None
+
+
+@pytest.mark.parametrize("text, want", [
+    ("2026-04-24T08:00:01.123456+00:00", datetime(2026, 4, 24, 8, 0, 1, 123456)),
+    ("2026-04-24T08:00:01Z", datetime(2026, 4, 24, 8, 0, 1)),
+    ("2026-04-24T08:00:01+02:00", datetime(2026, 4, 24, 6, 0, 1)),
+    ("2026-04-24T08:00:01", datetime(2026, 4, 24, 8, 0, 1)),
+    ("", NOW), (None, NOW), ("garbage", NOW),
+])
+def test_event_time(spark, text, want):
+    df = spark.createDataFrame([(text,)], "timestamp string")
+    assert events.with_event_time(df, now=F.lit(NOW)).first().event_time == want
+    kept = events.with_event_time(df, "drop").collect()
+    assert [r.event_time for r in kept] == ([] if want == NOW else [want])
+
+
+def test_event_time_falls_back_to_the_clock(spark):
+    df = spark.createDataFrame([("garbage",)], "timestamp string")
+    assert events.with_event_time(df).first().event_time > datetime(2026, 1, 1)
+    with pytest.raises(ValueError):
+        events.with_event_time(df, "guess")
+
+
+def test_event_messages_round_trip(spark):
+    rows = [("ride_requests", "1", "2026-04-24T08:00:00Z", 1.25, -2.5, "a", None),
+            ("driver_updates", "2", "2026-04-24T08:00:00Z", None, 3.0, "b", "busy")]
+    df = spark.createDataFrame(rows, "topic string, event_id string, timestamp string, lat double, lon double, "
+                                     "h3_zone string, status string")
+    sent = messages.encode_events(df)
+    assert [r.key for r in sent.collect()] == ["a", "b"]
+    assert "status" not in json.loads(sent.first().value)
+    assert messages.decode_events(sent).collect() == df.collect()
+
+
+def test_price_messages(spark):
+    rows = [("a", NOW, NOW + timedelta(seconds=15), 5, 0, None, 1.5)]
+    df = spark.createDataFrame(rows, "h3_zone string, window_start timestamp, window_end timestamp, demand_count int, "
+                                     "available_driver_count int, pressure double, price_multiplier double")
+    stamp = F.lit(NOW).cast("timestamp")
+    [sent] = messages.encode_pricing(df, stamp).collect()
+    assert sent.key == "a"
+    assert json.loads(sent.value) == {
+        "h3_zone": "a", "window_start": "2026-04-24 09:00:00", "window_end": "2026-04-24 09:00:15", "demand_count": 5,
+        "available_driver_count": 0, "price_multiplier": 1.5, "calculated_at": "2026-04-24 09:00:00"}
+    [whole] = messages.encode_pricing(df, stamp, keep_nulls=True).collect()
+    assert json.loads(whole.value)["pressure"] is None
+    [back] = messages.decode_pricing(messages.encode_pricing(df, stamp)).collect()
+    assert tuple(back) == rows[0] + (NOW,)
+    assert "calculated_at" in json.loads(messages.encode_pricing(df).first().value)
+
+
+def some_events(spark):
+    at = lambda s: NOW - timedelta(seconds=s)
+    return spark.createDataFrame([
+        ("ride_requests", at(10), at(9), 1.0, 2.0, "a", None),
+        ("ride_requests", at(60), at(9), None, 2.0, "a", None),
+        ("driver_updates", at(-30), at(9), 1.0, 2.0, "b", "available"),
+        ("driver_updates", at(61), at(9), 1.0, 2.0, "b", "busy"),
+        ("driver_updates", None, at(9), 1.0, 2.0, "c", "busy"),
+        ("driver_updates", None, at(90), 1.0, 2.0, "d", "busy"),
+    ], "topic string, event_time timestamp, received_at timestamp, lat double, lon double, h3_zone string, status string")
+
+
+def test_recent_events(spark):
+    recent = events.recent_events(some_events(spark), NOW, 60)
+    assert [r.h3_zone for r in recent.collect()] == ["a", "a", "b", "c"]
+    assert tuple(events.event_counts(recent).first()) == (2, 2)
+    assert [(r.h3_zone, r.status, r.color) for r in events.event_points(recent, "driver_updates").collect()] == [
+        ("b", "available", [35, 170, 85, 180]), ("c", "busy", [120, 120, 120, 150])]
+    assert [(r.lat, r.lon, r.h3_zone, r.status) for r in events.event_points(recent, "ride_requests").collect()] == [
+        (1.0, 2.0, "a", "request")]
+
+
+def test_recent_filter_reaches_the_scan(spark, tmp_path):
+    some_events(spark).write.parquet(str(tmp_path / "events"))
+    plan = events.recent_events(spark.read.parquet(str(tmp_path / "events")), NOW)._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(GreaterThanOrEqual(event_time," in plan
+
+
+def test_union_and_ticks(spark):
+    requests = spark.createDataFrame([(NOW, "a", 1.5)], "event_time timestamp, h3_zone string, ride_distance double")
+    updates = spark.createDataFrame([(NOW, "a", "busy")], "event_time timestamp, h3_zone string, status string")
+    both = events.union_topics(requests, updates)
+    assert {(r.topic, r.ride_distance, r.status) for r in both.collect()} == {
+        ("ride_requests", 1.5, None), ("driver_updates", None, "busy")}
+    assert [tuple(r) for r in events.tick_totals(both).collect()] == [(NOW, 1, 1)]
+
+
+def test_tail_counts_offsets_not_rows(spark):
+    rows = [("t", 0, o) for o in range(100) if o % 2] + [("t", 1, o) for o in range(3)] + [("u", 0, 7)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    kept = {tuple(r) for r in events.tail(df, 10).collect()}
+    assert kept == {("t", 0, o) for o in (91, 93, 95, 97, 99)} | {("t", 1, o) for o in range(3)} | {("u", 0, 7)}
+    assert events.tail(df.limit(0), 10).count() == 0
+    assert events.tail(df, 0).count() == 0

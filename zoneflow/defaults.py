@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zoneflow import schemas
 
@@ -92,9 +94,17 @@ TIME_PATTERNS = (
 
 
 def time_patterns(spark: SparkSession) -> TimePatterns:
-    """The shipped time patterns as a local table of six rows."""
-    schema = schemas.T.StructType([schemas.T.StructField("pattern_index", schemas.T.IntegerType()),
-                                   *schemas.TIME_PATTERN.fields])
-    rows = [(index, name, day, list(hours), factors)
-            for index, (name, day, hours, factors) in enumerate(TIME_PATTERNS)]
-    return TimePatterns(spark.createDataFrame(rows, schema))
+    """The shipped time patterns.
+
+    They are parsed from a literal, so Catalyst knows how small the table is; rows handed over from
+    Python would have no size and would not be broadcast.
+    """
+    names = schemas.FACTORS.fieldNames()
+    rows = [
+        {"pattern_id": name, "day_type": day, "hours": hours,
+         "zone_type_multipliers": {kind: dict(zip(names, pair)) for kind, pair in factors.items()}}
+        for name, day, hours, factors in TIME_PATTERNS
+    ]
+    listed = F.from_json(F.lit(json.dumps(rows)), schemas.T.ArrayType(schemas.TIME_PATTERN))
+    patterns = spark.range(0, 1, 1, 1).select(F.posexplode(listed).alias("pattern_index", "pattern"))
+    return TimePatterns(patterns.select("pattern_index", "pattern.*"))
