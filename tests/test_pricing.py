@@ -134,5 +134,7 @@ def test_compaction_and_latest(spark):
     assert {(r.h3_zone, r.demand_count, r.pressure) for r in compact.collect()} == {
         ("a", 2, None), ("a", 5, 3.0), ("b", 9, 4.0)}
     assert {(r.h3_zone, r.demand_count) for r in pricing.latest_pricing(log).collect()} == {("a", 5), ("b", 9)}
+    assert {(r.h3_zone, r.demand_count) for r in pricing.latest_pricing(pricing.compact_updates(log)).collect()} == {
+        ("a", 5), ("b", 9)}
     closed = pricing.latest_pricing(log, datetime(2026, 4, 24, 8, 0, 15))
     assert {(r.h3_zone, r.demand_count) for r in closed.collect()} == {("a", 2), ("b", 9)}

@@ -156,7 +156,7 @@ def test_latest_price_stream(spark, tmp_path):
 
 def test_chaining_the_latest_price_behind_the_windows_is_refused(spark, tmp_path):
     put(tmp_path / "in", 0, [(1, "A")])
-    chained = live.latest_by_zone(live.pricing_stream(decoded(spark, tmp_path / "in"), PARAMS))
+    chained = pricing.latest_pricing(live.pricing_stream(decoded(spark, tmp_path / "in"), PARAMS))
     with pytest.raises(AnalysisException):
         streams.table_sink(chained, str(tmp_path / "o"), str(tmp_path / "c")).trigger(availableNow=True).start()
 

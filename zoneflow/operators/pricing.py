@@ -71,16 +71,22 @@ def compact_updates(updates: DataFrame) -> DataFrame:
 
 
 def latest_pricing(pricing: DataFrame, closed_before: datetime | Column | None = None) -> DataFrame:
-    """The newest window of every zone, in its newest version.
+    """The newest window of every zone; of an update log, that window's newest version.
 
-    ``closed_before`` ignores windows that are still filling at that time.
+    ``closed_before`` ignores windows that are still filling at that time. Also runs as a stream, as
+    a query of its own over the price topic: Spark refuses it behind the windowed aggregation in
+    update mode. State is one row per zone.
+
+    A log is ordered by (window end, calculation time) in one aggregation: each task sends one row
+    per zone, where folding versions first would shuffle nearly the whole log.
     """
     if closed_before is not None:
         limit = closed_before if isinstance(closed_before, Column) else F.lit(closed_before)
         pricing = pricing.where(F.col("window_end") <= limit)
-    if "calculated_at" in pricing.columns:
-        pricing = compact_updates(pricing)
-    return _newest(pricing, ("h3_zone",), "window_end")
+    if "calculated_at" not in pricing.columns:
+        return _newest(pricing, ("h3_zone",), "window_end")
+    newest = F.max_by(F.struct(*pricing.columns), F.struct("window_end", "calculated_at"))
+    return pricing.groupBy("h3_zone").agg(newest.alias("latest")).select("latest.*")
 
 
 def _newest(df: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:

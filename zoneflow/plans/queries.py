@@ -20,7 +20,7 @@ from zoneflow.session import new_folder
 from zoneflow.sources import messages
 from zoneflow.sources.streams import table_sink
 from zoneflow.sources.zones import field_gaps
-from zoneflow.streaming.pricing import latest_by_zone, pricing_stream, run_to_end
+from zoneflow.streaming.pricing import pricing_stream, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -301,7 +301,7 @@ def stream_latest_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(prices).drop("batch_id").schema
     log = spark.readStream.schema(schema).parquet(f"{prices}/*")
     out = new_folder(spark, "latest")
-    run_to_end(table_sink(latest_by_zone(log), out, new_folder(spark, "latest-checkpoint")))
+    run_to_end(table_sink(pricing.latest_pricing(log), out, new_folder(spark, "latest-checkpoint")))
     latest = pricing.latest_pricing(spark.read.parquet(out).drop("batch_id"))
     return ntz(latest, "window_start", "window_end").drop("calculated_at")
 

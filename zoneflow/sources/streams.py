@@ -45,6 +45,13 @@ def read_event_stream(spark: SparkSession, params: PricingParams = PricingParams
     return spark.readStream.format("kafka").options(**settings).load()
 
 
+def read_price_stream(spark: SparkSession, params: PricingParams = PricingParams(),
+                      servers: str = BOOTSTRAP_SERVERS, **options: object) -> DataFrame:
+    """The topic that the pricing stream writes."""
+    settings = kafka_options(servers, [params.pricing_topic], **options)
+    return spark.readStream.format("kafka").options(**settings).load()
+
+
 def read_file_stream(spark: SparkSession, path: str, max_per_trigger: int | None = None) -> DataFrame:
     """The same envelopes from JSON files that appear below ``path``."""
     reader = spark.readStream.schema(schemas.ENVELOPE)

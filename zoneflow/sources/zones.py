@@ -39,13 +39,19 @@ def read_zones(spark: SparkSession, path: str, required: tuple[str, ...] = RATE_
 
 def read_map_zones(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Fields for the map in cell order; no rows when the table is not there."""
-    try:
-        return spark.read.format(fmt).load(path).select(*MAP_FIELDS).orderBy("h3_zone")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    fields = [field for field in schemas.ZONE.fields if field.name in MAP_FIELDS]
-    return spark.createDataFrame([], schemas.T.StructType(fields)).select(*MAP_FIELDS)
+    zones = _load(spark, path, fmt)
+    if zones is None:
+        zones = spark.createDataFrame([], schemas.ZONE)
+    return zones.select(*MAP_FIELDS).orderBy("h3_zone")
+
+
+def read_snapshot(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """The newest version of the dimension and its number; (no rows, 0) before the first one."""
+    versions = _load(spark, root, "parquet")
+    if versions is None:
+        return spark.createDataFrame([], schemas.ZONE), 0
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == newest).drop("version"), newest
 
 
 def write_snapshot(zones: DataFrame, root: str, version: int) -> str:
@@ -53,3 +59,12 @@ def write_snapshot(zones: DataFrame, root: str, version: int) -> str:
     path = f"{root.rstrip('/')}/version={version}"
     zones.write.mode("error").parquet(path)
     return path
+
+
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from zoneflow.operators.events import with_event_time
-from zoneflow.operators.pricing import zone_window_pricing
+from zoneflow.operators.pricing import latest_pricing, zone_window_pricing
 from zoneflow.params import PricingParams
 from zoneflow.sources.messages import decode_events, decode_pricing, encode_pricing
 
@@ -30,18 +30,8 @@ def pricing_messages(raw: DataFrame, params: PricingParams = PricingParams(), on
 
 
 def latest_pricing_stream(price_messages: DataFrame) -> DataFrame:
-    """The latest price per zone as a second stream, over the topic the first one writes.
-
-    Spark refuses a second aggregation behind the first in update mode, so this is its own query.
-    State is one row per zone.
-    """
-    return latest_by_zone(decode_pricing(price_messages))
-
-
-def latest_by_zone(pricing: DataFrame) -> DataFrame:
-    """One aggregation instead of the batch form's two, as update mode needs."""
-    newest = F.max_by(F.struct(*pricing.columns), F.struct("window_end", "calculated_at"))
-    return pricing.groupBy("h3_zone").agg(newest.alias("latest")).select("latest.*")
+    """The latest price per zone as a second stream, over the topic the first one writes."""
+    return latest_pricing(decode_pricing(price_messages))
 
 
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
