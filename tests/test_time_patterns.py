@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from zoneflow.defaults import TIME_PATTERNS, Factors, TimePatterns, time_patterns
+from zoneflow.defaults import TIME_PATTERNS, Factors, time_patterns
 from zoneflow.functions.time import day_type
 from zoneflow.operators import time_patterns as patterns
 from zoneflow.sources.config import load_time_patterns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.defaults import Factors, TimePatterns
+from zoneflow.defaults import TimePatterns
 from zoneflow.functions.time import day_type, local_time
 
 DAY_TYPES = ("weekday", "weekend")

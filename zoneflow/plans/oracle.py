@@ -40,10 +40,10 @@ def multiplier(d: str, s: str, p: PricingParams = DAILY) -> str:
             f"1 + {p.pressure_weight}::DOUBLE * tanh({d}::DOUBLE / {s}::DOUBLE - 1))) END")
 
 
-def priced(source: str, more: str = "") -> str:
+def priced(source: str) -> str:
     d, s = "demand_count", "available_driver_count"
     return (f"SELECT h3_zone, window_start, window_end, {d}, {s}, {pressure(d, s)} AS pressure, "
-            f"{multiplier(d, s)} AS price_multiplier{more} FROM {source}")
+            f"{multiplier(d, s)} AS price_multiplier FROM {source}")
 
 
 def windows(p: PricingParams) -> str:
@@ -61,10 +61,10 @@ counts AS (
 prices AS ({priced('counts')})"""
 
 
-def latest(source: str, where: str = "") -> str:
+def latest(source: str, where: str = "", more: str = "") -> str:
     return f"""
 latest AS (
-  SELECT {PRICE_COLUMNS} FROM {source} {where}
+  SELECT {PRICE_COLUMNS}{more} FROM {source} {where}
   QUALIFY row_number() OVER (PARTITION BY h3_zone ORDER BY window_end DESC) = 1)"""
 
 
@@ -244,9 +244,7 @@ ORACLE: dict[str, str] = {
         f"WITH {windows(DAILY)}, {latest('prices', 'WHERE window_end <= (SELECT max(ts) FROM events)')} "
         "SELECT * FROM latest",
     "pricing_update_log_compacted": f"WITH {UPDATE_LOG} SELECT * FROM compacted",
-    "latest_of_update_log":
-        f"WITH {UPDATE_LOG}, {latest('compacted').replace('price_multiplier FROM', 'price_multiplier, calculated_at FROM')} "
-        "SELECT * FROM latest",
+    "latest_of_update_log": f"WITH {UPDATE_LOG}, {latest('compacted', more=', calculated_at')} SELECT * FROM latest",
     "pricing_message_round_trip":
         f"WITH {windows(DAILY)} SELECT *, TIMESTAMP '2024-02-01' AS calculated_at FROM prices",
     "events_decoded": f"WITH {DECODED}",
@@ -307,5 +305,8 @@ SELECT count(*) AS tracked_zones, coalesce(sum(demand_count), 0)::BIGINT AS tota
   round(coalesce(avg(price_multiplier), 1.0), 9) AS average_multiplier,
   round(avg(center_lat), 9) AS center_lat, round(avg(center_lon), 9) AS center_lon FROM board""",
     "stream_zone_pricing": f"WITH {windows(DAILY)} SELECT * FROM prices",
+    "stream_closed_windows":
+        f"WITH {windows(DAILY)} SELECT * FROM prices "
+        f"WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {DAILY.window_seconds} SECOND",
     "stream_latest_pricing": f"WITH {windows(DAILY)}, {latest('prices')} SELECT * FROM latest",
 }

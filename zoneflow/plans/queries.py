@@ -279,12 +279,12 @@ def board_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams: files in, update log out, folded at the end
 
 
-def stream_prices(spark: SparkSession, sf_dir: str) -> str:
-    """Run the pricing stream over the events table to its end; returns the folder of its update log."""
+def stream_prices(spark: SparkSession, sf_dir: str, mode: str = "update") -> str:
+    """Run the pricing stream over the events table to its end; returns the folder it wrote."""
     source = spark.readStream.schema(read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
     table = as_feed(source).withColumn("event_time", F.col("event_time").cast("timestamp"))
     out = new_folder(spark, "prices")
-    run_to_end(table_sink(pricing_stream(table, DAILY), out, new_folder(spark, "prices-checkpoint")))
+    run_to_end(table_sink(pricing_stream(table, DAILY), out, new_folder(spark, "prices-checkpoint"), mode))
     return out
 
 
@@ -294,6 +294,13 @@ def stream_zone_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(pricing.compact_updates(log), "window_start", "window_end").drop("calculated_at")
 
 
+@query
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: each window once, after the watermark has passed its end."""
+    closed = spark.read.parquet(stream_prices(spark, sf_dir, "append"))
+    return ntz(closed, "window_start", "window_end").drop("batch_id", "calculated_at")
+
+
 @query
 def stream_latest_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second stream over the first one's update log."""

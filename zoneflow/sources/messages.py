@@ -21,12 +21,13 @@ def decode_events(raw: DataFrame, fields: tuple[str, ...] = tuple(schemas.EVENT.
     return _parsed(raw, schema, "topic", *received)
 
 
-def encode_events(events: DataFrame) -> DataFrame:
+def encode_events(events: DataFrame, *more: str) -> DataFrame:
     """Events as messages keyed by zone; NULL fields are left out of the JSON."""
     return events.select(
         "topic",
         F.col("h3_zone").alias("key"),
         F.to_json(F.struct(*schemas.EVENT.fieldNames())).alias("value"),
+        *more,
     )
 
 
