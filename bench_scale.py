@@ -43,7 +43,7 @@ def timed(label: str, rows: int, df: DataFrame) -> None:
 
 
 def stream_trial(spark: SparkSession, events: DataFrame, folder: str) -> None:
-    """15 s / 5 s windows over JSON messages of ten minutes, in ten-second files, one per batch."""
+    """15 s / 5 s windows over JSON messages of ten minutes, in ten-second files, ten per batch."""
     second = F.pmod(F.xxhash64("event_id", F.lit(2)), F.lit(600))
     iso = F.date_format(F.timestamp_seconds(second + 1_700_000_000), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     slot = F.floor(second / 10).cast("int")
@@ -56,7 +56,7 @@ def stream_trial(spark: SparkSession, events: DataFrame, folder: str) -> None:
                 age = 1_700_000_000 + int(directory[5:])
                 os.utime(f"{folder}/in/{directory}/{name}", (age, age))
     start = time.perf_counter()
-    raw = read_file_stream(spark, f"{folder}/in/slot=*", max_per_trigger=1)
+    raw = read_file_stream(spark, f"{folder}/in/slot=*", max_per_trigger=10)
     query = run_to_end(table_sink(pricing_messages(raw, PricingParams()), f"{folder}/out", f"{folder}/checkpoint"))
     seconds, rows = time.perf_counter() - start, records_read(query)
     state = max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators)
@@ -86,7 +86,7 @@ def main() -> None:
                                      ("24 windows, panes", HOURLY, True)):
             timed(f"{name}: {label}", rows, pricing.zone_window_pricing(feed, params, panes))
         timed(f"{name}: latest price", rows, pricing.latest_pricing(pricing.zone_window_pricing(feed, DAILY)))
-    timed("dense: 24 windows", rows, pricing.zone_window_pricing(feed, HOURLY))
+    timed("dense: 24 windows", rows, pricing.zone_window_pricing(feed, HOURLY, False))
     few = as_feed(spark.read.parquet("/root/testdata/sf0.1/events.parquet")
                   .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(29))))
                   .withColumn("event_id", F.col("event_id") + F.col("copy") * 1_000_000))

@@ -29,13 +29,23 @@ def test_no_python_and_no_products(spark, name):
         assert forbidden not in text
 
 
-def test_flagship_combines_before_its_only_shuffle(spark):
-    text = plan(pricing.zone_window_pricing(feed(spark, SF_DIR), DAILY))
+def test_spread_windows_are_combined_before_the_only_shuffle(spark):
+    text = plan(pricing.zone_window_pricing(feed(spark, SF_DIR), DAILY, panes=False))
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Exchange") == 1
     assert text.index("HashAggregate") < text.index("Exchange") < text.index("partial_sum") < text.index("Expand")
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
 
 
+def test_flagship_spreads_panes_after_its_last_shuffle(spark):
+    text = plan(pricing.zone_window_pricing(feed(spark, SF_DIR), DAILY))
+    assert "Expand" not in text and text.count("Exchange") == 2
+    windows, by_block, by_pane = text.split("Exchange")
+    assert "explode(sequence(" in windows and "partial_sum" in windows
+    assert by_block.strip().startswith("hashpartitioning(block") and "partial_sum" not in by_block
+    assert "partial_sum" in by_pane
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+
+
 def test_newest_rows_are_hash_aggregated(spark):
     text = plan(pricing.latest_pricing(pricing.zone_window_pricing(feed(spark, SF_DIR), DAILY)))
     assert "SortAggregate" not in text and "Sort [" not in text

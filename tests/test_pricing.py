@@ -88,8 +88,8 @@ def brute_force(rows, params):
     return {(zone, start, *pair) for (zone, start), pair in counts.items()}
 
 
-@pytest.mark.parametrize("window, slide", [(15, 5), (15, 15), (14, 4), (60, 1)])
-@pytest.mark.parametrize("panes", [False, True])
+@pytest.mark.parametrize("window, slide", [(15, 5), (15, 15), (14, 4), (60, 1), (7, 3)])
+@pytest.mark.parametrize("panes", [False, True, None])
 def test_windows_against_brute_force(spark, window, slide, panes):
     """One zone holds a third of all events."""
     params = PricingParams(window_seconds=window, slide_seconds=slide)
@@ -138,3 +138,16 @@ def test_compaction_and_latest(spark):
         ("a", 5), ("b", 9)}
     closed = pricing.latest_pricing(log, datetime(2026, 4, 24, 8, 0, 15))
     assert {(r.h3_zone, r.demand_count) for r in closed.collect()} == {("a", 2), ("b", 9)}
+
+
+def test_wall_clock_times_outside_utc_are_still_aligned(spark):
+    """In a zone half an hour off, wall-clock seconds would shift the slides; the plain form is used."""
+    hour = PricingParams(window_seconds=7200, slide_seconds=3600)
+    rows = [(datetime(2026, 4, 24, 8, 10), PARAMS.ride_topic, None, "a")]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = events_of(spark, rows).withColumn("event_time", F.lit(rows[0][0].isoformat()).cast("timestamp_ntz"))
+        starts = {r.window_start for r in pricing.zone_window_pricing(df, hour).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert starts == {datetime(2026, 4, 24, 7), datetime(2026, 4, 24, 8)}

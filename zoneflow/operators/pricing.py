@@ -6,35 +6,80 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.functions.pricing import multiplier, pressure
 from zoneflow.operators.events import with_indicators
 from zoneflow.params import PricingParams
 
+INCREMENTS = ("demand_increment", "available_driver_increment")
 COUNTS = ("demand_count", "available_driver_count")
+BLOCK_WINDOWS = 8  # windows per block of the pane form: one pane in eight goes to two blocks
 
 
 def aggregate_zone_windows(events: DataFrame, params: PricingParams = PricingParams(),
-                           panes: bool = False) -> DataFrame:
+                           panes: bool | None = None) -> DataFrame:
     """Demand and available supply per sliding window and zone.
 
     ``events`` carries ``event_time``, ``h3_zone`` and the two indicators. A zone with only busy
     drivers yields a 0/0 row, a silent zone none. Sums are combined before the shuffle, so a zone
     that holds a third of the events sends one row per window and task.
 
-    ``panes=True`` (batch only) first sums each event into the one tumbling pane it lies in and then
-    spreads panes over their windows. Every event is expanded once instead of window/slide times.
+    Overlapping windows in batch are summed by ``panes`` unless that is turned off: each event goes
+    into the one tumbling pane it lies in, and panes instead of events are spread over the windows.
+    A stream spreads events, as its state has to be keyed by window.
     """
-    time, demand, supply = "event_time", "demand_increment", "available_driver_increment"
+    if panes is None:
+        panes = not events.isStreaming and _has_panes(events, params)
     if panes:
-        events = (
-            events.groupBy(F.window(time, f"{params.pane_seconds} seconds").alias("pane"), "h3_zone")
-            .agg(F.sum(demand).alias(demand), F.sum(supply).alias(supply))
-            .withColumn(time, F.col("pane.start"))
-        )
-    return events.groupBy(F.window(time, params.window, params.slide), "h3_zone").agg(
-        F.sum(demand).cast("int").alias(COUNTS[0]), F.sum(supply).cast("int").alias(COUNTS[1])
+        return _windows_of_panes(events, params)
+    return events.groupBy(F.window("event_time", params.window, params.slide), "h3_zone").agg(*_count(*INCREMENTS))
+
+
+def _windows_of_panes(events: DataFrame, params: PricingParams) -> DataFrame:
+    """Sliding windows from pane sums.
+
+    Panes are shuffled once more, by zone and block of time, and only then spread over their windows:
+    a block holds all panes of its windows (the few panes before it are sent to both blocks), so the
+    spread rows are summed where they are made. Blocks also cut a hot zone into even pieces.
+    """
+    demand, supply = INCREMENTS
+    kind = events.schema["event_time"].dataType
+    window, slide = params.window_seconds, params.slide_seconds
+
+    def floor(seconds: Column, step: int) -> Column:
+        return seconds - F.pmod(seconds, F.lit(step))
+
+    def block(seconds: Column) -> Column:
+        return floor(seconds, BLOCK_WINDOWS * window)
+
+    pane = F.window("event_time", f"{params.pane_seconds} seconds").alias("pane")
+    sums = events.groupBy(pane, "h3_zone").agg(F.sum(demand).alias(demand), F.sum(supply).alias(supply))
+    # whole seconds from here on: cheaper than adding intervals to timestamps
+    covered = sums.withColumn("at", F.unix_timestamp("pane.start")).select(
+        "h3_zone", demand, supply,
+        floor(F.col("at") - window + slide, slide).alias("first"), floor(F.col("at"), slide).alias("last"),
+    )
+    blocks = F.array_distinct(F.array(block(F.col("first")), block(F.col("last"))))
+    placed = covered.withColumn("block", F.explode(blocks)).repartition("block", "h3_zone")
+    spread = placed.withColumn("start", F.explode(F.sequence("first", "last", F.lit(slide).cast("long"))))
+    counts = spread.where(block(F.col("start")) == F.col("block")).groupBy("block", "h3_zone", "start").agg(
+        *_count(demand, supply)
     )
+    bounds = F.struct(F.timestamp_seconds("start").cast(kind).alias("start"),
+                      F.timestamp_seconds(F.col("start") + window).cast(kind).alias("end"))
+    return counts.select(bounds.alias("window"), "h3_zone", *COUNTS)
+
+
+def _has_panes(events: DataFrame, params: PricingParams) -> bool:
+    """Whether windows overlap and event times have exact seconds: wall-clock times do only in UTC."""
+    kind = events.schema["event_time"].dataType
+    in_utc = events.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z")
+    return params.slide_seconds < params.window_seconds and (in_utc or isinstance(kind, T.TimestampType))
+
+
+def _count(demand: str, supply: str) -> list[Column]:
+    return [F.sum(demand).cast("int").alias(COUNTS[0]), F.sum(supply).cast("int").alias(COUNTS[1])]
 
 
 def price_windows(windows: DataFrame, params: PricingParams = PricingParams(), *more: str) -> DataFrame:
@@ -56,7 +101,7 @@ def price_windows(windows: DataFrame, params: PricingParams = PricingParams(), *
 
 
 def zone_window_pricing(events: DataFrame, params: PricingParams = PricingParams(),
-                        panes: bool = False) -> DataFrame:
+                        panes: bool | None = None) -> DataFrame:
     """Events to priced zone windows. A stream passes events that already carry a watermark."""
     return price_windows(aggregate_zone_windows(with_indicators(events, params), params, panes), params)
 

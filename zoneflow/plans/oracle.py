@@ -237,7 +237,8 @@ FROM docs WHERE segment <> 'MACHINERY' AND balance <= 0"""
 
 ORACLE: dict[str, str] = {
     "zone_window_pricing": f"WITH {windows(DAILY)} SELECT * FROM prices",
-    "zone_window_pricing_panes": f"WITH {windows(HOURLY)} SELECT * FROM prices",
+    "zone_window_pricing_spread": f"WITH {windows(DAILY)} SELECT * FROM prices",
+    "zone_hourly_pricing": f"WITH {windows(HOURLY)} SELECT * FROM prices",
     "zone_tumbling_pricing": f"WITH {windows(TUMBLING)} SELECT * FROM prices",
     "latest_zone_pricing": f"WITH {windows(DAILY)}, {latest('prices')} SELECT * FROM latest",
     "latest_closed_zone_pricing":

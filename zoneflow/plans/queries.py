@@ -44,9 +44,15 @@ def zone_window_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def zone_window_pricing_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """24 windows per event, from panes."""
-    return pricing.zone_window_pricing(feed(spark, sf_dir), HOURLY, panes=True)
+def zone_window_pricing_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without panes: events are spread over their windows, as in a stream."""
+    return pricing.zone_window_pricing(feed(spark, sf_dir), DAILY, panes=False)
+
+
+@query
+def zone_hourly_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 windows per event."""
+    return pricing.zone_window_pricing(feed(spark, sf_dir), HOURLY)
 
 
 @query
