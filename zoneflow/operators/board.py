@@ -26,7 +26,8 @@ def zone_board(zones: DataFrame, latest: DataFrame, color_by: str = COLOR_MODES[
     """Every zone with its latest price; a zone without one shows neutral values.
 
     ``latest`` has one row per zone, so neither side of the join can be skewed; whether one side is
-    broadcast is left to its measured size. The maxima are one row, read as a scalar subquery.
+    broadcast is left to its measured size. The maxima are one row, read as a scalar subquery; they
+    are a second pass over ``latest``, which a caller should have written to a table by then.
     """
     prices = latest.select("h3_zone", *_neutral())
     rows = zones.join(prices, "h3_zone", "left").withColumns(

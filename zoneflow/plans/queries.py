@@ -16,7 +16,7 @@ from zoneflow.plans.tables import (
     DAILY, HOURLY, MOVED, TUMBLING, as_feed, cells, feed, latest_time, ntz, pattern_documents, raw_messages,
     read, segment_types, update_log,
 )
-from zoneflow.session import new_folder
+from zoneflow.session import materialize, new_folder
 from zoneflow.sources import messages
 from zoneflow.sources.streams import table_sink
 from zoneflow.sources.zones import field_gaps
@@ -245,13 +245,15 @@ def board_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.within_radius(cells(spark, sf_dir), ZONES.area).select("h3_zone", "center_lat", "center_lon")
 
 
-def board_by(spark: SparkSession, sf_dir: str, color_by: str) -> DataFrame:
-    return board.zone_board(board_zones(spark, sf_dir), latest_zone_pricing(spark, sf_dir), color_by)
+def board_by(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """Metric colours read the latest prices twice, so those are written once: one row per zone."""
+    latest = materialize(latest_zone_pricing(spark, sf_dir), "latest")
+    return board.zone_board(board_zones(spark, sf_dir), latest, metric)
 
 
 @query
 def zone_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return board_by(spark, sf_dir, "Price multiplier")
+    return board.zone_board(board_zones(spark, sf_dir), latest_zone_pricing(spark, sf_dir))
 
 
 @query
