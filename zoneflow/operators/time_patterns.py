@@ -94,9 +94,17 @@ def pattern_violations(documents: DataFrame, key: str, text: str) -> DataFrame:
         _is_object("pattern").alias("is_object"),
         *[_get("pattern", name).alias(name) for name in _FIELDS],
     )
+    typed = fields.select(
+        key, "doc_rules", "pattern_index", "no_object", "is_object",
+        *[F.col(name).isNotNull().alias(f"has_{name}") for name in _FIELDS],
+        _text("pattern_id").alias("pattern_id"),
+        _text("day_type").alias("day_type"),
+        _items("hours").alias("hours"),
+        F.map_entries(_map(F.col("zone_type_multipliers"))).alias("factors"),
+    )
     # rules on the whole document are reported once, with its first pattern
     first = F.coalesce(F.col("pattern_index"), F.lit(0)) == 0
-    found = fields.select(key, F.explode(F.concat(
+    found = typed.select(key, F.explode(F.concat(
         F.when(first, _at(F.lit(None), F.col("doc_rules"))).otherwise(F.array()),
         _at(F.col("pattern_index"), _pattern_rules()),
     )).alias("found"))
@@ -113,25 +121,23 @@ def require_valid(documents: DataFrame, key: str, text: str) -> None:
 
 
 def _pattern_rules() -> Column:
-    """Broken rules of one pattern, whose four fields are columns."""
+    """Broken rules of one pattern; a value of the wrong type is NULL, though its field is there."""
     is_object = F.col("is_object")
-    has = {name: is_object & F.col(name).isNotNull() for name in _FIELDS}
-    day, hours = _text("day_type"), _items("hours")
-    factors = F.expr("map_entries(try_variant_get(zone_type_multipliers, '$', 'map<string, variant>'))")
+    has = {name: is_object & F.col(f"has_{name}") for name in _FIELDS}
     rules = _found(
         _rule(F.col("no_object"), "pattern_not_object"),
-        *[_rule(is_object & F.col(name).isNull(), "missing_field", F.lit(name)) for name in _FIELDS],
-        _rule(has["pattern_id"] & ~_holds(F.length(_text("pattern_id")) > 0), "pattern_id_not_text"),
-        _rule(has["day_type"] & ~_holds(day.isin(*DAY_TYPES)), "unknown_day_type", day),
-        _rule(has["hours"] & ~_holds(F.size(hours) > 0), "hours_not_list"),
-        _rule(has["zone_type_multipliers"] & ~_holds(F.size(factors) > 0), "multipliers_not_object"),
+        *[_rule(is_object & ~F.col(f"has_{name}"), "missing_field", F.lit(name)) for name in _FIELDS],
+        _rule(has["pattern_id"] & ~_holds(F.length("pattern_id") > 0), "pattern_id_not_text"),
+        _rule(has["day_type"] & ~_holds(F.col("day_type").isin(*DAY_TYPES)), "unknown_day_type", F.col("day_type")),
+        _rule(has["hours"] & ~_holds(F.size("hours") > 0), "hours_not_list"),
+        _rule(has["zone_type_multipliers"] & ~_holds(F.size("factors") > 0), "multipliers_not_object"),
     )
     bad_hours = F.transform(
-        F.filter(hours, lambda hour: ~_holds(
+        F.filter("hours", lambda hour: ~_holds(
             (_kind(hour) == "BIGINT") & F.try_variant_get(hour, "$", "long").between(0, 23))),
         lambda hour: _violation("invalid_hour", F.to_json(hour)),
     )
-    bad_factors = F.flatten(F.transform(factors, lambda entry: _found(
+    bad_factors = F.flatten(F.transform("factors", lambda entry: _found(
         _rule(F.length(entry["key"]) < 1, "empty_zone_type"),
         *_factor_rules(entry["value"], entry["key"], F.lit(True)),
     )))
@@ -142,7 +148,7 @@ _FIELDS = ("pattern_id", "day_type", "hours", "zone_type_multipliers")
 
 
 def _factor_rules(value: Column, context: Column, applies: Column) -> list[Column]:
-    is_object = F.try_variant_get(value, "$", "map<string, variant>").isNotNull()
+    is_object = _map(value).isNotNull()
     rules = [_rule(applies & ~is_object, "factors_not_object", context)]
     for name in ("demand_factor", "supply_factor"):
         factor = F.try_variant_get(value, f"$.{name}", "variant")
@@ -161,8 +167,13 @@ def _is_number(kind: Column) -> Column:
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
+def _map(value: Column) -> Column:
+    """Fields of an object; NULL for any other value."""
+    return F.try_variant_get(value, "$", "map<string, variant>")
+
+
 def _is_object(column: str) -> Column:
-    return F.try_variant_get(F.col(column), "$", "map<string, variant>").isNotNull()
+    return _map(F.col(column)).isNotNull()
 
 
 def _holds(condition: Column) -> Column:
