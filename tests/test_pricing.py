@@ -151,3 +151,18 @@ def test_wall_clock_times_outside_utc_are_still_aligned(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert starts == {datetime(2026, 4, 24, 7), datetime(2026, 4, 24, 8)}
+
+
+def test_instants_outside_utc_need_no_plain_form(spark):
+    hour = PricingParams(window_seconds=7200, slide_seconds=3600)
+    rows = [(datetime(2026, 4, 24, 8, 10) + timedelta(minutes=17 * i), PARAMS.ride_topic, None, f"z{i % 2}")
+            for i in range(60)]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = events_of(spark, rows)
+        tiled = pricing.zone_window_pricing(df, hour)
+        assert "explode(sequence(" in tiled._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, tiled.collect())) == sorted(
+            map(tuple, pricing.zone_window_pricing(df, hour, panes=False).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
