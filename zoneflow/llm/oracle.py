@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from zoneflow.llm.common import LOWER, UPPER
 from zoneflow.llm.quality import BOILERPLATE, SEPARATORS, SYMBOLS, QualityRules
+from zoneflow.llm.url_filter import RULES, UrlVocabulary
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,8 +56,41 @@ def quality_sql(source: str = "documents", rules: QualityRules = QualityRules())
         SELECT *, NOT base_failed AND n_lost_words * 100 <= n_words * {rules.max_lost_percent} AS kept FROM based)"""
 
 
+def url_sql(
+    source: str = "pages", rules: tuple[tuple[str, str, str], ...] = RULES, vocabulary: UrlVocabulary = UrlVocabulary()
+) -> str:
+    upper = f"translate(coalesce(url, ''), '{UPPER}', '{LOWER}')"
+
+    def hit(term: str) -> str:
+        return f"regexp_matches(lowered, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')::INTEGER"
+
+    longest = sorted(rules, key=lambda r: -len(r[0] + r[1]))
+
+    def by_rule(value: int | None) -> str:
+        return " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{(h + p) if value is None else v}'"
+            for h, p, v in longest)
+
+    return f"""
+    WITH rests AS (
+        SELECT page_id, {upper} AS lowered,
+            CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM {source}),
+    parts AS (
+        SELECT page_id, lowered, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+    hits AS (
+        SELECT *, {' + '.join(map(hit, vocabulary.strict))} AS strict_hits,
+            {' + '.join(hit(t) for t, _ in vocabulary.soft)} AS soft_hits,
+            {' + '.join(f'{w} * {hit(t)}' for t, w in vocabulary.soft)} AS soft_weight FROM parts)
+    SELECT page_id, host, path, CASE {by_rule(None)} END AS rule,
+        CASE {by_rule(1)} WHEN strict_hits > 0 OR (soft_hits >= {vocabulary.min_soft_terms}
+            AND soft_weight >= {vocabulary.soft_limit}) THEN 'block' ELSE 'allow' END AS verdict,
+        strict_hits, soft_hits, soft_weight FROM hits"""
+
+
 ORACLE = {
     "op1_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words,
             sha256(coalesce(cleaned, '')) AS cleaned_sha256 FROM judged""",
+    "op3_url_filter": url_sql(),
 }

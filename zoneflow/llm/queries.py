@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.llm.bpe import read_ranks, round_trip
 from zoneflow.llm.common import table
+from zoneflow.llm.embeddings import near_duplicate_vectors
+from zoneflow.llm.line_templates import line_report
+from zoneflow.llm.mixing import mix_sources
 from zoneflow.llm.quality import judge_quality
 from zoneflow.llm.simhash import near_duplicates
+from zoneflow.llm.toxicity import fit, score_toxicity
+from zoneflow.llm.url_filter import judge_urls
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +24,45 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("cleaned_sha256", F.sha2(F.coalesce("cleaned", F.lit("")), 256)).drop("cleaned")
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = read_ranks(public_tokenizers.path(RANKS))
+    return round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = line_report(table(spark, sf_dir, "documents"))
+    return report.select(
+        "doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": quality_rules,
+    "op2_toxicity": toxicity,
+    "op3_url_filter": url_filter,
     "op4_simhash_near_dedup": simhash_near_dedup,
+    "op5_byte_bpe": byte_bpe,
+    "op6_embedding_near_dedup": embedding_near_dedup,
+    "op9_source_mixing": source_mixing,
+    "op10_line_dedup": line_dedup,
 }
