@@ -4,27 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from zoneflow.llm.bpe import encode_documents, read_ranks
 from zoneflow.llm.common import table
+from zoneflow.llm.line_templates import drop_recurring_lines
+from zoneflow.llm.mixing import order_documents
 from zoneflow.llm.quality import clean_documents
 from zoneflow.llm.simhash import drop_near_duplicates
 from zoneflow.session import materialize
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the line-first rules, failing lines removed."""
     return clean_documents(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines whose template recurs and stands in an earlier document already."""
+    return drop_recurring_lines(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class."""
     return drop_near_duplicates(docs)
 
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in mixed order: part files follow the schedule, and so do the rows inside each."""
+    return order_documents(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their ids in place of their text."""
+    return encode_documents(docs, read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_duplicates),
+    ("source_mixing", source_mixing),
+    ("byte_bpe", byte_bpe),
 ]
 
 

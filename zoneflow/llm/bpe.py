@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: Characters of text that a task works on at a time.
 SLICE = 1 << 20
@@ -198,7 +199,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(some.column(c) for c in others), ids], names=[*others, "ids"])
 
-    schema = docs.select(*[f"`{c}`" for c in others]).schema.add("ids", "array<int>")
+    schema = docs.select(*[f"`{c}`" for c in others]).schema.add("ids", ArrayType(IntegerType()))
     return docs.select(*[f"`{c}`" for c in others], "text").mapInArrow(run, schema)
 
 

@@ -36,3 +36,16 @@ def row_key(*columns: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words of a non-null text: places where a word starts."""
     return F.regexp_count(text, F.lit(WORD_PATTERN + "+")).cast("long")
+
+
+def hashed_sample(rows: DataFrame, key: Column, bound: int, where: Column | None = None) -> DataFrame:
+    """At most ``bound`` rows, those with the smallest ``key`` (a 64-bit hash) among those that ``where`` holds for.
+
+    Large tables are thinned by the key's low bits first, so that sorting never sees more than a few times ``bound`` rows.
+    """
+    share = 4 * bound / max(1, rows.count())
+    if share < 1:
+        rows = rows.filter(F.pmod(key, F.lit(1 << 20)) <= int(share * (1 << 20)))
+    if where is not None:
+        rows = rows.filter(where)
+    return rows.orderBy(key).limit(bound)

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import hashed_sample
 from zoneflow.llm.graph import components
 from zoneflow.session import materialize
 
@@ -186,7 +187,7 @@ def near_duplicate_vectors(vectors: DataFrame, params: PqParams = PqParams()) ->
     dim = -(-longest // params.subspaces) * params.subspaces
     bound = max(1, min(params.sample, params.sample_floats // dim))
     # The bounded sample: classes with the smallest hashes.
-    sample = [r[0] for r in classes.select("embedding", "cls").orderBy("cls").limit(bound).collect()]
+    sample = [r[0] for r in hashed_sample(classes.select("embedding", "cls"), F.col("cls"), bound).collect()]
     index = fit(unit_rows(sample, dim), min(params.max_lists, max(1, n // params.list_size)), params)
     shared = vectors.sparkSession.sparkContext.broadcast(index)
     indexed = materialize(_indexed(classes, shared, params), "pq-lists")

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 from zoneflow.llm.bpe import read_ranks, round_trip
 from zoneflow.llm.common import table
 from zoneflow.llm.embeddings import near_duplicate_vectors
+from zoneflow.llm.html_text import extract_text
+from zoneflow.llm.html_text import fit as fit_extractor
 from zoneflow.llm.line_templates import line_report
 from zoneflow.llm.mixing import mix_sources
 from zoneflow.llm.quality import judge_quality
+from zoneflow.llm.secrets import fit as fit_forest
+from zoneflow.llm.secrets import scan_secrets
 from zoneflow.llm.simhash import near_duplicates
-from zoneflow.llm.toxicity import fit, score_toxicity
+from zoneflow.llm.toxicity import fit as fit_toxicity
+from zoneflow.llm.toxicity import score_toxicity
 from zoneflow.llm.url_filter import judge_urls
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,7 +31,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +51,18 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = scan_secrets(docs, fit_forest(docs))
+    return found.select(
+        "doc_id", "nth", F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract_text(pages, fit_extractor(pages))
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -63,6 +80,8 @@ QUERIES = {
     "op4_simhash_near_dedup": simhash_near_dedup,
     "op5_byte_bpe": byte_bpe,
     "op6_embedding_near_dedup": embedding_near_dedup,
+    "op7_secret_scan": secret_scan,
+    "op8_html_extraction": html_extraction,
     "op9_source_mixing": source_mixing,
     "op10_line_dedup": line_dedup,
 }

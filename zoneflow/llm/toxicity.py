@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import hashed_sample
+
 _WORD = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
 INPUTS = 6
@@ -327,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & ~is_held_out())
     hashed = known.withColumn("order", F.xxhash64("doc_id"))
     chosen = [
-        hashed.filter(F.col("toxic") == label).orderBy("order", "doc_id").limit(bound)
+        hashed_sample(hashed.filter(F.col("toxic") == label), F.col("order"), bound)
         for label, bound in ((1, params.max_toxic), (0, params.max_clean))
     ]
     # At most max_toxic + max_clean ids: bounded, so they may be broadcast.
