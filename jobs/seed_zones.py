@@ -15,9 +15,9 @@ from datetime import datetime, timezone
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from zoneflow import defaults  # noqa: E402
-from zoneflow.operators.upsert import assert_unique, upsert, upsert_stats  # noqa: E402
+from zoneflow.operators.upsert import assert_unique, change_stats, merge_rows  # noqa: E402
 from zoneflow.operators.zones import build_zones  # noqa: E402
-from zoneflow.session import build_session  # noqa: E402
+from zoneflow.session import build_session, materialize  # noqa: E402
 from zoneflow.sources.config import load_zone_config  # noqa: E402
 from zoneflow.sources.zones import read_snapshot, write_snapshot  # noqa: E402
 
@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--zones", required=True)
     parser.add_argument("--config", help="JSON file; the shipped area and types without it")
     parser.add_argument("--keep-created", action="store_true", help="known zones keep their created_at")
+    parser.add_argument("--keep-versions", type=int, default=5, help="complete snapshots that stay")
     args = parser.parse_args(argv)
     spark = build_session("seed-zones")
     config = load_zone_config(spark, args.config) if args.config else defaults.ZONES
@@ -36,10 +37,11 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     cells = spark.read.parquet(args.cells)
     assert_unique(cells, "h3_zone")
     built = build_zones(cells, config, now)
-    stored, version = read_snapshot(spark, args.zones)
-    merged = upsert(stored, built, "h3_zone", keep=("created_at",) if args.keep_created else ())
-    stats = upsert_stats(stored, built, "h3_zone").first().asDict()
-    write_snapshot(merged, args.zones, version + 1)
+    stored, _ = read_snapshot(spark, args.zones)
+    merged = merge_rows(stored, built, "h3_zone", keep=("created_at",) if args.keep_created else ())
+    merged = materialize(merged, "merged")  # rows and figures from one pass
+    stats = change_stats(merged).first().asDict()
+    write_snapshot(merged.drop("change"), args.zones, args.keep_versions)
     print("Seeded zones:", *(f"{name}={count}" for name, count in stats.items()))
     return stats
 

@@ -29,8 +29,8 @@ def test_seed_then_board(spark, tmp_path):
     assert zones.select("created_at").distinct().count() == 1
     assert zones.select("updated_at").distinct().count() == 2
 
-    zone_window_pricing(spark, SF_DIR).write.parquet(str(tmp_path / "prices"))
-    zone_board.main(["--zones", str(tmp_path / "zones" / "version=2"), "--prices", str(tmp_path / "prices"),
+    zone_window_pricing(spark, SF_DIR).write.parquet(str(tmp_path / "prices" / "query=q" / "batch_id=0"))
+    zone_board.main(["--zones", str(tmp_path / "zones"), "--prices", str(tmp_path / "prices"),
                      "--out", str(tmp_path / "out"), "--color-by", "Pressure"])
     board = spark.read.parquet(str(tmp_path / "out" / "board"))
     assert board.count() == first["total"]

@@ -25,14 +25,15 @@ def price(spark, pairs, params=PARAMS):
 
 
 @pytest.mark.parametrize("demand, supply, weight, want_pressure, want_multiplier", [
-    (10, 10, 0.4, 0.0, 1.0),
-    (15, 10, 0.4, 0.5, 1.1848468629040039),
-    (5, 10, 0.4, -0.5, 0.9),
-    (0, 1000, 0.4, -1.0, 0.9),
-    (1000, 1, 1.0, 999.0, 1.5),
-    (5, 0, 0.4, None, 1.5),
-    (0, 0, 0.4, 0.0, 1.0),
-    (-1, -2, 0.4, 0.0, 1.0),
+    (7, 7, 0.7, 0.0, 1.0),
+    (25, 20, 0.3, 0.25, 1.0 + 0.3 * math.tanh(0.25)),
+    (30, 40, 0.2, -0.25, 1.0 + 0.2 * math.tanh(-0.25)),
+    (3, 12, 0.5, -0.75, 0.9),
+    (0, 17, 0.2, -1.0, 0.9),
+    (640, 5, 2.0, 127.0, 1.5),
+    (1, 0, 0.6, None, 1.5),
+    (-4, 0, 0.6, 0.0, 1.0),
+    (0, 0, 1.5, 0.0, 1.0),
 ])
 def test_formula(spark, demand, supply, weight, want_pressure, want_multiplier):
     [(p, m)] = price(spark, [(demand, supply)], PricingParams(pressure_weight=weight))

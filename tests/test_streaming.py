@@ -15,7 +15,7 @@ from zoneflow.operators import pricing
 from zoneflow.params import PricingParams
 from zoneflow.sources import messages, streams
 from zoneflow.streaming import pricing as live
-from zoneflow.streaming.progress import RecordsRead, late_rows_dropped, records_read
+from zoneflow.streaming.progress import ProgressCounter
 
 PARAMS = PricingParams()
 
@@ -46,6 +46,13 @@ def run(spark, tmp_path, mode="update"):
     return live.run_to_end(streams.table_sink(prices, out, checkpoint, mode)), out
 
 
+@pytest.fixture
+def counter(spark):
+    listener = ProgressCounter.listen(spark)
+    yield listener
+    spark.streams.removeListener(listener)
+
+
 def emitted(spark, out):
     rows = spark.read.parquet(out).select("batch_id", "h3_zone", F.second("window_end").alias("end"), "demand_count")
     return sorted(tuple(r) for r in rows.collect())
@@ -54,7 +61,7 @@ def emitted(spark, out):
 LATE = [[(1, "A")], [(40, "B")], [(41, "B")], [(4, "A"), (24, "A"), (42, "B")]]
 
 
-def test_late_events_are_dropped_window_by_window(spark, tmp_path):
+def test_late_events_are_dropped_window_by_window(spark, tmp_path, counter):
     for number, rows in enumerate(LATE):
         put(tmp_path / "in", number, rows)
     query, out = run(spark, tmp_path)
@@ -62,16 +69,16 @@ def test_late_events_are_dropped_window_by_window(spark, tmp_path):
         [(0, "A", e, 1) for e in (5, 10, 15)] + [(1, "B", e, 1) for e in (45, 50, 55)]
         + [(2, "B", e, 2) for e in (45, 50, 55)]
         + [(3, "A", 30, 1), (3, "A", 35, 1)] + [(3, "B", e, 3) for e in (45, 50, 55)])
-    assert late_rows_dropped(query) == 4
-    assert records_read(query) == 6
+    assert counter.late_rows_dropped(query) == 4
+    assert counter.records_read(query) == 6
 
 
-def test_late_event_right_after_the_jump_is_accepted(spark, tmp_path):
+def test_late_event_right_after_the_jump_is_accepted(spark, tmp_path, counter):
     put(tmp_path / "in", 0, [(1, "A")])
     put(tmp_path / "in", 1, [(40, "B")])
     put(tmp_path / "in", 2, [(4, "A")])
     query, out = run(spark, tmp_path)
-    assert late_rows_dropped(query) == 0
+    assert counter.late_rows_dropped(query) == 0
     assert (2, "A", 10, 2) in emitted(spark, out)
 
 
@@ -87,17 +94,18 @@ def spread(second, n=60):
             for i in range(n)]
 
 
-def test_folded_stream_equals_batch_across_a_restart(spark, tmp_path):
+def test_folded_stream_equals_batch_across_a_restart(spark, tmp_path, counter):
     """Three files, a stop, three more from the checkpoint."""
     for number in range(3):
         put(tmp_path / "in", number, spread(number * 5))
-    run(spark, tmp_path)
+    first, _ = run(spark, tmp_path)
+    assert counter.records_read(first) == 180
     for number in range(3, 6):
         put(tmp_path / "in", number, spread(number * 5))
     query, out = run(spark, tmp_path)
-    assert records_read(query) == 180
-    log = spark.read.parquet(out)
-    folded = pricing.compact_updates(log.drop("batch_id")).drop("calculated_at")
+    assert query.id == first.id and counter.records_read(query) == 360  # across the restart
+    log = streams.read_log(spark, out)
+    folded = pricing.compact_updates(log).drop("calculated_at")
     assert log.count() > folded.count()
     from zoneflow import schemas
     raw = spark.read.schema(schemas.ENVELOPE).json(str(tmp_path / "in"))
@@ -161,17 +169,99 @@ def test_chaining_the_latest_price_behind_the_windows_is_refused(spark, tmp_path
         streams.table_sink(chained, str(tmp_path / "o"), str(tmp_path / "c")).trigger(availableNow=True).start()
 
 
-def test_listener_counts_every_row(spark, tmp_path):
-    put(tmp_path / "in", 0, spread(0))
-    put(tmp_path / "in", 1, spread(5))
-    counter = RecordsRead()
-    spark.streams.addListener(counter)
+def test_counts_survive_more_batches_than_reports(spark, tmp_path, counter):
+    """Two streams at once, more batches than reports are kept."""
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
     try:
-        run(spark, tmp_path)
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        started = []
+        for label, files in (("one", 9), ("two", 6)):
+            for number in range(files):
+                put(tmp_path / label, number, spread(number * 5, 10 + number))
+            prices = live.pricing_stream(decoded(spark, tmp_path / label), PARAMS)
+            sink = streams.table_sink(prices, str(tmp_path / f"{label}-out"), str(tmp_path / f"{label}-checkpoint"))
+            started.append(sink.trigger(availableNow=True).start())
+        for query in started:
+            query.awaitTermination()
     finally:
-        spark.streams.removeListener(counter)
-    assert counter.records == 120
+        spark.conf.set(name, before)
+    assert [counter.records_read(q) for q in started] == [sum(10 + n for n in range(9)), sum(10 + n for n in range(6))]
+    assert sum(p.numInputRows for p in started[0].recentProgress) < counter.records_read(started[0])
+
+
+def test_two_checkpoints_on_one_folder_keep_apart(spark, tmp_path):
+    for number in range(3):
+        put(tmp_path / "in", number, spread(number * 5))
+    _, out = run(spark, tmp_path)
+    before = spark.read.parquet(out).count()
+    prices = live.pricing_stream(decoded(spark, tmp_path / "in"), PARAMS)
+    live.run_to_end(streams.table_sink(prices, out, str(tmp_path / "fresh")))
+    assert spark.read.parquet(out).count() == 2 * before
+    assert spark.read.parquet(out).select("query").distinct().count() == 2
+
+
+def test_a_folded_log_does_not_grow_with_the_triggers(spark, tmp_path):
+    for number in range(7):
+        put(tmp_path / "in", number, [(number, "A"), (number, "B", "available")])
+    prices = live.pricing_stream(decoded(spark, tmp_path / "in"), PARAMS)
+    out = tmp_path / "out"
+    live.run_to_end(streams.table_sink(prices, str(out), str(tmp_path / "c"), fold=pricing.compact_updates, fold_every=3))
+    [own] = out.iterdir()
+    assert sorted(p.name for p in own.iterdir()) == ["batch_id=6", "batch_id=7", "folded=5"]  # the last one has no data
+    folded = pricing.compact_updates(streams.read_log(spark, str(out)))
+    full, whole = run(spark, tmp_path)
+    want = pricing.compact_updates(streams.read_log(spark, whole))
+    assert sorted(map(tuple, folded.drop("calculated_at").collect())) == sorted(map(tuple, want.drop("calculated_at").collect()))
+    assert streams.read_log(spark, str(out)).count() < streams.read_log(spark, whole).count()
+
+
+def test_a_crash_between_fold_and_removal(spark, tmp_path):
+    own = tmp_path / "out" / "query=q"
+    at = lambda s: datetime(2026, 4, 24, 8, 0, s)
+    for batch in range(3):
+        spark.createDataFrame([("z", at(0), at(batch), batch)], "h3_zone string, window_start timestamp, calculated_at timestamp, n int"
+                              ).write.parquet(str(own / f"batch_id={batch}"))
+    pricing.compact_updates(spark.read.parquet(str(own)).drop("batch_id")).write.parquet(str(own / "folded=2"))
+    assert [r.n for r in streams.read_log(spark, str(tmp_path / "out")).collect()] == [2]
+    streams.fold_log(spark, str(own), 2, pricing.compact_updates)  # the batch runs again
+    assert [p.name for p in own.iterdir()] == ["folded=2"]
+    assert [r.n for r in streams.read_log(spark, str(tmp_path / "out")).collect()] == [2]
+
+
+def test_latest_table_has_one_row_per_zone(spark, tmp_path):
+    for number in range(4):
+        put(tmp_path / "in", number, [(number * 7, "A"), (number * 7, f"z{number}")])
+    _, log = run(spark, tmp_path)
+    schema = streams.read_log(spark, log).schema
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{log}/*/*")
+    out = str(tmp_path / "latest")
+    live.run_to_end(streams.table_sink(pricing.latest_pricing(rows), out, str(tmp_path / "latest-c"),
+                                       fold=pricing.latest_pricing, fold_every=1))
+    table = streams.read_log(spark, out)
+    assert table.count() == 5 == table.select("h3_zone").distinct().count()
+    want = pricing.latest_pricing(streams.read_log(spark, log))
+    assert sorted(map(tuple, table.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_registered_streams_are_real(spark, counter):
+    """Several bounded batches, versions of windows, late rows that stay out, and little state."""
+    from conftest import SF_DIR
+    from zoneflow.plans import tables
+
+    log = streams.read_log(spark, tables.update_log(spark, SF_DIR))
+    windows = pricing.zone_window_pricing(tables.feed(spark, SF_DIR), tables.DAILY).count()
+    assert pricing.compact_updates(log).count() == windows < log.count()
+    folder = tables.ordered_files(spark, SF_DIR)
+    source = spark.readStream.schema(tables.read(spark, SF_DIR, "events").schema).option("maxFilesPerTrigger", 1)
+    feed = tables.as_feed(source.parquet(f"{folder}/*")).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    sink = streams.table_sink(live.pricing_stream(feed, tables.DAILY), f"{folder}-out", f"{folder}-checkpoint")
+    with tables.state_store(spark):
+        query = live.run_to_end(sink)
+    assert counter.late_rows_dropped(query) > 0
+    batches = [p for p in query.recentProgress if p.numInputRows]
+    assert len(batches) > tables.STREAM_FILES
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) < windows / 2
 
 
 def test_rocksdb_state(spark, tmp_path):
@@ -193,6 +283,24 @@ def test_kafka_options():
     assert "maxOffsetsPerTrigger" not in streams.kafka_options("host:1", ["t"])
 
 
+def test_starting_offsets():
+    bounds = lambda: [("prices", 0, 100, 9000), ("prices", 1, 0, 10)]
+    assert streams.starting_offsets("earliest", None) == "earliest" and streams.starting_offsets("latest", None) == "latest"
+    assert json.loads(streams.starting_offsets("tail", bounds, 50)) == {"prices": {"0": 8950, "1": 0}}
+    assert streams.starting_offsets("tail", list) == "earliest"
+
+
+def test_price_stream_needs_a_lasting_checkpoint(spark, monkeypatch):
+    from jobs import price_stream
+
+    monkeypatch.delenv("PRICING_CHECKPOINT_LOCATION", raising=False)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(RuntimeError, match="PRICING_CHECKPOINT_LOCATION"):
+            price_stream.checkpoint_folder(spark)
+    monkeypatch.setenv("PRICING_CHECKPOINT_LOCATION", "/lasting/folder")
+    assert price_stream.checkpoint_folder(spark) == "/lasting/folder"
+
+
 def test_tail_offsets():
     bounds = [("t", 0, 0, 12000), ("t", 1, 9000, 12000), ("u", 0, 0, 10)]
     assert json.loads(streams.tail_offsets(bounds)) == {"t": {"0": 7000, "1": 9000}, "u": {"0": 0}}

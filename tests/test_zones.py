@@ -172,12 +172,58 @@ def test_readers(spark, tmp_path):
 
 def test_snapshots_let_a_job_read_what_it_replaces(spark, tmp_path):
     root = str(tmp_path / "zones")
-    first = stored.write_snapshot(table(spark, [("a", 1, "")]), root, 1)
+    first = stored.write_snapshot(table(spark, [("a", 1, "")]), root)
     merged = up.upsert(spark.read.parquet(first), table(spark, [("b", 2, "")]), "k")
-    second = stored.write_snapshot(merged, root, 2)
+    second = stored.write_snapshot(merged, root)
     assert spark.read.parquet(second).count() == 2
-    with pytest.raises(Exception):
-        stored.write_snapshot(merged, root, 2)
+    assert second.endswith("version=2")
+
+
+def test_readers_see_the_newest_complete_version(spark, tmp_path):
+    root = str(tmp_path / "zones")
+    assert stored.read_snapshot(spark, root)[1] == 0
+    built = zones.build_zones(named_cells(spark, 30), ZONES, NOW)
+    crashed = tmp_path / "zones" / "version=1"
+    crashed.mkdir(parents=True)
+    (crashed / "part-0.parquet").write_bytes(b"unfinished")
+    with pytest.raises(RuntimeError):
+        stored.read_zones(spark, root)
+    assert stored.read_map_zones(spark, root).collect() == []
+    stored.write_snapshot(built, root)  # not stopped by the crash, and clears it away
+    assert stored.read_snapshot(spark, root)[1] == 2 and not crashed.exists()
+    stored.write_snapshot(built.where("h3_zone < 'z'").limit(10), root)
+    assert stored.read_zones(spark, root).count() == 10
+    assert stored.read_map_zones(spark, root).count() == 10
+    for _ in range(3):
+        stored.write_snapshot(built, root, keep_versions=2)
+    assert sorted(p.name for p in (tmp_path / "zones").iterdir()) == ["version=5", "version=6"]
+    assert stored.read_zones(spark, root).count() == 30
+
+
+def test_repeated_cells_are_an_error(spark, tmp_path):
+    built = zones.build_zones(named_cells(spark, 30), ZONES, NOW)
+    built.unionByName(built).write.parquet(str(tmp_path / "twice"))
+    for reader in (stored.read_zones, stored.read_map_zones):
+        with pytest.raises(ValueError, match="30 repeated keys"):
+            reader(spark, str(tmp_path / "twice"))
+
+
+def test_merge_resolves_up_to_the_format(spark):
+    """No format with row-level changes is here: the plan resolves and stops at the format."""
+    spark.sql("CREATE TABLE zones_t (k STRING, n INT, note STRING) USING parquet")
+    try:
+        with pytest.raises(Exception) as error:
+            up.merge_into(table(spark, [("a", 1, "")]).select("k", F.lit(1).alias("n"), F.lit("").alias("note")), "zones_t", "k")
+        assert "MERGE" in str(error.value) and "UNRESOLVED" not in str(error.value)
+    finally:
+        spark.sql("DROP TABLE zones_t")
+
+
+def test_upsert_makes_each_side_once(spark):
+    left = spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("n"))
+    merged = up.merge_rows(left, left.where("n > 50"), "k", keep=("n",))
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Range (") == 2 and text.count("FullOuter") == 1
 
 
 def zone_config():

@@ -58,11 +58,12 @@ def recent_events(events: DataFrame, now: datetime | Column, seconds: int = 60)
     return events.where(recent)
 
 
-def event_points(events: DataFrame, topic: str) -> DataFrame:
-    """Located events of one topic, ready to draw."""
+def event_points(events: DataFrame, topic: str, params: PricingParams = PricingParams()) -> DataFrame:
+    """Located events of one topic, ready to draw: drivers by their status, requests all alike."""
     status = F.coalesce(F.col("status"), F.lit("request"))
+    color = display.driver_color(status) if topic == params.driver_topic else display.rgba(*display.REQUEST)
     return events.where((F.col("topic") == topic) & F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
-        "lat", "lon", "h3_zone", status.alias("status"), display.driver_color(status).alias("color")
+        "lat", "lon", "h3_zone", status.alias("status"), color.alias("color")
     )
 
 

@@ -122,16 +122,21 @@ def latest_pricing(pricing: DataFrame, closed_before: datetime | Column | None =
     a query of its own over the price topic: Spark refuses it behind the windowed aggregation in
     update mode. State is one row per zone.
 
-    A log is ordered by (window end, calculation time) in one aggregation: each task sends one row
-    per zone, where folding versions first would shuffle nearly the whole log.
+    A log is ordered by (window end, calculation time) as one number in one aggregation: each task sends one row per zone,
+    where folding versions first would shuffle nearly the whole log.
     """
     if closed_before is not None:
         limit = closed_before if isinstance(closed_before, Column) else F.lit(closed_before)
         pricing = pricing.where(F.col("window_end") <= limit)
     if "calculated_at" not in pricing.columns:
         return _newest(pricing, ("h3_zone",), "window_end")
-    newest = F.max_by(F.struct(*pricing.columns), F.struct("window_end", "calculated_at"))
-    return pricing.groupBy("h3_zone").agg(newest.alias("latest")).select("latest.*")
+    ordered = pricing.withColumn("_order", _micros("window_end") * F.lit(10**18) + _micros("calculated_at"))
+    return _newest(ordered, ("h3_zone",), "_order").drop("_order")
+
+
+def _micros(name: str) -> Column:
+    """Microseconds since 1970 as a number wide enough for two of them side by side."""
+    return F.coalesce(F.unix_micros(F.col(name).cast("timestamp")), F.lit(0)).cast("decimal(19,0)")
 
 
 def _newest(df: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:

@@ -112,10 +112,11 @@ def pattern_violations(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def require_valid(documents: DataFrame, key: str, text: str) -> None:
-    """Raise ``ValueError`` naming some of the broken rules, if there are any."""
-    broken = pattern_violations(documents, key, text).limit(10).collect()
+    """Raise ``ValueError`` if rules are broken, with the number of violations and some of them."""
+    violations = pattern_violations(documents, key, text)
+    broken = violations.limit(10).collect()
     if broken:
-        raise ValueError("; ".join(
+        raise ValueError(f"{violations.count()} violations, among them: " + "; ".join(
             f"{row[0]}: pattern {row.pattern_index}: {row.rule} {row.detail or ''}".strip() for row in broken
         ))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, MergeIntoWriter
 from pyspark.sql import functions as F
 
 
@@ -12,46 +12,71 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, key: str) -> None:
-    """Raise ``ValueError`` naming some of the keys that occur more than once, if there are any."""
-    repeated = duplicates(df, key).limit(10).collect()
-    if repeated:
-        raise ValueError(f"{key} is not unique: {sorted(str(row[0]) for row in repeated)}")
+    """Raise ``ValueError`` if keys occur more than once, with their number and some of them."""
+    repeated = duplicates(df, key)
+    some = repeated.limit(10).collect()
+    if some:
+        raise ValueError(f"{key} is not unique: {repeated.count()} repeated keys, "
+                         f"among them {sorted(str(row[0]) for row in some)}")
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``target`` with the rows of ``updates`` replaced or added.
+def merge_rows(target: DataFrame, updates: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``target`` with the rows of ``updates`` replaced or added, and what happened to each row in ``change``.
 
-    Rows are replaced whole, ``created_at`` included, unless a column is listed in ``keep``: those
-    hold on to the target's value. Keys are unique on both sides, so the join has no hot key.
+    One full outer join gives the rows, the columns to ``keep`` and the figures of ``change_stats``, so both sides are made
+    once. Rows are replaced whole, ``created_at`` included, unless a column is listed in ``keep``: those hold on to the
+    target's value. Keys are unique on both sides, so the join has no hot key. ``change`` is ``kept`` for rows that
+    ``updates`` does not mention, else ``inserted``, ``modified`` or ``same`` (before columns are kept).
     """
-    rows = updates.select(*target.columns)
-    if keep:
-        old = target.select(key, *[F.col(name).alias(f"_old_{name}") for name in keep])
-        rows = rows.join(old, key, "left").withColumns(
-            {name: F.coalesce(f"_old_{name}", name) for name in keep}
-        ).select(*target.columns)
-    return target.join(updates.select(key), key, "left_anti").unionByName(rows)
+    names = [name for name in target.columns if name != key]
+    old = target.select(F.col(key).alias("_old_key"), F.struct(*names).alias("_old"))
+    new = updates.select(F.col(key).alias("_new_key"), F.struct(*names).alias("_new"))
+    in_old, in_new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
 
+    def value(name: str) -> Column:
+        before, after = F.col("_old")[name], F.col("_new")[name]
+        return F.when(in_new, F.coalesce(before, after) if name in keep else after).otherwise(before).alias(name)
 
-def upsert_stats(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Matched, modified and inserted rows of an upsert, and the size of the table after it."""
-    values = [name for name in target.columns if name != key]
-    old = target.select(F.col(key).alias("_old_key"), F.struct(*values).alias("_old"))
-    new = updates.select(F.col(key).alias("_new_key"), F.struct(*values).alias("_new"))
-    in_old, in_new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
-    return old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer").agg(
-        F.count_if(in_old & in_new).alias("matched"),
-        F.count_if(in_old & in_new & ~F.col("_old").eqNullSafe(F.col("_new"))).alias("modified"),
-        F.count_if(in_new & ~in_old).alias("upserted"),
+    change = (
+        F.when(~in_new, "kept").when(~in_old, "inserted")
+        .when(F.col("_old").eqNullSafe(F.col("_new")), "same").otherwise("modified")
+    )
+    return old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer").select(
+        *[F.coalesce("_new_key", "_old_key").alias(key) if name == key else value(name) for name in target.columns],
+        change.alias("change"),
+    )
+
+
+def upsert(target: DataFrame, updates: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``merge_rows``."""
+    return merge_rows(target, updates, key, keep).drop("change")
+
+
+def change_stats(merged: DataFrame) -> DataFrame:
+    """Matched, modified and inserted rows of ``merge_rows``, and the size of the table after it."""
+    change = F.col("change")
+    return merged.agg(
+        F.count_if(change.isin("same", "modified")).alias("matched"),
+        F.count_if(change == "modified").alias("modified"),
+        F.count_if(change == "inserted").alias("upserted"),
         F.count("*").alias("total"),
     )
 
 
+def upsert_stats(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """The figures of an upsert alone."""
+    return change_stats(merge_rows(target, updates, key))
+
+
 def merge_into(updates: DataFrame, table: str, key: str) -> None:
     """The same upsert in place, for a catalog table whose format supports row-level changes."""
-    (
-        updates.mergeInto(table, F.expr(f"target.{key} = source.{key}"))
+    merge_writer(updates, table, key).merge()
+
+
+def merge_writer(updates: DataFrame, table: str, key: str) -> MergeIntoWriter:
+    """The merge before it runs: rows of ``updates`` replace those of ``table`` with the same key, others are added."""
+    return (
+        updates.alias("source").mergeInto(table, F.expr(f"{table}.{key} = source.{key}"))
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()
-        .merge()
     )

@@ -68,18 +68,20 @@ def _profile(t: ZoneType) -> Column:
 def number_rows(df: DataFrame, key: str, name: str = "row_number") -> DataFrame:
     """Number rows 1, 2, 3 … in the order of a unique key, in parallel.
 
-    Rows are range-partitioned by the key and written once, tagged with their range. Range counts
-    (one row per partition) give each range its first number; rows are then numbered per range.
-    Nothing sorts in a single task, and a lost executor cannot shift the ranges under the counts.
+    Rows are range-partitioned and sorted by the key, and written once with Spark's own increasing id: its high bits are the
+    range, its low 33 bits the place in it. Range counts (one row per partition) give each range its first number. Nothing is
+    sorted again or in a single task, and a lost executor cannot shift the ranges under the counts.
     """
-    ranged = materialize(df.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), "numbered")
+    ordered = df.repartitionByRange(key).sortWithinPartitions(key)
+    ranged = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumns({
+        "_range": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     # one row per range, so both the global window and the broadcast are bounded by the partition count
     starts = ranged.groupBy("_range").agg(F.count("*").alias("_rows")).select(
         "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    rank = F.row_number().over(W.partitionBy("_range").orderBy(key))
-    return ranged.join(F.broadcast(starts), "_range").select(*df.columns, (F.col("_start") + rank).alias(name))
+    return ranged.join(F.broadcast(starts), "_range").select(
+        *df.columns, (F.col("_start") + F.col("_place") + 1).alias(name))
 
 
 def number_zones(cells: DataFrame) -> DataFrame:

@@ -61,21 +61,13 @@ counts AS (
 prices AS ({priced('counts')})"""
 
 
-def latest(source: str, where: str = "", more: str = "") -> str:
+def latest(source: str, where: str = "") -> str:
     return f"""
 latest AS (
-  SELECT {PRICE_COLUMNS}{more} FROM {source} {where}
+  SELECT {PRICE_COLUMNS} FROM {source} {where}
   QUALIFY row_number() OVER (PARTITION BY h3_zone ORDER BY window_end DESC) = 1)"""
 
 
-UPDATE_LOG = f"""{windows(DAILY)},
-versions AS (
-  SELECT h3_zone, window_start,
-    max(time_bucket(INTERVAL {DAILY.slide_seconds} SECOND, event_time, TIMESTAMP '1970-01-01'))
-      + INTERVAL {DAILY.slide_seconds} SECOND AS calculated_at
-  FROM spread GROUP BY h3_zone, window_start),
-compacted AS (SELECT prices.*, calculated_at FROM prices JOIN versions USING (h3_zone, window_start))"""
-
 # props 1 and 5 lose the message, 2 its zone; 3 its time, 4 and 6 change the zone
 DECODED = f"""{FEED}
 SELECT topic, event_id::VARCHAR AS event_id, lat, lon,
@@ -89,9 +81,11 @@ recent AS (SELECT * FROM feed WHERE event_time >= (SELECT max(event_time) FROM f
 
 
 def points(topic: str) -> str:
+    color = "[20, 70, 255, 245]::INTEGER[]" if topic == "ride_requests" else (
+        "CASE WHEN status = 'available' THEN [35, 170, 85, 180]::INTEGER[] ELSE [120, 120, 120, 150]::INTEGER[] END")
     return f"""WITH {RECENT}
 SELECT lat, lon, h3_zone, coalesce(status, 'request') AS status,
-  CASE WHEN status = 'available' THEN [35, 170, 85, 180]::INTEGER[] ELSE [120, 120, 120, 150]::INTEGER[] END AS color
+  {color} AS color
 FROM recent WHERE topic = '{topic}' AND lat IS NOT NULL AND lon IS NOT NULL"""
 
 
@@ -244,8 +238,8 @@ ORACLE: dict[str, str] = {
     "latest_closed_zone_pricing":
         f"WITH {windows(DAILY)}, {latest('prices', 'WHERE window_end <= (SELECT max(ts) FROM events)')} "
         "SELECT * FROM latest",
-    "pricing_update_log_compacted": f"WITH {UPDATE_LOG} SELECT * FROM compacted",
-    "latest_of_update_log": f"WITH {UPDATE_LOG}, {latest('compacted', more=', calculated_at')} SELECT * FROM latest",
+    "pricing_update_log_compacted": f"WITH {windows(DAILY)} SELECT * FROM prices",
+    "latest_of_update_log": f"WITH {windows(DAILY)}, {latest('prices')} SELECT * FROM latest",
     "pricing_message_round_trip":
         f"WITH {windows(DAILY)} SELECT *, TIMESTAMP '2024-02-01' AS calculated_at FROM prices",
     "events_decoded": f"WITH {DECODED}",
@@ -255,6 +249,12 @@ SELECT event_id, event_time, topic, status, h3_zone, (topic = 'ride_requests')::
   (coalesce(status, '') = 'available')::INTEGER AS available_driver_increment FROM feed""",
     "union_topic_events": f"WITH {FEED} SELECT event_id, event_time, h3_zone, lat, lon, topic, status FROM feed",
     "recent_events": f"WITH {RECENT} SELECT event_id, event_time, topic, status, h3_zone, lat, lon FROM recent",
+    "recent_received_events": f"""WITH {FEED},
+received AS (
+  SELECT * REPLACE (CASE WHEN props NOT IN ('{{"k": 3}}', '{{"k": 7}}') THEN event_time END AS event_time),
+    event_time + INTERVAL 1 HOUR AS received_at FROM feed)
+SELECT * EXCLUDE (props, user_id) FROM received
+WHERE coalesce(event_time, received_at) >= (SELECT max(event_time) FROM feed) - INTERVAL 259200 SECOND""",
     "request_points": points("ride_requests"),
     "driver_points": points("driver_updates"),
     "event_counts": f"""WITH {RECENT}
@@ -269,6 +269,9 @@ ends AS (SELECT topic, "partition", max("offset") - 5000 AS before FROM log GROU
 SELECT log.* FROM log JOIN ends USING (topic, "partition") WHERE "offset" > before""",
     "events_with_time_factors": f"""WITH {FEED}, {SEGMENT_TYPES},
 timed AS (SELECT event_id, event_time, h3_zone, type FROM feed LEFT JOIN segment_types USING (h3_zone)),
+{enriched('timed')} SELECT * FROM enriched""",
+    "events_with_loaded_factors": f"""WITH {FEED}, {SEGMENT_TYPES},
+timed AS (SELECT event_id, event_time, h3_zone, type FROM feed LEFT JOIN segment_types USING (h3_zone)),
 {enriched('timed')} SELECT * FROM enriched""",
     "expected_zone_rates": f"WITH {RATES} SELECT * FROM rates",
     "expected_zone_multiplier": f"""WITH {RATES}
@@ -278,6 +281,11 @@ SELECT h3_zone, event_time, expected_requests, expected_available,
     "pattern_violations": f"WITH {VIOLATIONS}",
     "zones_within_radius": f"WITH {CELLS}, {inside(ZONES)} SELECT * FROM inside ORDER BY h3_zone",
     "zone_dimension": f"WITH {CELLS}, {dimension(ZONES, '2024-01-01', 'zones')} SELECT * FROM zones",
+    "zones_read": f"""WITH {CELLS}, {dimension(MOVED, '2024-02-01', 'zones')}
+SELECT zone_id, h3_zone, type, base_demand, base_supply, avg_distance, price_sensitivity, center_lat, center_lon
+FROM zones ORDER BY h3_zone""",
+    "map_zones_read": f"""WITH {CELLS}, {dimension(MOVED, '2024-02-01', 'zones')}
+SELECT zone_id, h3_zone, type, center_lat, center_lon FROM zones ORDER BY h3_zone""",
     "zone_upsert": f"""WITH {TWICE}
 SELECT * FROM first WHERE h3_zone NOT IN (SELECT h3_zone FROM second) UNION ALL SELECT * FROM second""",
     "zone_upsert_keeping_created": f"""WITH {TWICE}

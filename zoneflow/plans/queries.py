@@ -14,13 +14,14 @@ from zoneflow.operators import board, events, pricing, time_patterns as patterns
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC
 from zoneflow.plans.tables import (
     DAILY, HOURLY, MOVED, TUMBLING, as_feed, cells, feed, latest_time, ntz, pattern_documents, raw_messages,
-    read, segment_types, update_log,
+    read, segment_types, shipped_patterns, state_store, update_log,
 )
 from zoneflow.session import materialize, new_folder
 from zoneflow.sources import messages
-from zoneflow.sources.streams import table_sink
-from zoneflow.sources.zones import field_gaps
-from zoneflow.streaming.pricing import pricing_stream, run_to_end
+from zoneflow.sources.config import load_time_patterns
+from zoneflow.sources.streams import read_log, table_sink
+from zoneflow.sources.zones import RATE_FIELDS, field_gaps, read_map_zones, read_zones, write_snapshot
+from zoneflow.streaming.pricing import run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,12 +73,15 @@ def latest_closed_zone_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pricing_update_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pricing.compact_updates(update_log(feed(spark, sf_dir), DAILY, DAILY.slide_seconds))
+    """The log of a stream that folds it every third batch, and what came after the last fold."""
+    log = read_log(spark, update_log(spark, sf_dir, fold=pricing.compact_updates, fold_every=3))
+    return ntz(pricing.compact_updates(log), "window_start", "window_end").drop("calculated_at")
 
 
 @query
 def latest_of_update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pricing.latest_pricing(update_log(feed(spark, sf_dir), DAILY, DAILY.slide_seconds))
+    log = read_log(spark, update_log(spark, sf_dir))
+    return ntz(pricing.latest_pricing(log), "window_start", "window_end").drop("calculated_at")
 
 
 @query
@@ -126,6 +130,17 @@ def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent(spark, sf_dir)
 
 
+@query
+def recent_received_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose time could not be read count by when they were received."""
+    table = feed(spark, sf_dir)
+    now = latest_time(table)
+    unread = F.col("props").isin('{"k": 3}', '{"k": 7}')
+    received = as_feed(read(spark, sf_dir, "events"), "props").withColumns({
+        "received_at": F.col("event_time") + F.expr("INTERVAL 1 HOUR"), "event_time": F.when(~unread, F.col("event_time"))})
+    return events.recent_events(received, now, RECENT_SECONDS).drop("props")
+
+
 @query
 def request_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.event_points(recent(spark, sf_dir), RIDE_REQUESTS_TOPIC)
@@ -166,6 +181,14 @@ def events_with_time_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.enrich_with_time_factors(typed, time_patterns(spark))
 
 
+@query
+def events_with_loaded_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the shipped patterns written as a config file and loaded from it."""
+    typed = feed(spark, sf_dir).select("event_id", "event_time", "h3_zone").join(
+        segment_types(spark, sf_dir), "h3_zone", "left")
+    return patterns.enrich_with_time_factors(typed, load_time_patterns(spark, shipped_patterns(spark)))
+
+
 @query
 def expected_zone_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected rates of every zone in every hour it was active in."""
@@ -238,6 +261,24 @@ def zone_field_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return field_gaps(known.join(cells(spark, sf_dir), "h3_zone"), ("h3_zone", "type", "center_lat", "avg_distance"))
 
 
+def snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with two versions of the dimension, of which readers see the second."""
+    root = new_folder(spark, "zones")
+    for built in seeded_twice(spark, sf_dir):
+        write_snapshot(built, root)
+    return root
+
+
+@query
+def zones_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_zones(spark, snapshots(spark, sf_dir)).select(*RATE_FIELDS)
+
+
+@query
+def map_zones_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_map_zones(spark, snapshots(spark, sf_dir))
+
+
 # Zone board
 
 
@@ -284,41 +325,33 @@ def board_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-# Streams: files in, update log out, folded at the end
-
-
-def stream_prices(spark: SparkSession, sf_dir: str, mode: str = "update") -> str:
-    """Run the pricing stream over the events table to its end; returns the folder it wrote."""
-    source = spark.readStream.schema(read(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events*.parquet")
-    table = as_feed(source).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    out = new_folder(spark, "prices")
-    run_to_end(table_sink(pricing_stream(table, DAILY), out, new_folder(spark, "prices-checkpoint"), mode))
-    return out
+# Streams: ordered files in, one per trigger; update log out, folded at the end
 
 
 @query
 def stream_zone_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = spark.read.parquet(stream_prices(spark, sf_dir)).drop("batch_id")
+    log = read_log(spark, update_log(spark, sf_dir))
     return ntz(pricing.compact_updates(log), "window_start", "window_end").drop("calculated_at")
 
 
 @query
 def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: each window once, after the watermark has passed its end."""
-    closed = spark.read.parquet(stream_prices(spark, sf_dir, "append"))
-    return ntz(closed, "window_start", "window_end").drop("batch_id", "calculated_at")
+    closed = read_log(spark, update_log(spark, sf_dir, "append"))
+    return ntz(closed, "window_start", "window_end").drop("calculated_at")
 
 
 @query
 def stream_latest_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second stream over the first one's update log."""
-    prices = stream_prices(spark, sf_dir)
-    schema = spark.read.parquet(prices).drop("batch_id").schema
-    log = spark.readStream.schema(schema).parquet(f"{prices}/*")
+    """A second stream over the first one's update log, kept as a table with one row per zone."""
+    prices = update_log(spark, sf_dir)
+    schema = read_log(spark, prices).schema
+    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{prices}/*/*")
     out = new_folder(spark, "latest")
-    run_to_end(table_sink(pricing.latest_pricing(log), out, new_folder(spark, "latest-checkpoint")))
-    latest = pricing.latest_pricing(spark.read.parquet(out).drop("batch_id"))
-    return ntz(latest, "window_start", "window_end").drop("calculated_at")
+    with state_store(spark):
+        run_to_end(table_sink(pricing.latest_pricing(log), out, new_folder(spark, "latest-checkpoint"),
+                              fold=pricing.latest_pricing, fold_every=1))
+    return ntz(read_log(spark, out), "window_start", "window_end").drop("calculated_at")
 
 
 def _hour():

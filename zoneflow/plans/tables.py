@@ -6,16 +6,20 @@ busy) of the customer's cell; ``customer`` rows are the candidate cells. Both gr
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zoneflow.defaults import ZONES, Area
-from zoneflow.operators.events import with_indicators
-from zoneflow.operators.pricing import price_windows
+from zoneflow.defaults import TIME_PATTERNS, ZONES, Area
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC, PricingParams
+from zoneflow.session import SETTINGS, new_folder
+from zoneflow.sources.folders import data_files, set_order
+from zoneflow.sources.streams import table_sink
+from zoneflow.streaming.pricing import pricing_stream, run_to_end
 
 # A cell sees a few events a day: day-long windows, every eight hours.
 DAILY = PricingParams(window_seconds=86_400, slide_seconds=28_800)
@@ -96,18 +100,45 @@ def segment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select(F.col("c_name").alias("h3_zone"), kind.alias("type"))
 
 
-def update_log(events: DataFrame, params: PricingParams, trigger_seconds: int) -> DataFrame:
-    """What a stream in update mode emits: every window anew at each trigger that changes it."""
-    ticks = events.withColumn("calculated_at", F.window("event_time", f"{trigger_seconds} seconds").end)
-    windows = with_indicators(ticks, params).groupBy(
-        F.window("event_time", params.window, params.slide), "h3_zone", "calculated_at"
-    ).agg(F.sum("demand_increment").alias("demand"), F.sum("available_driver_increment").alias("supply"))
-    so_far = W.partitionBy("window", "h3_zone").orderBy("calculated_at")
-    counted = windows.withColumns({
-        "demand_count": F.sum("demand").over(so_far).cast("int"),
-        "available_driver_count": F.sum("supply").over(so_far).cast("int"),
-    })
-    return price_windows(counted, params, "calculated_at")
+STREAM_FILES = 8  # pieces of time of a replayed table, one per trigger
+
+
+def ordered_files(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as a stream would bring them: files in order of time, and last one with old events once more.
+
+    Modification times put the files in order, as they would be if each had been written when its events happened. The events
+    of the last file are late for every window they lie in.
+    """
+    events = read(spark, sf_dir, "events")
+    folder = new_folder(spark, "events")
+    events.repartitionByRange(STREAM_FILES, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/ontime")
+    first_day = events.agg(F.min("ts") + F.expr("INTERVAL 1 DAY")).first()[0]
+    events.where(F.col("ts") < F.lit(first_day)).coalesce(1).write.parquet(f"{folder}/late")
+    set_order(spark, [*data_files(spark, f"{folder}/ontime"), *data_files(spark, f"{folder}/late")])
+    return folder
+
+
+def update_log(spark: SparkSession, sf_dir: str, mode: str = "update", **sink: object) -> str:
+    """Run the pricing stream over the ordered files to its end, one file per trigger; returns the folder of its log."""
+    source = spark.readStream.schema(read(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1)
+    table = as_feed(source.parquet(f"{ordered_files(spark, sf_dir)}/*"))
+    table = table.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    out = new_folder(spark, "prices")
+    with state_store(spark):
+        run_to_end(table_sink(pricing_stream(table, DAILY), out, new_folder(spark, "prices-checkpoint"), mode, **sink))
+    return out
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store of ``SETTINGS`` for queries that start inside, whatever the session has."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, SETTINGS[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def pattern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +159,20 @@ def pattern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select(F.col("c_name").alias("config"), document.alias("document"))
 
 
+def shipped_patterns(spark: SparkSession) -> str:
+    """The shipped time patterns as a JSON config file in the shared folder."""
+    config = {
+        "time_patterns": [
+            {"pattern_id": name, "day_type": day, "hours": list(hours), "zone_type_multipliers": {
+                kind: {"demand_factor": demand, "supply_factor": supply} for kind, (demand, supply) in factors.items()}}
+            for name, day, hours, factors in TIME_PATTERNS],
+        "default": {"demand_factor": 1.0, "supply_factor": 1.0},
+    }
+    path = new_folder(spark, "patterns")
+    spark.range(1).select(F.lit(json.dumps(config)).alias("value")).write.text(path)
+    return path
+
+
 def ntz(df: DataFrame, *names: str) -> DataFrame:
     """Timestamps as wall-clock UTC, as the SQL side has them."""
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})

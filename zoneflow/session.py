@@ -39,8 +39,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Unused path below the shared folder."""
-    return f"{shared_folder(spark)}/zoneflow/{label}-{uuid.uuid4().hex}"
+    """Unused path below the shared folder; it goes when the application ends."""
+    own = f"{shared_folder(spark)}/zoneflow/{spark.sparkContext.applicationId}"
+    if own not in _OWN_FOLDERS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN_FOLDERS.add(own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+_OWN_FOLDERS: set[str] = set()
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from zoneflow import schemas
 from zoneflow.params import PricingParams
+from zoneflow.sources.folders import numbered, remove, subfolders
 
-TAIL_MESSAGES = 5000  # fixed values: messages per partition a late reader starts with,
-POLL_MESSAGES = 2000  # and messages per refresh
-BOOTSTRAP_SERVERS = "localhost:29092"
+TAIL_MESSAGES = 5000  # fixed value: messages per partition a late reader starts with
+BOOTSTRAP_SERVERS = "localhost:9092"
 
 
 def kafka_options(servers: str, topics: Iterable[str], starting_offsets: str = "latest",
@@ -72,15 +74,79 @@ def kafka_sink(messages: DataFrame, topic: str, checkpoint: str, servers: str =
     )
 
 
-def table_sink(rows: DataFrame, path: str, checkpoint: str, mode: str = "update") -> DataStreamWriter:
-    """Writer of an update log as parquet, one folder per micro-batch.
+def table_sink(rows: DataFrame, path: str, checkpoint: str, mode: str = "update",
+               fold: Callable[[DataFrame], DataFrame] | None = None, fold_every: int = 100) -> DataStreamWriter:
+    """Writer of an update log as parquet, one folder per query and micro-batch, files by size and not by shuffle width.
 
-    File sinks refuse update mode. A batch that is run again after a failure replaces its own
-    folder, so each update is stored once.
+    File sinks refuse update mode. A batch that is run again after a failure replaces its own folder, so each update is
+    stored once. A query with a fresh checkpoint has a folder of its own and leaves the others' alone.
+
+    ``fold`` reduces a log to what still counts (``compact_updates``: a row per zone and window; ``latest_pricing``: a row
+    per zone). Every ``fold_every`` batches the query's log is replaced by its fold, so what ``read_log`` reads does not grow
+    with the number of triggers; with 1 the folder is a table with one row per key.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        own = f"{path}/query={_query_id(spark, checkpoint)}"
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{own}/batch_id={batch_id}")
+        if fold and (batch_id + 1) % fold_every == 0:
+            fold_log(spark, own, batch_id, fold)
 
     return (
         rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode)
     )
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint from its first start on."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+
+
+def fold_log(spark: SparkSession, own: str, upto: int, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace the batches up to ``upto`` of one query's log by their fold.
+
+    The fold counts once it is complete; only then do the folders go that it stands for. After a crash in between readers
+    skip them, and the next fold removes them.
+    """
+    if upto not in numbered(spark, own, "folded"):
+        fold(_log_of(spark, own, upto)).hint("rebalance").write.mode("overwrite").parquet(f"{own}/folded={upto}")
+    for name, last in (("batch_id", upto), ("folded", upto - 1)):
+        for number, folder in numbered(spark, own, name, committed=False).items():
+            if number <= last:
+                remove(spark, folder)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a log that ``table_sink`` has written: for each query the newest fold and the batches after it."""
+    logs = [_log_of(spark, own) for own in subfolders(spark, path, "query")]
+    logs = [log for log in logs if log is not None]
+    if not logs:
+        raise RuntimeError(f"no committed batches in {path}")
+    return reduce(DataFrame.unionByName, logs)
+
+
+def _log_of(spark: SparkSession, own: str, upto: int | None = None) -> DataFrame | None:
+    folds = {n: folder for n, folder in numbered(spark, own, "folded").items() if upto is None or n <= upto}
+    newest = max(folds, default=-1)
+    folders = [folder for n, folder in numbered(spark, own, "batch_id").items() if n > newest and (upto is None or n <= upto)]
+    folders += [folds[newest]] if folds else []
+    return spark.read.parquet(*folders) if folders else None
+
+
+def topic_bounds(spark: SparkSession, topics: Iterable[str], servers: str = BOOTSTRAP_SERVERS) -> list[tuple[str, int, int, int]]:
+    """(topic, partition, begin, end) of what the broker holds now; one row per topic partition reaches the driver."""
+    settings = kafka_options(servers, topics, "earliest")
+    held = spark.read.format("kafka").options(**settings).load().groupBy("topic", "partition").agg(
+        F.min("offset").alias("begin"), (F.max("offset") + 1).alias("end"))
+    return [tuple(row) for row in held.collect()]
+
+
+def starting_offsets(start: str, bounds: Callable[[], Iterable[tuple[str, int, int, int]]], tail: int = TAIL_MESSAGES) -> str:
+    """``startingOffsets`` of a first start: ``earliest``, ``latest``, or ``tail`` for the last messages of each partition.
+
+    Partitions without messages are not among ``bounds``; where there are none at all, everything to come is read.
+    """
+    if start != "tail":
+        return start
+    held = list(bounds())
+    return tail_offsets(held, tail) if held else "earliest"
