@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from zoneflow.llm import html_text as H
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+
+
+def page(rng, i):
+    text = lambda n: " ".join(rng.choice(WORDS) for _ in range(n)).capitalize() + "."
+    return (f"<html><body><nav><ul><li><a href='/'>{text(2)}</a></li></ul></nav><article><h1>{text(4)}</h1>"
+            + "".join(f"<p>{text(rng.randrange(3, 40))}</p>" for _ in range(rng.randrange(2, 7)))
+            + f"</article><footer>{text(6)}</footer></body></html>")
+
+
+@pytest.fixture(scope="module")
+def model():
+    rng = random.Random(1)
+    return H.train(H.labelled_variants([page(rng, i) for i in range(200)]))
+
+
+def test_messages_equal_enumeration(model):
+    """Marginals of a small tree by summing over all joint states."""
+    tree = H.parse("<div class=menu><p>one</p>x</div><article><p>two words here.</p></article>")
+    own, tables, n = model.own(tree), model.tables(), len(tree.parent)
+    mass = [0.0] * n
+    whole = 0.0
+    for states in itertools.product((0, 1), repeat=n):
+        weight = math.prod(math.exp(own[i] * s) for i, s in enumerate(states))
+        weight *= math.prod(tables[tree.kind[i]][2 * states[tree.parent[i]] + states[i]] for i in range(1, n))
+        whole += weight
+        for i, s in enumerate(states):
+            mass[i] += weight * s
+    total, _, _ = model.messages(tree)
+    assert [1 / (1 + math.exp(-t)) for t in total] == pytest.approx([m / whole for m in mass], rel=1e-9)
+
+
+def test_held_out_layouts(model):
+    rng = random.Random(7)
+    runs = good = 0
+    for source in H.labelled_variants([page(rng, i) for i in range(150)], seed=8):
+        tree = H.parse(source)
+        labels, (total, _, _) = H.labels_of(tree), model.messages(tree)
+        for text, label, odds in zip(tree.text, labels, total, strict=True):
+            if text is not None:
+                runs += 1
+                good += (odds > 0) == bool(label)
+    assert good / runs > 0.97
+
+
+def test_text_of_pages(model):
+    source = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body>
+    <div id="cookie-banner">We use cookies.</div><nav><a href="/">Home</a></nav><!-- <p>no</p> -->
+    <article><h1>A  title &amp;\n more</h1><p><b>First &lt;b&gt;<br>line<p>Second\tline &eacute;&#33; of <a href=x>the text</a> goes on.</p>
+    <form><label>Mail</label><input name=a></form><div class="ad">Buy now.</div>
+    <section class="comments"><p>I liked it, a reader says here.</p></section></article>
+    <aside><p>Read this as well, says the sidebar here.</p></aside><footer>&copy; Imprint</footer></body>"""
+    assert model.extract(source).split("\n") == ["A title & more", "First <b> line", "Second line é! of the text goes on."]
+    assert model.extract(None) == model.extract("") == model.extract("<html><body></body></html>") == ""
+    assert model.extract("<html><body><article>" + "<p>Words of one line.</p>" * 5000) == "\n".join(["Words of one line."] * 5000)
+
+
+@pytest.mark.parametrize("source", [
+    "<", "<p", "</", "<p class='a", "a < b > c", "<p>" * 3000, "</div>" * 3000, "<div>" * 3000 + "x" + "</div>" * 3000,
+    "<!-- open", "<script>open", "<a <b <c>", "&", "&#0;&#xfffffff;&nope;", "<p/><br/>x", "\x00<p>퟿</p>", "<1>2</1>", '<p a="' * 500,
+])
+def test_broken_markup(model, source):
+    assert isinstance(model.extract(source), str)
+
+
+def test_query_form_and_odd_rows(spark):
+    rng = random.Random(3)
+    rows = [(i, f"http://x/{i}", page(rng, i)) for i in range(60)]
+    pages = spark.createDataFrame([*rows, rows[0], (None, None, None), (99, "u", "")], "page_id long, url string, html string").withColumn("text", F.lit("x"))
+    model = H.fit(pages, sample=50)
+    got = H.extract_text(pages, model)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    found = got.collect()
+    assert len(found) == 63
+    by_id = {r.page_id: r for r in found}
+    for i, _, source in rows:
+        inside = source.split("<article>")[1].split("</article>")[0]
+        want = [x for x in inside.replace("<h1>", "\n").replace("</h1>", "\n").replace("<p>", "\n").replace("</p>", "\n").split("\n") if x]
+        assert by_id[i].text == "\n".join(want) and by_id[i].n_chars == len(by_id[i].text)
+    assert (by_id[None].text, by_id[None].n_chars, by_id[99].text) == ("", 0, "")
+    empty = pages.limit(0)
+    assert H.extract_text(empty, H.fit(empty)).collect() == []

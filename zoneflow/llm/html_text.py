@@ -12,7 +12,7 @@ import html
 import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -66,6 +66,7 @@ class Page:
     features: list[tuple[str, ...]] = field(default_factory=list)
     text: list[str | None] = field(default_factory=list)
     label: list[str | None] = field(default_factory=list)
+    weight: list[float] = field(default_factory=list)
 
     def add(self, parent: int, kind: int, features: tuple[str, ...], text: str | None, label: str | None) -> int:
         for values, value in zip((self.parent, self.kind, self.features, self.text, self.label),
@@ -162,9 +163,33 @@ def parse(source: str) -> Page:
         if not attributes.endswith("/"):
             stack.append((name, node, _link_kind(name, hints), label))
     flush()
+    page.weight = _weights(page)
     return page
 
 
+def _weights(page: Page) -> list[float]:
+    """How much each node's features count: the runs of one container look alike, so many of them tell no more than a few.
+
+    Runs and text elements are counted by the nearest element that holds them and is none itself.
+    """
+    holder = list(range(len(page.parent)))
+    text = [own is not None or tag[0].removeprefix("tag=") in TEXT_BLOCKS for own, tag in zip(page.text, page.features, strict=True)]
+    for i, is_text in enumerate(text):
+        if is_text:
+            holder[i] = holder[page.parent[i]]
+    runs, elements = Counter(), Counter()
+    for i, is_text in enumerate(text):
+        if is_text:
+            (elements if page.text[i] is None else runs)[holder[i]] += 1
+    return [
+        1.0 if not is_text else min(1.0, ALIKE / (elements if page.text[i] is None else runs)[holder[i]])
+        for i, is_text in enumerate(text)]
+
+
+#: Runs of one container whose features count in full.
+ALIKE = 4
+
+
 def _link_kind(name: str, hints: list[str]) -> int:
     """Kind of the links from an element to what it holds: the page itself, plain containers, telling ones, text elements."""
     if name in ("html", "body"):
@@ -204,7 +229,7 @@ class TreeModel:
 
     def own(self, page: Page) -> list[float]:
         get = self.weights.get
-        return [sum(get(f, 0.0) for f in features) for features in page.features]
+        return [w * sum(get(f, 0.0) for f in features) for features, w in zip(page.features, page.weight, strict=True)]
 
     def messages(self, page: Page) -> tuple[list[float], list[float], list[float]]:
         """Sum-product, exact on a tree. Log-odds of each node (its marginal), of its subtree alone, and of its parent without it."""
@@ -256,7 +281,7 @@ def train(pages: list[str], rounds: int = 80, rate: float = 0.6) -> TreeModel:
             for i, features in enumerate(page.features):
                 miss = states[i] - 1 / (1 + math.exp(-max(-30.0, min(30.0, total[i]))))
                 for name in features:
-                    slopes[name] += miss
+                    slopes[name] += miss * page.weight[i]
                 if i:
                     a, b = (math.exp(max(-30.0, min(30.0, x))) for x in (outside[i], below[i]))
                     t = tables[page.kind[i]]
