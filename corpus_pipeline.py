@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from zoneflow.llm.bpe import encode_documents, read_ranks
-from zoneflow.llm.common import table
+from zoneflow.llm.common import ship_package, table
 from zoneflow.llm.line_templates import drop_recurring_lines
 from zoneflow.llm.mixing import order_documents
 from zoneflow.llm.quality import clean_documents
@@ -25,11 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines whose template recurs and stands in an earlier document already."""
+    ship_package(spark)
     return drop_recurring_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class."""
+    ship_package(spark)
     return drop_near_duplicates(docs)
 
 
@@ -40,6 +42,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their ids in place of their text."""
+    ship_package(spark)
     return encode_documents(docs, read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
 
 

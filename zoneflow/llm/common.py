@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import zoneflow
+
 #: Word separators of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -15,6 +22,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -49,3 +57,24 @@ def hashed_sample(rows: DataFrame, key: Column, bound: int, where: Column | None
     if where is not None:
         rows = rows.filter(where)
     return rows.orderBy(key).limit(bound)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hands this library's code to the Python workers, once per application, through Spark's own file distribution.
+
+    Workers import what tasks refer to; a driver that found the library by its working folder has told them nothing.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(zoneflow.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="zoneflow-code-")) / "zoneflow.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
