@@ -22,7 +22,7 @@ from zoneflow.plans.tables import DAILY, HOURLY, as_feed
 from zoneflow.sources.messages import encode_events
 from zoneflow.sources.streams import read_file_stream, table_sink
 from zoneflow.streaming.pricing import pricing_messages, run_to_end
-from zoneflow.streaming.progress import late_rows_dropped, records_read
+from zoneflow.streaming.progress import ProgressCounter
 
 
 def copies(spark: SparkSession, source: str, count: int) -> DataFrame:
@@ -55,14 +55,15 @@ def stream_trial(spark: SparkSession, events: DataFrame, folder: str) -> None:
             for name in os.listdir(f"{folder}/in/{directory}"):
                 age = 1_700_000_000 + int(directory[5:])
                 os.utime(f"{folder}/in/{directory}/{name}", (age, age))
+    counter = ProgressCounter.listen(spark)
     start = time.perf_counter()
     raw = read_file_stream(spark, f"{folder}/in/slot=*", max_per_trigger=10)
     query = run_to_end(table_sink(pricing_messages(raw, PricingParams()), f"{folder}/out", f"{folder}/checkpoint"))
-    seconds, rows = time.perf_counter() - start, records_read(query)
+    seconds, rows = time.perf_counter() - start, counter.records_read(query)
     state = max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators)
     print(f"{'stream 15 s / 5 s, JSON':34s}{seconds:7.1f} s {rows / seconds / 1e6:7.2f} M events/s "
           f"{rows} rows, {len(query.recentProgress)} batches, state {state} rows, "
-          f"late {late_rows_dropped(query)}", flush=True)
+          f"late {counter.late_rows_dropped(query)}", flush=True)
 
 
 def main() -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One message on an event topic, as the pricing job reads it.
+# One message on an event topic, as the pricing job reads it.
 EVENT = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("timestamp", T.StringType()),

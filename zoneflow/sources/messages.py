@@ -34,7 +34,7 @@ def encode_events(events: DataFrame, *more: str) -> DataFrame:
 def encode_pricing(pricing: DataFrame, calculated_at: Column | None = None, keep_nulls: bool = False) -> DataFrame:
     """Priced zone windows as messages: key is the zone, value the JSON of eight fields.
 
-    Timestamps become text. A NULL pressure is left out of the JSON unless ``keep_nulls`` is set.
+    Fixed values: names and order of the fields are the wire format. Timestamps become text. A NULL pressure is left out of the JSON unless ``keep_nulls`` is set.
     """
     stamp = F.current_timestamp() if calculated_at is None else calculated_at
     value = F.to_json(
