@@ -47,8 +47,6 @@ def quotas(weights: Mapping[int, float], period: int) -> dict[int, int]:
     left = period - sum(share.values())
     for g in sorted(exact, key=lambda g: (-(exact[g] * scale % 1), g))[:left]:
         share[g] += 1
-    for g in sorted(share)[: period - sum(share.values())]:  # only when all weights are equal to one slot
-        share[g] += 1
     return share
 
 

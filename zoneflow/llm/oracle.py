@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from zoneflow.llm.common import LOWER, UPPER
+from zoneflow.llm.mixing import BUCKETS, MixParams
 from zoneflow.llm.quality import BOILERPLATE, SEPARATORS, SYMBOLS, QualityRules
 from zoneflow.llm.url_filter import RULES, UrlVocabulary
 
@@ -88,9 +89,46 @@ def url_sql(
         strict_hits, soft_hits, soft_weight FROM hits"""
 
 
+def mixing_sql(source: str = "documents", params: MixParams = MixParams()) -> str:
+    """Quotas by largest remainder, one period played slot by slot, and every row's place in it."""
+    period, rows, most = params.period, params.block_rows, params.max_groups - 1
+    return f"""
+    WITH RECURSIVE ranked AS (
+        SELECT source, count(*) AS n, least(row_number() OVER (ORDER BY count(*) DESC, source ASC NULLS LAST) - 1, {most}) AS g
+        FROM {source} GROUP BY source),
+    weighted AS (SELECT g, sum(n)::BIGINT AS n, pow(sum(n)::DOUBLE, {params.exponent}::DOUBLE) AS w FROM ranked GROUP BY g),
+    above AS (SELECT *, greatest(0, w / sum(w) OVER () * {period} - 1) AS x, {period} - count(*) OVER () AS spare FROM weighted),
+    scaled AS (SELECT *, x * (spare / sum(x) OVER ()) AS y FROM above),
+    quotas AS (
+        SELECT g, n, 1 + floor(y)::BIGINT
+            + (row_number() OVER (ORDER BY y - floor(y) DESC, g) <= spare - sum(floor(y)::BIGINT) OVER ())::BIGINT AS p
+        FROM scaled),
+    listed AS (SELECT list(p ORDER BY g) AS ps, list(n ORDER BY g) AS ns, count(*) AS groups FROM quotas),
+    played(t, done, before, pick) AS (
+        SELECT 0, list_transform(range(groups), lambda i: 0::BIGINT), NULL::BIGINT[], NULL::BIGINT FROM listed WHERE groups > 0
+        UNION ALL
+        SELECT t + 1, list_transform(range(len(done)), lambda i: done[i + 1] + (i = picked)::BIGINT), done, picked FROM (
+            SELECT t, done, list_min(list_transform(
+                list_filter(range(len(done)), lambda i: done[i + 1] < ps[i + 1] AND done[i + 1] * {period} // ps[i + 1] <= t),
+                lambda i: ((done[i + 1] + 1) * {period} + ps[i + 1] - 1) // ps[i + 1] * 1000 + i)) % 1000 AS picked
+            FROM played, listed WHERE t < {period})),
+    turns AS (SELECT pick AS g, before[pick + 1] AS nth, t - 1 AS place, before FROM played WHERE t > 0),
+    numbered AS (
+        SELECT doc_id, d.source, g, row_number() OVER (
+            PARTITION BY g ORDER BY coalesce((doc_id % {BUCKETS} + {BUCKETS}) % {BUCKETS}, {BUCKETS}), doc_id) - 1 AS i
+        FROM {source} AS d JOIN ranked AS r ON d.source IS NOT DISTINCT FROM r.source),
+    blocks AS (SELECT *, i // {rows} AS block, i // {rows} // p AS turn, i // {rows} % p AS nth FROM numbered JOIN quotas USING (g))
+    SELECT doc_id, source, g::INTEGER AS source_group, block, turn * {period} + place AS slot,
+        block * {period} // p AS release, ((block + 1) * {period} + p - 1) // p AS deadline,
+        list_sum(list_transform(range(groups), lambda j: least(ns[j + 1], (turn * ps[j + 1] + before[j + 1]) * {rows})))::BIGINT
+            + i % {rows} AS position
+    FROM blocks JOIN turns USING (g, nth), listed"""
+
+
 ORACLE = {
     "op1_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words,
             sha256(coalesce(cleaned, '')) AS cleaned_sha256 FROM judged""",
     "op3_url_filter": url_sql(),
+    "op9_source_mixing": mixing_sql(),
 }
