@@ -46,7 +46,7 @@ HINTS = {
     "talk": "comment comments commentlist discussion disqus replies reply respond reviews feedback",
     "form": "form login signup search searchbox contact register input",
     "share": "share sharing social follow tags meta byline author",
-    "text": "article content post entry story main body text page prose blog hentry contentinfo0",
+    "text": "article content post entry story main body text page prose blog hentry",
 }
 HINT_OF = {word: group for group, words in reversed(HINTS.items()) for word in words.split()}
 MARKED = {"article", "main", "nav", "header", "footer", "aside", "form", "menu", "dialog", "figure", "ul", "ol", "table"}
