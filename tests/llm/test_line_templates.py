@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from zoneflow.llm import line_templates
 from zoneflow.llm.line_templates import TemplateParams, drop_recurring_lines, line_report
 
 SCHEMA = "doc_id long, text string"
@@ -96,6 +97,23 @@ def test_repeated_rows_null_ids_long_texts_and_empty(spark):
     assert line_report(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_lists_beyond_the_checked_size_are_joined_by_a_shuffle(spark, monkeypatch):
+    docs = made()
+    frame = spark.createDataFrame(docs, SCHEMA)
+    near = drop_recurring_lines(frame)
+    monkeypatch.setattr(line_templates, "BROADCAST_BYTES", 0)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        far = drop_recurring_lines(frame)
+        assert "BroadcastHashJoin" in near._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in far._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, map(tuple, near.collect()))) == sorted(map(str, map(tuple, far.collect())))
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_a_word_without_end_is_read_in_one_pass(spark):
     got = line_report(spark.createDataFrame([(1, "x" * 1_000_000 + " a b c d"), (2, "9" * 1_000_000)], SCHEMA)).collect()
     assert [r.n_dropped for r in got] == [0, 0]

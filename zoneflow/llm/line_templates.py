@@ -26,6 +26,8 @@ from zoneflow.session import materialize
 
 _DIGIT = re.compile(rb"[0-9]")
 FIELD = b"<*>"
+#: Size up to which the lists of dropped lines are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -155,4 +157,8 @@ def _dropped(docs: DataFrame, params: TemplateParams) -> DataFrame:
             out.append({"text": b"\n".join(stay).decode(), "n_lines": len(every), "n_dropped": len(every) - len(stay)})
         return pa.array(out, pa.struct([("text", pa.string()), ("n_lines", pa.int32()), ("n_dropped", pa.int32())]))
 
+    # Few documents lose lines: up to a checked size their lists go to every task, and no text is shuffled for them.
+    keys, lines = found.agg(F.count("*"), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
+    if 64 * keys + 16 * lines <= BROADCAST_BYTES:
+        found = F.broadcast(found)
     return packed.join(found, "key", "left").select("__doc", without(F.col("__doc")["text"], F.col("lines")).alias("__new"))
