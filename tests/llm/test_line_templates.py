@@ -117,3 +117,13 @@ def test_lists_beyond_the_checked_size_are_joined_by_a_shuffle(spark, monkeypatc
 def test_a_word_without_end_is_read_in_one_pass(spark):
     got = line_report(spark.createDataFrame([(1, "x" * 1_000_000 + " a b c d"), (2, "9" * 1_000_000)], SCHEMA)).collect()
     assert [r.n_dropped for r in got] == [0, 0]
+
+
+def test_long_exact_lines_go_from_two_documents_on(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    numbered = "The committee met on 12 May and paid 300 crowns to the builders"
+    script = "\u6c34" * 40  # a line of one token
+    rows = [(1, f"{passage}\nown one"), (2, f"own two\n{passage}"), (3, numbered), (4, numbered), (5, numbered.replace("300", "900")),
+            (6, script), (7, script), (8, script + "\u706b"), (9, "a short shared line"), (10, "a short shared line")]
+    got = {r.doc_id: r.text for r in drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == dict(rows) | {2: "own two", 4: "", 7: ""}

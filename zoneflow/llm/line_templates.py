@@ -5,6 +5,9 @@ tokens and the first ``depth`` tokens. Inside a leaf, a token that many document
 template, any other is a variable field too, as long as enough of the line is constant. A template that recurs across
 documents is kept where it comes first and dropped everywhere else.
 
+Beside the templates, lines that recur exactly, digits and all, are kept where they come first: long ones from two documents
+on, whatever their script or number of tokens, shorter ones from as many as a template needs.
+
 The tree is never built in one place: nodes are hashes, and counting is a grouped aggregation by leaf, place and token, so a
 leaf may hold any share of all lines.
 """
@@ -32,10 +35,13 @@ BROADCAST_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class TemplateParams:
-    """``min_docs``: documents from which a template recurs. ``min_tokens``: shorter lines are left alone.
-    ``depth``: leading tokens that name a leaf. ``min_constant``: share of a template's tokens that must be constant."""
+    """``min_docs``: documents from which a template recurs. ``min_tokens``: shorter lines are left alone, unless they are long.
+    ``depth``: leading tokens that name a leaf. ``min_constant``: share of a template's tokens that must be constant.
+    ``exact_bytes``: a line of so many bytes is long, and ``exact_docs``: documents from which it recurs exactly."""
 
     min_docs: int = 5
+    exact_docs: int = 2
+    exact_bytes: int = 48
     min_tokens: int = 4
     depth: int = 3
     min_constant: float = 0.6
@@ -56,38 +62,68 @@ def parse_line(line: bytes, params: TemplateParams) -> tuple[int, int, list[byte
     return _hash(b" ".join(tokens)), _hash(leaf), tokens
 
 
+def exact_line(line: bytes, params: TemplateParams) -> tuple[int, bool] | None:
+    """``(hash of the unmasked line, whether it is long)``, spaces apart; None for a line that is left alone."""
+    tokens = line.split()
+    whole = b" ".join(tokens)
+    long = len(whole) >= params.exact_bytes
+    if not long and len(tokens) < params.min_tokens:
+        return None
+    return xxhash.xxh64_intdigest(whole, 1) - (1 << 63), long
+
+
 def _parsed(docs: DataFrame, params: TemplateParams) -> DataFrame:
-    """``(key, doc_id, line, leaf, tokens)``: the distinct parsed lines of each document, tokens as 32-bit hashes."""
+    """``(key, doc_id, exact, long, line, leaf, tokens)``: the distinct lines of each document, tokens as 32-bit hashes.
+
+    ``line``, ``leaf`` and ``tokens`` are null where the document has the masked line already, or the line is not parsed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column("key"), batch.column("text")
-            rows, lines, leaves, tokens = [], [], [], []
+            rows, exacts, longs, lines, leaves, tokens = [], [], [], [], [], []
             for row in range(batch.num_rows):
-                seen = set()
+                seen, seen_exact = set(), set()
                 for line in (texts[row].as_py() or "").encode().split(b"\n"):
+                    whole = exact_line(line, params)
+                    if not whole or whole[0] in seen_exact:
+                        continue
+                    seen_exact.add(whole[0])
+                    rows.append(row)
+                    exacts.append(whole[0])
+                    longs.append(whole[1])
                     found = parse_line(line, params)
-                    if found and found[0] not in seen:
+                    new = found and found[0] not in seen
+                    if new:
                         seen.add(found[0])
-                        rows.append(row)
-                        lines.append(found[0])
-                        leaves.append(found[1])
-                        tokens.append(np.array([xxhash.xxh32_intdigest(t) if t != FIELD else 0 for t in found[2]], "<u4").tobytes())
+                    lines.append(found[0] if new else None)
+                    leaves.append(found[1] if new else None)
+                    tokens.append(np.array([xxhash.xxh32_intdigest(t) if t != FIELD else 0 for t in found[2]], "<u4").tobytes() if new else None)
                 if len(rows) >= 20_000 or row == batch.num_rows - 1:
                     at = pa.array(rows, pa.int32())
                     yield pa.RecordBatch.from_arrays([
-                        keys.take(at), batch.column("doc_id").take(at), pa.array(lines, pa.int64()),
-                        pa.array(leaves, pa.int64()), pa.array(tokens, pa.binary())], names=["key", "doc_id", "line", "leaf", "tokens"])
-                    rows, lines, leaves, tokens = [], [], [], []
+                        keys.take(at), batch.column("doc_id").take(at), pa.array(exacts, pa.int64()), pa.array(longs, pa.bool_()),
+                        pa.array(lines, pa.int64()), pa.array(leaves, pa.int64()), pa.array(tokens, pa.binary())],
+                        names=["key", "doc_id", "exact", "long", "line", "leaf", "tokens"])
+                    rows, exacts, longs, lines, leaves, tokens = [], [], [], [], [], []
 
-    schema = docs.select("key", "doc_id").schema.add("line", "long").add("leaf", "long").add("tokens", "binary")
+    schema = docs.select("key", "doc_id").schema.add("exact", "long").add("long", "boolean").add(
+        "line", "long").add("leaf", "long").add("tokens", "binary")
     return docs.select("key", "doc_id", "text").mapInArrow(run, schema)
 
 
 def recurring_lines(docs: DataFrame, params: TemplateParams = TemplateParams()) -> DataFrame:
-    """``(key, lines)``: for documents (``key``, ``doc_id``, ``text``), the hashes of masked lines to be dropped."""
+    """``(key, lines)``: for documents (``key``, ``doc_id``, ``text``), the hashes of masked and of exact lines to be dropped."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
-    lines = materialize(_parsed(docs, params), "templates-lines")
+    every = materialize(_parsed(docs, params), "templates-lines")
+
+    # Lines that recur exactly, from two documents on if they are long.
+    same = every.groupBy("exact").agg(F.count("*").alias("docs"), F.max("long").alias("long"), first).filter(
+        F.col("docs") >= F.when(F.col("long"), params.exact_docs).otherwise(params.min_docs))
+    same = materialize(same.select("exact", F.col("first.key").alias("holder"), F.col("first.doc_id").alias("holder_id")), "templates-same")
+    repeated = every.select("key", "doc_id", F.col("exact").alias("line"), "exact").join(same, "exact").select(
+        "key", "doc_id", "line", "holder", "holder_id")
+
+    lines = every.filter(F.col("line").isNotNull()).select("key", "doc_id", "line", "leaf", "tokens")
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("docs")).filter(F.col("docs") >= params.min_docs).select("leaf")
     candidates = materialize(lines.join(materialize(leaves, "templates-leaves"), "leaf", "left_semi"), "templates-candidates")
 
@@ -115,13 +151,13 @@ def recurring_lines(docs: DataFrame, params: TemplateParams = TemplateParams())
     exact = candidates.select("key", "doc_id", "line").join(
         own.select("line", F.col("key").alias("holder"), F.col("doc_id").alias("holder_id")), "line")
     general = shaped.join(shapes, "template").select("key", "doc_id", "line", "holder", "holder_id")
-    dropped = exact.select("key", "doc_id", "line", "holder", "holder_id").unionByName(general).filter(
+    dropped = exact.select("key", "doc_id", "line", "holder", "holder_id").unionByName(general).unionByName(repeated).filter(
         ~(F.col("key").eqNullSafe(F.col("holder")) & F.col("doc_id").eqNullSafe(F.col("holder_id"))))
     return materialize(dropped.groupBy("key").agg(F.collect_set("line").alias("lines")), "templates-dropped")
 
 
 def drop_recurring_lines(docs: DataFrame, params: TemplateParams = TemplateParams()) -> DataFrame:
-    """``docs`` without the lines whose template recurs and first occurs in another document.
+    """``docs`` without the lines that recur, exactly or by their template, and first occur in another document.
 
     The first document is the one with the smallest ``doc_id``, a null id last; equal rows are one holder and all keep their
     lines. A text that loses all its lines is empty; null stays null. ``n_chars``, where there is one, is counted anew. All
@@ -153,7 +189,8 @@ def _dropped(docs: DataFrame, params: TemplateParams) -> DataFrame:
                 out.append({"text": None, "n_lines": 0, "n_dropped": 0})
                 continue
             every = text.encode().split(b"\n")
-            stay = [x for x in every if not (gone and (p := parse_line(x, params)) and p[0] in gone)]
+            stay = [x for x in every if not (gone and (
+                (e := exact_line(x, params)) and e[0] in gone or (p := parse_line(x, params)) and p[0] in gone))]
             out.append({"text": b"\n".join(stay).decode(), "n_lines": len(every), "n_dropped": len(every) - len(stay)})
         return pa.array(out, pa.struct([("text", pa.string()), ("n_lines", pa.int32()), ("n_dropped", pa.int32())]))
 
