@@ -127,3 +127,15 @@ def test_long_exact_lines_go_from_two_documents_on(spark):
             (6, script), (7, script), (8, script + "\u706b"), (9, "a short shared line"), (10, "a short shared line")]
     got = {r.doc_id: r.text for r in drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == dict(rows) | {2: "own two", 4: "", 7: ""}
+
+
+def test_lines_that_only_share_fields_or_leading_words_stay(spark):
+    word = lambda i: "abcdefgh"[i] * 4
+    lines = [
+        lambda i: f"{i}1 {i}2 {i}3 {i}4", lambda i: f"Total {i}1 {i}2 {i}3 {i}4 {i}5 {i}6", lambda i: f"The king was {word(i)}",
+        lambda i: f"The queen of {word(i)} {word(i + 1)}", lambda i: f"Then came the {word(i)} {i}1 {i}2 with {word(i + 1)}"]
+    rows = [(i, "\n".join(line(i) for line in lines)) for i in range(7)]
+    same = "11 22 33 44"
+    rows += [(20 + i, f"{same}\nSeen on day {i} by the whole town") for i in range(5)]
+    got = {r.doc_id: r.text for r in drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {**dict(rows), **{20 + i: "" for i in range(1, 5)}}

@@ -36,7 +36,8 @@ BROADCAST_BYTES = 64 << 20
 @dataclass(frozen=True)
 class TemplateParams:
     """``min_docs``: documents from which a template recurs. ``min_tokens``: shorter lines are left alone, unless they are long.
-    ``depth``: leading tokens that name a leaf. ``min_constant``: share of a template's tokens that must be constant.
+    ``depth``: leading tokens that name a leaf. ``min_constant``: share of a template's tokens that must be constant, and
+    again of those behind the leading ones, where fields do not count and ``min_named`` is the least number.
     ``exact_bytes``: a line of so many bytes is long, and ``exact_docs``: documents from which it recurs exactly."""
 
     min_docs: int = 5
@@ -45,6 +46,7 @@ class TemplateParams:
     min_tokens: int = 4
     depth: int = 3
     min_constant: float = 0.6
+    min_named: int = 2
 
 
 def _hash(data: bytes) -> int:
@@ -62,6 +64,12 @@ def parse_line(line: bytes, params: TemplateParams) -> tuple[int, int, list[byte
     return _hash(b" ".join(tokens)), _hash(leaf), tokens
 
 
+def is_told(tokens: list[bytes], params: TemplateParams) -> bool:
+    """Whether a masked line has enough tokens that are neither fields nor leading ones; below, only exact repeats recur."""
+    named = sum(t != FIELD for t in tokens[params.depth:])
+    return named >= max(params.min_named, params.min_constant * (len(tokens) - params.depth))
+
+
 def exact_line(line: bytes, params: TemplateParams) -> tuple[int, bool] | None:
     """``(hash of the unmasked line, whether it is long)``, spaces apart; None for a line that is left alone."""
     tokens = line.split()
@@ -75,7 +83,7 @@ def exact_line(line: bytes, params: TemplateParams) -> tuple[int, bool] | None:
 def _parsed(docs: DataFrame, params: TemplateParams) -> DataFrame:
     """``(key, doc_id, exact, long, line, leaf, tokens)``: the distinct lines of each document, tokens as 32-bit hashes.
 
-    ``line``, ``leaf`` and ``tokens`` are null where the document has the masked line already, or the line is not parsed."""
+    ``line``, ``leaf`` and ``tokens`` are null where the document has the masked line already, or the line is no template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +100,7 @@ def _parsed(docs: DataFrame, params: TemplateParams) -> DataFrame:
                     exacts.append(whole[0])
                     longs.append(whole[1])
                     found = parse_line(line, params)
-                    new = found and found[0] not in seen
+                    new = found and found[0] not in seen and is_told(found[2], params)
                     if new:
                         seen.add(found[0])
                     lines.append(found[0] if new else None)
@@ -140,9 +148,11 @@ def recurring_lines(docs: DataFrame, params: TemplateParams = TemplateParams())
     constant = places.groupBy("leaf", "place", "token").agg(F.count("*").alias("docs")).filter(F.col("docs") >= params.min_docs)
     constant = materialize(constant.select("leaf", "place", "token"), "templates-constant")
     kept = places.join(constant, ["leaf", "place", "token"]).groupBy("key", "doc_id", "line", "leaf").agg(
-        F.sum(F.xxhash64("place", "token").cast("decimal(38,0)")).alias("constants"), F.count("*").alias("n"))
+        F.sum(F.xxhash64("place", "token").cast("decimal(38,0)")).alias("constants"), F.count("*").alias("n"),
+        F.count_if((F.col("place") >= params.depth) & (F.col("token") != F.lit(bytes(4)))).alias("named"))
     sizes = rest.select("key", "line", size.alias("size")).distinct()
-    shaped = kept.join(sizes, ["key", "line"]).filter(F.col("n") >= F.col("size") * params.min_constant).select(
+    told = F.col("named") >= F.greatest(F.lit(params.min_named), (F.col("size") - params.depth) * params.min_constant)
+    shaped = kept.join(sizes, ["key", "line"]).filter((F.col("n") >= F.col("size") * params.min_constant) & told).select(
         "key", "doc_id", "line", F.xxhash64("leaf", "constants", "n").alias("template"))
     shaped = materialize(shaped, "templates-shaped")
     shapes = shaped.groupBy("template").agg(F.count_distinct("key").alias("docs"), first).filter(F.col("docs") >= params.min_docs)
