@@ -85,3 +85,19 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], SCHEMA)
     text = mix_sources(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_hundreds_of_sources_keep_their_own_targets(spark):
+    names = [f"site{i:03}" for i in range(150)]
+    targets = {s: 40.0 if i == 149 else 1.0 + i % 3 for i, s in enumerate(names)}
+    rows = [(i * 150 + k, s) for k, s in enumerate(names) for i in range(60 if k == 149 else 8 - (k > 100))]
+    got = mix_sources(spark.createDataFrame(rows, SCHEMA), MixParams(block_rows=1), targets).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert len({r.source_group for r in got}) == 150 and all(r.release <= r.slot < r.deadline for r in got)
+    total, done = sum(targets.values()), Counter()
+    last = min(max(r.slot for r in got if r.source == s) for s in names)
+    for r in got:  # while no source has run out, each is under a block from its target, but for rounding to whole slots
+        if r.slot <= last:
+            assert r.slot == r.position
+            done[r.source] += 1
+            assert all(abs(done[s] - (r.slot + 1) * w / total) < 1.25 for s, w in targets.items())

@@ -3,7 +3,8 @@
 One slot takes one block of one source. With ``p`` of ``period`` slots, block ``k`` of a source may not start before slot
 ``floor(k * period / p)`` and must be done by slot ``ceil((k + 1) * period / p)``. Earliest deadline first meets all these
 windows, hence no source is ever a whole block ahead of or behind its target. The schedule repeats after ``period`` slots,
-so one period is worked out from the weights alone, and every row finds its place by arithmetic: no global sort, no counter.
+so one period is worked out from the weights alone. Blocks, not rows, are then put in the order of their slots, in parallel
+ranges, and every row finds its place from the rows in the blocks before its own.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zoneflow.llm.common import row_key
@@ -22,16 +24,21 @@ from zoneflow.session import materialize
 #: Rows of a source are numbered in this many buckets of ``doc_id``, a prime, so that a source with a third of all rows is
 #: many small groups.
 BUCKETS = 4093
+#: Sources that one ``period`` is made for; for more of them the period grows in proportion.
+PERIOD_GROUPS = 64
+#: Blocks of a source that are listed at a time, so that a source with a third of all rows is many small groups.
+BLOCK_CHUNK = 4096
 
 
 @dataclass(frozen=True)
 class MixParams:
-    """``block_rows`` documents make a block. The ``max_groups - 1`` largest sources are groups of their own; all further
-    sources share one group, whose rows are mixed like any other's. ``exponent`` tempers the counts to default weights."""
+    """``block_rows`` documents make a block. ``period`` is the number of slots for up to ``PERIOD_GROUPS`` sources. Every
+    source is a group of its own, unless ``max_groups`` is set lower: then all but the ``max_groups - 1`` largest share one
+    group, whose rows are mixed like any other's. ``exponent`` tempers the counts to default weights."""
 
     period: int = 1000
     block_rows: int = 16
-    max_groups: int = 64
+    max_groups: int = (1 << 31) - 1
     exponent: float = 0.5
 
 
@@ -105,58 +112,80 @@ def _placed(rows: DataFrame, params: MixParams, targets: Mapping[str, float] | N
         "bucket", F.coalesce(F.pmod(F.col("doc_id"), F.lit(BUCKETS)), F.lit(BUCKETS)).cast("int"))
     counts = materialize(bucketed.groupBy("source", "bucket").agg(F.count("*").alias("n")), "mix-counts")
     sizes = counts.groupBy("source").agg(F.sum("n").alias("n"))
-    # At most max_groups - 1 named rows and one total reach the driver.
-    named = sizes.orderBy(F.desc("n"), F.asc_nulls_last("source")).limit(params.max_groups - 1).collect()
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rest = total - sum(r.n for r in named)
-    groups = {r.source: g for g, r in enumerate(named)}
-    size = [r.n for r in named] + [rest] * (rest > 0)
-    if not size:
-        size = [0]
+    # One row per source reaches the driver: the schedule is worked out there, from names and counts alone.
+    found = sizes.orderBy(F.desc("n"), F.asc_nulls_last("source")).toArrow()
+    names, size = found.column("source").to_pylist(), found.column("n").to_pylist()
+    own_groups = min(len(names), params.max_groups - 1)
+    groups = [min(g, own_groups) for g in range(len(names))]
+    if own_groups < len(names):
+        size = [*size[:own_groups], sum(size[own_groups:])]
     if targets:
         least = min(targets.values())
-        weights = {g: targets.get(r.source, least) for g, r in enumerate(named)} | ({len(named): least} if rest else {})
+        weights = {g: targets.get(names[g], least) if g < own_groups else least for g in range(len(size))}
     else:
-        weights = {g: max(n, 1) ** params.exponent for g, n in enumerate(size)}
-    share = quotas(weights or {0: 1.0}, params.period)
-
-    group = F.lit(len(named))
-    for source, g in groups.items():
-        group = F.when(F.col("source").eqNullSafe(F.lit(source)), g).otherwise(group)
+        weights = {g: n ** params.exponent for g, n in enumerate(size)}
+    slots_all = max(params.period, -(-params.period * len(size) // PERIOD_GROUPS))
+    share = quotas(weights or {0: 1.0}, slots_all)
+
+    spark = rows.sparkSession
+    named = _table(spark, "mix-groups", __source=pa.array(names, pa.string()), source_group=pa.array(groups, pa.int32()))
+    scheduled = _table(
+        spark, "mix-quotas", source_group=pa.array(range(len(size)), pa.int32()), held=pa.array(size, pa.int64()),
+        own=pa.array([share[g] for g in range(len(size))], pa.int64()))
+    with_group = lambda some: some.join(named, some["source"].eqNullSafe(named["__source"])).drop("__source")
     # A row's number within its group: rows in earlier buckets of the group, then its number within the bucket.
     by_bucket = Window.partitionBy("source_group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("source_group", group).groupBy("source_group", "bucket").agg(F.sum("n").alias("n")).select(
+    offsets = with_group(counts).groupBy("source_group", "bucket").agg(F.sum("n").alias("n")).select(
         "source_group", "bucket", F.coalesce(F.sum("n").over(by_bucket), F.lit(0)).alias("offset"))
-    in_bucket = Window.partitionBy("source_group", "bucket").orderBy("doc_id")
-    numbered = bucketed.withColumn("source_group", group).withColumn("__i", F.row_number().over(in_bucket) - 1).join(
+    # Rows with equal ids follow their keys, where there are any: equal tables give equal places.
+    in_bucket = Window.partitionBy("source_group", "bucket").orderBy("doc_id", *[c for c in rows.columns if c == "__key"])
+    numbered = with_group(bucketed).withColumn("__i", F.row_number().over(in_bucket) - 1).join(
         materialize(offsets, "mix-offsets"), ["source_group", "bucket"]).withColumn("__i", F.col("offset") + F.col("__i"))
     numbered = numbered.withColumn("block", F.floor(F.col("__i") / params.block_rows).cast("long"))
-
-    slots = _period_table(rows, share)
-    quota = F.array(*[F.lit(share.get(g, 0)) for g in range(len(size))])
-    held = F.array(*[F.lit(n).cast("long") for n in size])
-    own = quota[F.col("source_group")]
-    joined = numbered.withColumn("turn", F.floor(F.col("block") / own).cast("long")).withColumn(
-        "nth", (F.col("block") % own).cast("int")).join(F.broadcast(slots), ["source_group", "nth"])
-    earlier = F.zip_with(F.zip_with(quota, F.col("before"), lambda p, b: F.col("turn") * p + b), held,
-                         lambda blocks, n: F.least(blocks * params.block_rows, n))
-    before: Column = F.aggregate(earlier, F.lit(0).cast("long"), lambda a, b: a + b)
-    period = F.lit(params.period).cast("long")
-    return joined.select(
-        *rows.columns, "source_group", "block", (F.col("turn") * period + F.col("at")).alias("slot"),
-        F.floor(F.col("block") * period / own).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * period / own).cast("long").alias("deadline"),
-        (before + F.col("__i") % params.block_rows).alias("position"))
-
-
-def _period_table(rows: DataFrame, share: Mapping[int, int]) -> DataFrame:
-    """``(source_group, nth, at, before)``: the slot of each group's nth block of a period, and every group's blocks before.
-
-    ``period`` rows of at most ``max_groups`` numbers: some hundred kilobytes whatever the input, so it may be broadcast.
-    """
+    blocks = _blocks(scheduled, _period_table(spark, share), params.block_rows, slots_all)
+    return numbered.join(blocks, ["source_group", "block"]).select(
+        *rows.columns, "source_group", "block", "slot", "release", "deadline",
+        (F.col("before") + F.col("__i") % params.block_rows).alias("position"))
+
+
+def _blocks(scheduled: DataFrame, slots: DataFrame, block_rows: int, period: int) -> DataFrame:
+    """``(source_group, block, slot, release, deadline, before)``: every block, with the rows in all blocks of earlier slots."""
+    last = F.floor((F.col("held") - 1) / block_rows).cast("long")
+    some = scheduled.filter("held > 0").select(
+        "*", last.alias("last"), F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(BLOCK_CHUNK).cast("long"))).alias("__from"))
+    listed = some.repartition("source_group", "__from").select("source_group", "held", "own", F.explode(F.sequence(
+        F.col("__from"), F.least(F.col("last"), F.col("__from") + BLOCK_CHUNK - 1))).alias("block"))
+    listed = listed.withColumn("turn", F.floor(F.col("block") / F.col("own")).cast("long")).withColumn(
+        "nth", (F.col("block") % F.col("own")).cast("int")).join(slots, ["source_group", "nth"])
+    every = F.lit(period).cast("long")
+    listed = listed.select(
+        "source_group", "block", (F.col("turn") * every + F.col("at")).alias("slot"),
+        F.floor(F.col("block") * every / F.col("own")).cast("long").alias("release"),
+        F.ceil((F.col("block") + 1) * every / F.col("own")).cast("long").alias("deadline"),
+        F.least(F.lit(block_rows).cast("long"), F.col("held") - F.col("block") * block_rows).alias("size"))
+    ordered = materialize(listed, "mix-listed").repartitionByRange("slot").withColumn("range", F.spark_partition_id())
+    ordered = materialize(ordered, "mix-ranges")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range: both the global window and the broadcast are bounded by the partition count.
+    starts = ordered.groupBy("range").agg(F.sum("size").alias("size")).select(
+        "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("range").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(ordered.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
+        F.broadcast(starts), "range").select(
+        "source_group", "block", "slot", "release", "deadline", (F.col("start") + F.col("within")).alias("before")), "mix-blocks")
+
+
+def _table(spark: SparkSession, label: str, **columns: pa.Array) -> DataFrame:
+    return materialize(spark.createDataFrame(pa.table(columns)), label)
+
+
+def _period_table(spark: SparkSession, share: Mapping[int, int]) -> DataFrame:
+    """``(source_group, nth, at)``: the slot of each group's nth block of a period."""
+    slots = schedule(share)
     seen = [0] * len(share)
-    entries = []
-    for at, g in enumerate(schedule(share)):
-        entries.append(f"({g}, {seen[g]}, {at}, array({', '.join(map(str, seen))}))")
+    nth = []
+    for g in slots:
+        nth.append(seen[g])
         seen[g] += 1
-    return rows.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(entries)} AS t(source_group, nth, at, before)")
+    return _table(spark, "mix-slots", source_group=pa.array(slots, pa.int32()), nth=pa.array(nth, pa.int32()),
+                  at=pa.array(range(len(slots)), pa.int64()))
