@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from zoneflow.llm.bpe import encode_documents, read_ranks
 from zoneflow.llm.common import ship_package, table
 from zoneflow.llm.line_templates import drop_recurring_lines
-from zoneflow.llm.mixing import order_documents
+from zoneflow.llm.mixing import order_documents, place_documents
 from zoneflow.llm.quality import clean_documents
 from zoneflow.llm.simhash import drop_near_duplicates
 from zoneflow.session import materialize
@@ -41,9 +41,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their ids in place of their text."""
+    """All documents with their ids and what these decode to in place of their text, and ``mix_position``, from 0 without gaps.
+
+    Files are read again in any order, so the place in the mixed order is worked out anew, by the same operator."""
     ship_package(spark)
-    return encode_documents(docs, read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN)
+    placed = place_documents(docs, "mix_position")
+    return encode_documents(placed, read_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN, decoded=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -17,6 +17,7 @@ from zoneflow.llm.oracle import ORACLE
 from zoneflow.llm.queries import QUERIES
 from zoneflow.llm.quality import judge_quality
 from zoneflow.llm.simhash import near_duplicates
+from zoneflow.session import materialize
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
@@ -74,3 +75,15 @@ def test_the_rest_imports_without_this_part(tmp_path):
             "assert 'pipeline' not in e.queries() and 'zone_board' in e.queries()")
     root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, env=os.environ | {"PYTHONPATH": root})
+
+
+def test_mixed_order_survives_files_and_ids_decode(spark):
+    """Several part files, of which the last ones are the largest: a scan deals them by size."""
+    rows = [(i, f"text {i} " * (1 + i // 20), "en", f"s{i % 3}" if i % 7 else "rare", 10) for i in range(200)]
+    docs = spark.createDataFrame(rows + [(7, "text 7 ", "en", "rare", 10), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.source_mixing(spark, docs, SF_DIR)
+    want = [(r.doc_id, r.source, (r.text or "").encode()) for r in mixed.collect()]
+    read = materialize(mixed.repartition(5, "doc_id"), "test-mixed")
+    got = corpus_pipeline.byte_bpe(spark, read, SF_DIR).orderBy("mix_position").collect()
+    assert [r.mix_position for r in got] == list(range(len(want)))
+    assert [(r.doc_id, r.source, bytes(r.decoded)) for r in got] == want

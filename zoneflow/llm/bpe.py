@@ -180,15 +180,17 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = end
 
 
-def encode_documents(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, decoded: bool = False) -> DataFrame:
     """``docs`` with a column ``ids`` (array of int) in place of ``text``; a null text is encoded as an empty one.
 
+    With ``decoded`` the ids are decoded again, and a column ``decoded`` (binary, replaced if there) holds what they give.
+
     Every match of ``pattern`` is encoded by itself and no string is special. All other columns stay, whatever their names
     (a column named ``ids`` is replaced); rows stay as they are, an empty table gives an empty result.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
-    others = [c for c in docs.columns if c not in ("text", "ids")]
+    others = [c for c in docs.columns if c not in ("text", "ids") and not (decoded and c == "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = codec(shared.value, pattern)
@@ -197,9 +199,12 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
             ends = np.cumsum([0, *(len(e) // 4 for e in encoded)])
             ids = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*(some.column(c) for c in others), ids], names=[*others, "ids"])
+            made = {"ids": ids} | ({"decoded": pa.array(worker.decode(encoded), pa.binary())} if decoded else {})
+            yield pa.RecordBatch.from_arrays([*(some.column(c) for c in others), *made.values()], names=[*others, *made])
 
     schema = docs.select(*[f"`{c}`" for c in others]).schema.add("ids", ArrayType(IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", "binary")
     return docs.select(*[f"`{c}`" for c in others], "text").mapInArrow(run, schema)
 
 

@@ -90,6 +90,23 @@ def mix_sources(docs: DataFrame, params: MixParams = MixParams(), targets: Mappi
 
 def order_documents(docs: DataFrame, params: MixParams = MixParams(), targets: Mapping[str, float] | None = None) -> DataFrame:
     """All rows of ``docs`` with all their columns, dealt into partitions by position and in mixed order within each."""
+    ordered = _with_places(docs, params, targets).repartitionByRange("at").sortWithinPartitions("at")
+    return ordered.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
+
+
+def place_documents(
+    docs: DataFrame, name: str, params: MixParams = MixParams(), targets: Mapping[str, float] | None = None
+) -> DataFrame:
+    """All rows of ``docs`` with all their columns and their position in the mixed order, in any order.
+
+    The position follows from the rows alone, whatever files they were read from; a column called ``name`` is replaced.
+    """
+    return _with_places(docs, params, targets).select(
+        *[F.col("__doc").getField(c).alias(c) for c in docs.columns if c != name], F.col("at").alias(name))
+
+
+def _with_places(docs: DataFrame, params: MixParams, targets: Mapping[str, float] | None) -> DataFrame:
+    """``(__doc, at)``: every row as a struct with its position."""
     packed = docs.select(
         row_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("__key"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
@@ -103,8 +120,7 @@ def order_documents(docs: DataFrame, params: MixParams = MixParams(), targets: M
     numbered = Window.partitionBy("__key").orderBy("__key")
     again = placed.filter("n > 1").withColumn("i", F.row_number().over(numbered)).select(
         "__doc", F.element_at("more", F.col("i")).alias("at"))
-    ordered = once.unionByName(again).repartitionByRange("at").sortWithinPartitions("at")
-    return ordered.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
+    return once.unionByName(again)
 
 
 def _placed(rows: DataFrame, params: MixParams, targets: Mapping[str, float] | None) -> DataFrame:
