@@ -98,3 +98,13 @@ def test_without_labels_or_rows(spark):
     assert [r.score for r in tox.score_toxicity(docs, None).collect()] == [0.0, 0.0]
     assert tox.score_toxicity(docs.limit(0), None).collect() == []
     assert tox.score_toxicity(docs.withColumn("predicted", F.lit("x")), None).columns == ["doc_id", "held_out", "score", "predicted"]
+
+
+def test_long_runs_are_read_to_their_end(model):
+    run = "aeioutnsrl" * 30
+    tokens = tox.words_of(f"some {run} words")
+    assert tokens[0] == "some" and tokens[-1] == "words" and max(map(len, tokens)) <= tox.LONGEST
+    assert tokens[1] + "".join(t[tox.SHARED:] for t in tokens[2:-1]) == run
+    assert tox.words_of("x" * 64) == ["x" * 64] and len(tox.words_of("x" * 65)) == 2
+    early, late, none = model.score(["vexquib" * 3 + run, run + "vexquib" * 3, run])
+    assert late > none and late == pytest.approx(early, abs=0.2)

@@ -25,6 +25,9 @@ INPUTS = 6
 #: Characters of text that a task scores at a time, and words whose inputs it remembers.
 SLICE = 1 << 20
 STORE = 100_000
+#: Longer runs of letters and digits, as in scripts without spaces, are cut into tokens of so many characters, each of which
+#: starts with the last characters of the one before.
+LONGEST, SHARED = 64, 16
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,11 @@ class ToxicityParams:
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    words = _WORD.findall((text or "").lower())
+    if not words or len(max(words, key=len)) <= LONGEST:
+        return words
+    return [part for word in words for part in (
+        [word] if len(word) <= LONGEST else [word[k:k + LONGEST] for k in range(0, len(word) - SHARED, LONGEST - SHARED)])]
 
 
 def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -53,7 +60,7 @@ def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
     Returns the bucket of each word, where each word starts among the bytes of all (``<`` and ``>`` around each), and for
     n = 3, 4, 5 the bucket of the n-gram that starts at each byte, -1 where it would leave the word.
     """
-    data = [b"<%b>" % word[:64].encode("utf-8", "replace") for word in words]
+    data = [b"<%b>" % word.encode("utf-8", "replace") for word in words]
     lengths = np.fromiter(map(len, data), np.int64, len(data))
     flat = np.frombuffer(b"".join(data), np.uint8).astype(np.uint64)
     starts = np.cumsum(lengths) - lengths
