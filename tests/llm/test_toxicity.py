@@ -108,3 +108,20 @@ def test_long_runs_are_read_to_their_end(model):
     assert tox.words_of("x" * 64) == ["x" * 64] and len(tox.words_of("x" * 65)) == 2
     early, late, none = model.score(["vexquib" * 3 + run, run + "vexquib" * 3, run])
     assert late > none and late == pytest.approx(early, abs=0.2)
+
+
+def test_every_window_is_scored(model, monkeypatch):
+    """The highest score of all windows, each scored by itself as a text of its own."""
+    monkeypatch.setattr(tox, "DENSE", 50)
+    texts = [t for t, _ in made(40, 5)]
+    want = []
+    for text in texts:
+        words = tox.words_of(text)
+        every = [" ".join(words[k:k + PARAMS.window]) for k in range(max(1, len(words) - PARAMS.window + 1))]
+        rows = model.inputs.of([w for part in every for w in part.split()])
+        tables = [model.network.project(model.inputs.matrix, way) for way in "fb"]
+        size = len(every[0].split())
+        logits = model.network.logits(tuple(t[rows.reshape(-1, size)] for t in tables), np.ones((len(every), size), np.float32))
+        want.append(1 / (1 + np.exp(-float(logits.max()))))
+    assert any(len(tox.words_of(t)) < PARAMS.window for t in texts) and any(len(tox.words_of(t)) > 2 * PARAMS.window for t in texts)
+    assert np.allclose(model.score(texts), want, atol=1e-5)

@@ -25,6 +25,8 @@ INPUTS = 6
 #: Characters of text that a task scores at a time, and words whose inputs it remembers.
 SLICE = 1 << 20
 STORE = 100_000
+#: Windows that are scored at a time, so that their states stay in a core's cache.
+DENSE = 4096
 #: Longer runs of letters and digits, as in scripts without spaces, are cut into tokens of so many characters, each of which
 #: starts with the last characters of the one before.
 LONGEST, SHARED = 64, 16
@@ -32,10 +34,11 @@ LONGEST, SHARED = 64, 16
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``max_toxic`` and ``max_clean`` bound the labelled rows that are learned from, ``max_chars`` the length of each."""
+    """``max_toxic`` and ``max_clean`` bound the labelled rows that are learned from, ``max_chars`` the length of each.
+    ``stride`` lies between windows that are learned from; a text is always scored by the windows from each word on."""
 
     window: int = 24
-    stride: int = 16
+    stride: int = 1
     hidden: int = 6
     max_toxic: int = 1500
     max_clean: int = 3500
@@ -131,6 +134,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """In place, the hyperbolic tangent of x / -2."""
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+    x *= 2
+    x -= 1
+    return x
+
+
 class Network:
     """Two gated recurrent layers, one per direction, attention over their joint states, one logit per window."""
 
@@ -180,6 +193,49 @@ class Network:
         states = np.concatenate([self._run(w, x, mask, False)[0] for w, x in zip("fb", projected, strict=True)], axis=2)
         return self._pool(states, mask)[0]
 
+    def dense_logits(self, projected: tuple[np.ndarray, np.ndarray], window: int) -> np.ndarray:
+        """Logits of the windows from every token on, for tokens (projected inputs x tokens): as ``logits``, without copies.
+
+        All windows take their t-th step at once, on a slice of the tokens. Attention is bounded by tanh, so its exponentials
+        need no maximum.
+        """
+        w = {k: v.astype(np.float32) for k, v in self.weights.items()}
+        size, n = self.hidden, projected[0].shape[1] - window + 1
+        # sigmoid(x) = 1 / (1 + exp(-x)) and tanh(x) = 2 / (1 + exp(-2 x)) - 1: the factors go into the weights
+        factor = np.where(np.arange(3 * size) < 2 * size, -1, -2).astype(np.float32)[:, None]
+        A, a = np.ascontiguousarray(w["A"].T) * np.float32(-2), w["a"][:, None] * np.float32(-2)
+        forward = np.empty((window, size, n), np.float32)
+        both = np.empty((2 * size, n), np.float32)
+        total, weighted = np.zeros(n, np.float32), np.zeros(n, np.float32)
+        with np.errstate(over="ignore"):
+            for k, way in enumerate("fb"):
+                U, inputs = np.ascontiguousarray(w[f"U{way}"].T) * factor, projected[k] * factor
+                h = np.zeros((size, n), np.float32)
+                for t in range(window) if way == "f" else reversed(range(window)):
+                    u = U @ h
+                    x = inputs[:, t:t + n]
+                    gates, new = u[:2 * size], u[2 * size:]
+                    gates += x[:2 * size]
+                    np.exp(gates, out=gates)
+                    gates += 1
+                    np.reciprocal(gates, out=gates)
+                    new *= gates[size:]
+                    new += x[2 * size:]
+                    _tanh(new)
+                    h -= new
+                    h *= gates[:size]
+                    h += new
+                    if way == "f":
+                        forward[t] = h
+                        continue
+                    both[:size], both[size:] = forward[t], h
+                    e = A @ both
+                    e += a
+                    e = np.exp(w["v"] @ _tanh(e))
+                    total += e
+                    weighted += e * (w["w"] @ both)
+        return weighted / total + w["o"]
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Weighted cross-entropy and its gradient, by back-propagation through time."""
         W, size = self.weights, self.hidden
@@ -219,7 +275,7 @@ class Network:
 
 
 def windows(n: int, params: ToxicityParams) -> np.ndarray:
-    """Start of every window over ``n`` words: all are covered, neighbours overlap, the last ends with the text."""
+    """Start of every window that is learned from: all ``n`` words are covered, neighbours overlap, the last ends with the text."""
     last = max(0, n - params.window)
     starts = np.arange(0, last + 1, params.stride)
     return starts if starts[-1] == last else np.append(starts, last)
@@ -251,22 +307,33 @@ class Classifier:
         if not len(rows):
             return np.zeros(len(docs))
         tables = [self.network.project(self.inputs.matrix, way) for way in "fb"]
-        starts, lengths, owner, at = [], [], [], 0
-        for i, words in enumerate(docs):
-            if words:
-                first = windows(len(words), self.params)
-                starts.append(first + at)
-                lengths.append(np.minimum(len(words) - first, self.params.window))
-                owner.append(np.full(len(first), i))
-                at += len(words)
-        starts, lengths, owner = map(np.concatenate, (starts, lengths, owner))
-        best, step = np.full(len(docs), -np.inf), np.arange(self.params.window)
-        for k in range(0, len(starts), 2048):
-            mask = (step[None, :] < lengths[k:k + 2048, None]).astype(np.float32)
-            tokens = rows[np.minimum(starts[k:k + 2048, None] + step[None, :], len(rows) - 1)]
-            np.maximum.at(best, owner[k:k + 2048], self.network.logits(tuple(t[tokens] for t in tables), mask))
+        sizes, span = np.fromiter(map(len, docs), np.int64, len(docs)), self.params.window
+        ends, best, step = np.cumsum(sizes), np.full(len(docs), -np.inf), np.arange(span)
+        owner = np.nonzero((sizes > 0) & (sizes < span))[0]  # one window, shorter than the others
+        for k in range(0, len(owner), 2048):
+            some = owner[k:k + 2048]
+            mask = (step[None, :] < sizes[some, None]).astype(np.float32)
+            tokens = rows[np.minimum((ends - sizes)[some, None] + step[None, :], len(rows) - 1)]
+            best[some] = self.network.logits(tuple(t[tokens] for t in tables), mask)
+        owner = np.nonzero(sizes >= span)[0]
+        if len(owner):
+            tokens = rows[np.repeat(sizes >= span, sizes)]
+            found = np.append(self._dense(tables, tokens), np.float32(-np.inf))
+            # Windows across the border of two texts belong to neither.
+            first = np.cumsum(sizes[owner]) - sizes[owner]
+            bounds = np.stack([first, first + sizes[owner] - span + 1], axis=1).ravel()
+            best[owner] = np.maximum.reduceat(found, bounds)[::2]
         return _sigmoid(best)
 
+    def _dense(self, tables: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+        """Logits of all whole windows of one row of tokens."""
+        span = self.params.window
+        found = np.empty(max(0, len(tokens) - span + 1), np.float32)
+        for k in range(0, len(found), DENSE):
+            some = tokens[k:min(k + DENSE, len(found)) + span - 1]
+            found[k:k + DENSE] = self.network.dense_logits(tuple(np.ascontiguousarray(t[some].T) for t in tables), span)
+        return found
+
 
 def train(texts: list[str], toxic: np.ndarray, params: ToxicityParams = ToxicityParams()) -> Classifier | None:
     """A classifier from labelled texts; None without both classes. Deterministic for one list of rows."""
@@ -280,31 +347,39 @@ def train(texts: list[str], toxic: np.ndarray, params: ToxicityParams = Toxicity
         learned = counted
     inputs = Inputs.count([texts[i] for i in counted], toxic[counted])
     model = Classifier(inputs, Network(params.hidden), params)
-    spans, masks, doc, label = [], [], [], []
+    begins, sizes, doc, label = [], [], [], []
     step = np.arange(params.window)
     words = [words_of(texts[i]) for i in learned]
     ends = np.cumsum([0, *map(len, words)])
     rows_of = inputs.of([w for some in words for w in some])
     for k in range(len(learned)):
-        rows = rows_of[ends[k]:ends[k + 1]]
-        if len(rows):
-            starts = windows(len(rows), params)
-            spans.append(rows[np.minimum(starts[:, None] + step, len(rows) - 1)])
-            masks.append((step < np.minimum(len(rows) - starts, params.window)[:, None]).astype(float))
+        if n := len(words[k]):
+            starts = windows(n, params)
+            begins.append(starts + ends[k])
+            sizes.append(np.full(len(starts), min(n, params.window)))
             doc.append(np.full(len(starts), k))
             label.append(np.full(len(starts), toxic[learned[k]]))
-    spans, masks, doc, label = map(np.concatenate, (spans, masks, doc, label))
+    begins, sizes, doc, label = map(np.concatenate, (begins, sizes, doc, label))
+    spans = lambda some: rows_of[np.minimum(begins[some, None] + step, len(rows_of) - 1)]
+    masks = lambda some: (step < sizes[some, None]).astype(float)
+    short, whole = np.nonzero(sizes < params.window)[0], np.nonzero(sizes == params.window)[0]
     matrix = inputs.matrix.astype(float)
     moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in model.network.weights.items()}
     # A toxic document stands in its most suspicious window; a clean one in its most suspicious and some others.
-    suspicion = (matrix[:, :3].max(1)[spans] * masks).max(1)
+    top = matrix[:, :3].max(1)[rows_of]
+    suspicion = np.full(len(begins), -np.inf)
+    for t in range(params.window):
+        suspicion = np.maximum(suspicion, np.where(t < sizes, top[np.minimum(begins + t, len(top) - 1)], 0))
     ticks, epoch, looked = 0, 0, 0
     while ticks < params.steps:
         if epoch and ticks >= params.steps * looked // 8:  # look for the windows anew, ever less often
             looked = 2 * looked or 1
-            suspicion = np.concatenate([
-                model.network.logits(tuple(model.network.project(matrix, w)[spans[k:k + 4096]] for w in "fb"),
-                                     masks[k:k + 4096].astype(np.float32)) for k in range(0, len(spans), 4096)])
+            tables = [model.network.project(matrix, way) for way in "fb"]
+            for k in range(0, len(short), 4096):
+                some = short[k:k + 4096]
+                suspicion[some] = model.network.logits(tuple(t[spans(some)] for t in tables), masks(some).astype(np.float32))
+            if len(whole):
+                suspicion[whole] = model._dense(tables, rows_of)[begins[whole]]
         epoch += 1
         ranked = np.lexsort((-suspicion, doc))
         place = np.arange(len(doc)) - np.searchsorted(doc[ranked], doc[ranked])
@@ -314,7 +389,7 @@ def train(texts: list[str], toxic: np.ndarray, params: ToxicityParams = Toxicity
         for k in range(0, len(chosen), params.batch):
             some = chosen[k:k + params.batch]
             y = label[some].astype(float)
-            _, g = model.network.gradients(matrix[spans[some]], masks[some], y, np.where(y == 1, 2.0, 1.0))
+            _, g = model.network.gradients(matrix[spans(some)], masks(some), y, np.where(y == 1, 2.0, 1.0))
             ticks += 1
             for name, grad in g.items():
                 first, second = moments[name]
