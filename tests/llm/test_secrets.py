@@ -68,3 +68,16 @@ def test_without_rows(spark):
 def test_no_python_in_the_plan(docs, model):
     text = S.scan_secrets(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_secrets_without_digits_and_short_ones(spark, model):
+    texts = ["password=correctHorseBatteryStaple", "api_key: QWErtyUIOPasdfGHJKlzxcVBNMqwErTy", "pwd: Tr0ub4d", "pwd: Tr0ub4&dor! then",
+             "see QWErtyUIOPasdfGHJKlzxcVBNMqwErTy here", "?token=4f2a9c81d0e35b67aa12&user=5", "The author: Someone, said it.", "plain words: nothing"]
+    got = S.scan_secrets(spark.createDataFrame(list(enumerate(texts)), SCHEMA), model).collect()
+    found = {(r.doc_id, r.value) for r in got}
+    wanted = {(0, "correctHorseBatteryStaple"), (1, "QWErtyUIOPasdfGHJKlzxcVBNMqwErTy"), (2, "Tr0ub4d"), (3, "Tr0ub4&dor!"),
+              (4, "QWErtyUIOPasdfGHJKlzxcVBNMqwErTy"), (5, "4f2a9c81d0e35b67aa12"), (6, "Someone")}
+    assert found == wanted
+    assert {r.doc_id for r in got if r.is_secret} >= {0, 1, 2, 3} and not any(r.is_secret for r in got if r.doc_id == 6)
+    one = S.candidates(spark.createDataFrame([(1, "token=" + "a.b" * 100_000)], SCHEMA)).collect()
+    assert one[0].value.startswith("a.ba.b")

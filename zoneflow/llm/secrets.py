@@ -18,14 +18,24 @@ from pyspark.sql import functions as F
 from zoneflow.llm.common import hashed_sample, row_key
 from zoneflow.session import materialize
 
-#: A whole run of key characters with a digit in it.
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{8,}"
-#: Characters of context on either side.
-CONTEXT = 48
-
 #: Words that announce a secret, and words that announce something else.
 ANNOUNCES = "token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|bearer|credential|client.?id"
 DENIES = "commit|sha1|sha256|md5|checksum|digest|hash|uuid|guid|build|version|isbn|order|invoice|phone|tel|fax|card|date|page|line|build|issue|pull"
+_INSIDE = r"\s\"'`,;<>(){}\[\]\\"
+_CORE = rf"[^{_INSIDE}&.:?]"
+#: What an announcing word with ``=``, ``:`` or a quote stands before: six characters of any kind, up to a space, quote or bracket.
+_ANNOUNCED = (
+    rf"(?<=[=:\"'`\s])(?=[^{_INSIDE}]{{6}})(?<=[=:\"'`]\s{{0,4}}[\"'`]?|(?i:bearer)\s)(?!(?i:bearer|basic)\s)"
+    rf"(?<=(?i:{ANNOUNCES})[A-Za-z_]{{0,12}}(?:[\"'`]?\s{{0,4}}[=:]\s{{0,4}}[\"'`]?|\s{{0,4}}[\"'`])|(?i:bearer)\s)"
+    rf"(?:{_CORE}++|[.:?](?={_CORE})|&(?!\w+=)(?={_CORE})){{1,64}}+")
+_RUN = r"(?<![A-Za-z0-9+/_\-])"
+#: An announced value, a whole run of key characters with a digit in it, or a long run that goes from small to capital letters twice.
+CANDIDATE = (
+    rf"{_ANNOUNCED}|{_RUN}(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{{8,}}"
+    rf"|{_RUN}(?=(?:[A-Z+/_\-]*+[a-z+/_\-]++[A-Z]){{2}})[A-Za-z+/_\-]{{20,}}")
+#: Characters of context on either side.
+CONTEXT = 48
+
 #: Words that people write and key generators do not.
 DICTIONARY = (
     "example", "sample", "test", "dummy", "placeholder", "changeme", "change", "your", "here", "none", "null", "password",
@@ -119,12 +129,17 @@ def labelled_findings(docs: DataFrame, bound: int) -> DataFrame:
     uuid = F.concat_ws("-", part(md5, 1, 8), part(md5, 9, 4), part(md5, 13, 4), part(md5, 17, 4), part(md5, 21, 12))
     length = lambda low, high: (F.lit(low) + F.pmod(F.xxhash64(F.lit("size"), "key", "again"), F.lit(high - low + 1))).cast("int")
     cut = lambda column, low, high: F.substr(column, F.lit(1), length(low, high))
+    letters = F.translate(base64, "0123456789+/", "qWeRtYuIoPaS")
+    named = F.initcap(F.translate(part(md5, 1, 7), "0123456789", "ghijklmnop"))
     #: kind: what stands before the value, the value, what stands after it, label
     kinds = [
         ('token = "', sha1, '"', 1), ("password=", cut(sha2, 10, 32), "", 1), ("", F.concat(F.lit("AKIA"), part(upper, 3, 16)), "", 1),
         ("api_key: ", base64, "", 1), ("Authorization: Bearer ", base64, "", 1), ("secret = '", cut(base64, 16, 40), "'", 1),
         ("aws_access_key=", F.concat(F.lit("AKIA"), part(upper, 5, 16)), "", 1), ("", F.concat(F.lit("ghp_"), part(base64, 1, 36)), "", 1),
         ("pwd: ", cut(base64, 10, 20), "", 1), ('"access_token": "', cut(sha2, 24, 64), '"', 1), ("client_secret=", cut(md5, 20, 32), "", 1),
+        ("password=", cut(letters, 10, 32), "", 1), ("api_key: ", cut(letters, 16, 40), "", 1), ('"auth_token": "', cut(letters, 16, 40), '"', 1),
+        ("password=", F.concat(F.lower(word), named, F.initcap(F.reverse(word))), "", 1), ("", letters, "", 1),
+        ("pwd: ", F.concat(part(base64, 1, 4), F.lit("&"), part(base64, 6, 4)), "", 1), ("pwd: ", cut(base64, 6, 9), "", 1),
         ("commit ", sha1, "", 0), ("sha256:", sha2, "", 0), ("md5 checksum ", md5, "", 0), ("id ", uuid, "", 0), ("", uuid, "", 0),
         ("https://host.example.com/posts/", part(number, 1, 8), "", 0), ("/static/img-", cut(sha2, 8, 20), ".png", 0),
         ("", F.concat(F.lower(word), part(number, 1, 5)), "@mail.example.com", 0), ("+", part(number, 1, 11), "", 0),
@@ -134,6 +149,9 @@ def labelled_findings(docs: DataFrame, bound: int) -> DataFrame:
         ("api_key: ", F.concat(F.lit("EXAMPLE_KEY_"), part(number, 1, 2)), "", 0), ("secret = '", F.concat(F.lit("dummy-secret-"), part(number, 1, 3)), "'", 0),
         ("version ", F.concat(F.lit("release-"), part(number, 1, 1), F.lit("-"), part(number, 2, 3)), "", 0),
         ("", F.concat(word, F.lit("-"), F.lower(word), part(number, 1, 3)), "", 0), ("", F.concat(F.lit("chapter"), part(number, 1, 2), F.lit("section"), part(number, 3, 1)), "", 0),
+        ("Author: ", F.concat(F.initcap(word), F.lit("son")), "", 0), ("password: ", F.concat(F.lower(word), F.lit("ing")), "", 0),
+        ("token: ", F.concat(F.lower(word), F.lit("s")), " of", 0), ('secret "', F.concat(F.lower(word), F.lit("ed")), '"', 0),
+        ("", F.concat(F.initcap(word), named, F.initcap(F.reverse(word)), F.lit("Controller")), "", 0),
         ("user ", F.concat(F.lower(word), F.lit("_"), part(number, 1, 4)), "", 0), ("", sha1, "", 0), ("page ", F.concat(F.lit("figure_"), part(number, 1, 3)), "", 0),
     ]
     planted = F.array(*[
