@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,18 @@ def hashed_sample(rows: DataFrame, key: Column, bound: int, where: Column | None
     return rows.orderBy(key).limit(bound)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of at most ``size`` bytes in ``column``, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hands this library's code to the Python workers, once per application, through Spark's own file distribution.
 
