@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from zoneflow.llm.collocations import UNKNOWN_LANG, PhraseParams
 from zoneflow.llm.common import LOWER, UPPER
 from zoneflow.llm.mixing import BUCKETS, MixParams
 from zoneflow.llm.quality import BOILERPLATE, SEPARATORS, SYMBOLS, QualityRules
@@ -125,10 +126,45 @@ def mixing_sql(source: str = "documents", params: MixParams = MixParams()) -> st
     FROM blocks JOIN turns USING (g, nth), listed"""
 
 
+def collocation_sql(source: str = "documents", params: PhraseParams = PhraseParams()) -> str:
+    """All phrases of all pieces counted at once, cut at every place, ranked by language; for up to three words."""
+    part = r"[.,;:!?\x0A-\x0D]"
+    return f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, '{UNKNOWN_LANG}') AS lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{part}')) AS piece FROM {source}),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    grams AS (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+        FROM worded, (SELECT unnest(range(1, {params.max_words + 1})) AS size) WHERE len(w) >= size),
+    counts AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+    frequent AS (SELECT * FROM counts WHERE a >= {params.min_count}),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM frequent WHERE size > 1),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM cuts AS c JOIN frequent AS x ON c.lang = x.lang AND c.first = x.phrase
+            JOIN frequent AS y ON c.lang = y.lang AND c.rest = y.phrase),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    around AS (
+        SELECT lang, inside AS phrase, max(a) AS around
+        FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inside
+            FROM candidates WHERE size = 3) GROUP BY ALL),
+    ranked AS (
+        SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM weakest AS w LEFT JOIN around USING (lang, phrase)
+        WHERE around IS NULL OR 100 * around < {params.inside_percent} * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {params.top}"""
+
+
 ORACLE = {
     "op1_quality_rules": f"""WITH {quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words,
             sha256(coalesce(cleaned, '')) AS cleaned_sha256 FROM judged""",
     "op3_url_filter": url_sql(),
     "op9_source_mixing": mixing_sql(),
+    "op11_phrase_collocations": collocation_sql(),
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm.bpe import read_ranks, round_trip
+from zoneflow.llm.collocations import collocations
 from zoneflow.llm.common import table
 from zoneflow.llm.embeddings import near_duplicate_vectors
 from zoneflow.llm.html_text import extract_text
@@ -14,14 +17,17 @@ from zoneflow.llm.html_text import fit as fit_extractor
 from zoneflow.llm.line_templates import line_report
 from zoneflow.llm.mixing import mix_sources
 from zoneflow.llm.quality import judge_quality
+from zoneflow.llm.quality_classifier import score_quality
 from zoneflow.llm.secrets import fit as fit_forest
 from zoneflow.llm.secrets import scan_secrets
 from zoneflow.llm.simhash import near_duplicates
+from zoneflow.llm.token_alignment import align_tokens
 from zoneflow.llm.toxicity import fit as fit_toxicity
 from zoneflow.llm.toxicity import score_toxicity
 from zoneflow.llm.url_filter import judge_urls
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +79,19 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (Path(public_tokenizers.path(name)).read_bytes() for name in ALIGNED)
+    return align_tokens(table(spark, sf_dir, "documents"), first, second)
+
+
 QUERIES = {
     "op1_quality_rules": quality_rules,
     "op2_toxicity": toxicity,
@@ -84,4 +103,7 @@ QUERIES = {
     "op8_html_extraction": html_extraction,
     "op9_source_mixing": source_mixing,
     "op10_line_dedup": line_dedup,
+    "op11_phrase_collocations": phrase_collocations,
+    "op12_quality_classifier": quality_classifier,
+    "op13_token_alignment": token_alignment,
 }
