@@ -16,6 +16,7 @@ counted for a cycle and is still below the threshold is dropped, as it can be no
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -171,12 +173,11 @@ def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParam
             ids[place] = code
 
 
-def _counts(shard: DataFrame, reached: np.ndarray, scan: int, params: PhraseParams) -> DataFrame:
-    shared = shard.sparkSession.sparkContext.broadcast(reached)  # fixed size
-
+def _counts(shard: DataFrame, shared: Broadcast[bytes], scan: int, params: PhraseParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for some in text_slices(batches, SLICE):
-            yield from count_slice(cut(some.column("text"), some.column("lang")), shared.value, scan, params)
+            yield from count_slice(cut(some.column("text"), some.column("lang")), reached, scan, params)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
 
@@ -234,7 +235,8 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
     path, last_change, scan = None, -1, 0
     # What reached the threshold in one scan activates longer phrases for a cycle; then nothing is left to count.
     while scan < params.shards or scan - last_change <= params.shards:
-        found = _counts(documents.where(F.col("shard") == scan % params.shards), reached, scan, params)
+        shared = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))  # at most the table's size
+        found = _counts(documents.where(F.col("shard") == scan % params.shards), shared, scan, params)
         merged = counted.unionByName(
             found.select("*", F.lit(scan).alias("since"), F.lit(None).cast("int").alias("reached"))
         ).groupBy("lang", "phrase", "n").agg(
@@ -244,6 +246,7 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
             "reached", F.when((F.col("n") > 0) & (F.col("a") >= params.min_count), F.coalesce("reached", F.lit(scan)))
         ).where((F.col("n") == 0) | F.col("reached").isNotNull() | ~cycle_done).select(*counted.columns)
         counted, written = _write(merged, f"phrases-scan{scan}")
+        shared.destroy()  # this scan's counts are written and never made again
         if path:
             remove(spark, path)
         path = written
