@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,13 @@ from zoneflow.session import materialize
 
 #: Bytes of text that a task aligns at a time.
 SLICE = 1 << 20
-#: A pair of ids as one number: the A id times this, plus the B id.
-PAIR = 1 << 32
+#: Pieces whose ids a worker remembers, and the length from which a piece alone is not remembered.
+STORE, LONG = 600_000, 10_000
+#: A pair of ids is one number: the A id and, in its last bits, the B id.
+ID_BITS = 20
+#: How the byte-level side cuts texts into pieces, and signs that every engine classes alike for it. Fixed values.
+PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xa0-\u017e\u0391-\u03a1\u03b1-\u03c9\u0410-\u044f\u2013\u2014\u2018-\u201e\u2026\u20ac\u4e00-\u9fa5]*")
 LISTS = [T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))]
 COLUMNS = [
     *(T.StructField(name, T.LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")),
@@ -64,21 +71,67 @@ class Sides:
         self.second_bytes = np.array([
             bytes([int(piece[1:-1], 16)]) if self.second.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(map(self.second.id_to_piece, range(self.second.get_piece_size())))] + [b""], object)
+        self.pattern = regex.compile(PATTERN)
+        self.forget()
         self.lengths = [np.array([len(x) for x in side], np.int64) for side in (self.first_bytes, self.second_bytes)]
         # How an id is written where another one of its side follows, and where it is the last one of its group.
         self.written = np.concatenate([
             np.array([b"%d%b" % (i, mark) for i in range(len(side))], object)
             for side, ends in ((self.first_bytes, b",|"), (self.second_bytes, b",;")) for mark in (ends[:1], ends[1:])])
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of either side; none where a side's bytes are not those of a space and the text."""
-        first = [x.ids for x in self.first.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
-        second = self.second.encode(texts, num_threads=1)
-        for k, text in enumerate(texts):
-            whole = b" " + text.encode()
-            if not text or b"".join(self.first_bytes[first[k]]) != whole or b"".join(self.second_bytes[second[k]]) != whole:
-                first[k], second[k] = [], []
-        return first, second
+    def encode_first(self, wholes: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts by the first side, one text's after the other's, their number by text, and whether they give the
+        text's bytes back.
+
+        The tokenizer cuts a text into pieces by its pattern and encodes each by itself, so a piece is given to it once and
+        remembered. Texts with signs that pattern engines may class differently go to it whole."""
+        cut = [self.pattern.findall(text) if _PLAIN.fullmatch(text) else [text] for text in wholes]
+        if len(self.pieces) > STORE:
+            self.forget()
+        new = list(set(chain.from_iterable(cut)).difference(self.pieces))
+        if new:
+            found = [x.ids for x in self.first.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.array([len(ids) for ids in found])
+            ids = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+            self.pieces.update(zip(new, range(len(self.starts), len(self.starts) + len(new)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, ids])
+            self.fine = np.concatenate([self.fine, self.gives_back(0, ids, sizes, [piece.encode() for piece in new])])
+        rows = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        sizes = self.sizes[rows]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[rows] - ends[:-1], sizes)]
+        stops = np.concatenate([[0], np.cumsum([len(pieces) for pieces in cut])]).astype(np.int64)
+        wrong = np.concatenate([[0], np.cumsum(~self.fine[rows])])[stops]
+        if any(len(pieces) == 1 and len(pieces[0]) > LONG for pieces in cut):
+            self.forget()
+        return ids, np.diff(ends[stops]), np.diff(wrong) == 0
+
+    def forget(self) -> None:
+        self.pieces: dict[str, int] = {}
+        self.starts, self.sizes, self.ids, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of either side, one text's after the other's, and their number by text; none for a text whose bytes one of the
+        sides does not give back."""
+        wholes = [" " + text for text in texts]
+        first, first_sizes, fine = self.encode_first(wholes)
+        found = self.second.encode(texts, num_threads=1)
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        second = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
+        fine &= self.gives_back(1, second, sizes, [whole.encode() for whole in wholes])
+        fine &= [len(text) > 0 for text in texts]
+        return [(ids[np.repeat(fine, some)], np.where(fine, some, 0)) for ids, some in ((first, first_sizes), (second, sizes))]
+
+    def gives_back(self, side: int, ids: np.ndarray, sizes: np.ndarray, data: list[bytes]) -> np.ndarray:
+        """For each of ``data`` whether its ids, ``sizes`` of all ``ids`` in a row, are tokens of just these bytes."""
+        given = (self.first_bytes, self.second_bytes)[side][ids]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        lengths = np.diff(np.concatenate([[0], np.cumsum(self.lengths[side][ids])])[stops])
+        if np.array_equal(lengths, [len(x) for x in data]) and b"".join(given) == b"".join(data):
+            return np.ones(len(data), bool)
+        return np.array([b"".join(given[i:j]) == x for i, j, x in zip(stops[:-1], stops[1:], data, strict=True)], bool)
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -98,12 +151,10 @@ def sides(first: bytes, second: bytes) -> Sides:
     return Sides(first, second)
 
 
-def tokens_of(ids: list[list[int]], lengths: np.ndarray) -> pd.DataFrame:
+def tokens_of(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> pd.DataFrame:
     """Tokens of a batch as rows: document, id, start and end. Offsets run on from text to text, so they are in order."""
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
-    ends = np.cumsum(lengths[flat])
-    return pd.DataFrame({
-        "doc": np.repeat(np.arange(len(ids)), [len(some) for some in ids]), "id": flat, "start": ends - lengths[flat], "end": ends})
+    ends = np.cumsum(lengths[ids])
+    return pd.DataFrame({"doc": np.repeat(np.arange(len(sizes)), sizes), "id": ids, "start": ends - lengths[ids], "end": ends})
 
 
 def overlaps(first: pd.DataFrame, second: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -117,30 +168,38 @@ def overlaps(first: pd.DataFrame, second: pd.DataFrame) -> tuple[np.ndarray, np.
             np.concatenate([covering["b"].to_numpy(np.int64), inside["b"].to_numpy(np.int64)]))
 
 
-def groups_of(first: pd.DataFrame, second: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of each row's group on either side, counted through the batch, and the document of each group."""
-    cuts, at, _ = np.intersect1d(first["end"].to_numpy(), second["end"].to_numpy(), assume_unique=True, return_indices=True)
-    found = [np.searchsorted(cuts, side["end"].to_numpy()) for side in (first, second)]
-    return found[0], found[1], first["doc"].to_numpy()[at]
+def groups_of(first: pd.DataFrame, second: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Whether each row ends its side's part of a group, its place where both sides are written group by group, and the
+    document of each group; as two arrays, for ``first`` and ``second``."""
+    ends = [side["end"].to_numpy() for side in (first, second)]
+    size = int(ends[0][-1]) + 1 if len(first) else 1
+    marks = [np.bincount(end, minlength=size) for end in ends]
+    both = (marks[0] > 0) & (marks[1] > 0)
+    ended = [np.cumsum(mark) for mark in marks]  # tokens that have ended up to each offset
+    cuts = np.concatenate([[0], np.nonzero(both)[0]])
+    group = np.cumsum(both)
+    before = [group[end - 1] for end in ends]  # groups that ended before the token's own
+    place = [np.arange(len(first)) + ended[1][cuts[before[0]]], np.arange(len(second)) + ended[0][cuts[before[1] + 1]]]
+    return [both[end] for end in ends], place, first["doc"].to_numpy()[both[ends[0]]]
 
 
 def align(worker: Sides, texts: list[str | None]) -> pa.RecordBatch:
     """``COLUMNS`` of each text; pairs are distinct and in order, ``times`` counts their occurrences."""
     n = len(texts)
     ids = worker.encode([text or "" for text in texts])
-    first, second = (tokens_of(some, lengths) for some, lengths in zip(ids, worker.lengths, strict=True))
+    first, second = (tokens_of(*some, lengths) for some, lengths in zip(ids, worker.lengths, strict=True))
     a, b = overlaps(first, second)
     doc = first["doc"].to_numpy()[a]
-    pairs = pd.DataFrame({"doc": doc, "pair": first["id"].to_numpy()[a] * PAIR + second["id"].to_numpy()[b]})
-    pairs = pairs.groupby(["doc", "pair"], sort=True).size().reset_index(name="times")
-    ends = np.concatenate([[0], np.cumsum(np.bincount(pairs["doc"], minlength=n))]).astype(np.int32)
-
-    in_first, in_second, group_doc = groups_of(first, second)
+    # Document and pair as one number: B ids have fewer than 2^20 values, and a slice has fewer than 2^20 texts.
+    linked = np.sort((doc << 2 * ID_BITS) + (first["id"].to_numpy()[a] << ID_BITS) + second["id"].to_numpy()[b])
+    new = np.append(linked[1:] != linked[:-1], True)[:len(linked)]
+    times = np.diff(np.nonzero(new)[0], prepend=-1).astype(np.int32)
+    pairs = linked[new]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(pairs >> 2 * ID_BITS, minlength=n))]).astype(np.int32)
+
+    last, place, group_doc = groups_of(first, second)
     n_a, n_b = (np.bincount(side["doc"], minlength=n) for side in (first, second))
-    # Rows of both sides in the order in which they are written: group by group, first side first.
     size = len(worker.first_bytes), len(worker.second_bytes)
-    last = [np.append(g[1:] != g[:-1], True)[:len(g)] for g in (in_first, in_second)]
-    place = [np.arange(len(first)) + np.searchsorted(in_second, in_first), np.arange(len(second)) + np.searchsorted(in_first, in_second, "right")]
     sign = np.empty(len(first) + len(second), np.int64)
     sign[place[0]] = first["id"].to_numpy() + size[0] * last[0]
     sign[place[1]] = second["id"].to_numpy() + 2 * size[0] + size[1] * last[1]
@@ -148,8 +207,8 @@ def align(worker: Sides, texts: list[str | None]) -> pa.RecordBatch:
     shas = [hashlib.sha256(b"".join(signs[i:j])[:-1]).hexdigest() if j > i else "" for i, j in zip(stops[:-1], stops[1:], strict=True)]
     return pa.RecordBatch.from_arrays([
         pa.array(n_a), pa.array(n_b), pa.array(np.bincount(group_doc, minlength=n)), pa.array(np.bincount(doc, minlength=n)),
-        pa.array(shas), pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs["pair"].to_numpy(np.int64))),
-        pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs["times"].to_numpy(np.int32)))],
+        pa.array(shas), pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs & (1 << 2 * ID_BITS) - 1)),
+        pa.ListArray.from_arrays(pa.array(ends), pa.array(times))],
         names=[field.name for field in COLUMNS])
 
 
@@ -178,7 +237,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     """``(pair, n, best)``: in how many documents each pair of ids is linked, and whether no pair of its A id has more."""
     counts = materialize(
         aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n")), "alignment-counts")
-    own = F.shiftright("pair", 32)
+    own = F.shiftright("pair", ID_BITS)
     most = counts.groupBy(own.alias("a")).agg(F.max("n").alias("most"))
     return materialize(counts.withColumn("a", own).join(most, "a").select(
         "pair", "n", (F.col("n") == F.col("most")).alias("best")), "alignment-pairs")
