@@ -14,7 +14,9 @@ from zoneflow.operators import events as ev
 from zoneflow.operators import pricing
 from zoneflow.params import PricingParams
 from zoneflow.sources import messages, streams
+from zoneflow.sources.buckets import BucketTable
 from zoneflow.streaming import pricing as live
+from zoneflow.streaming import state
 from zoneflow.streaming.progress import ProgressCounter
 
 PARAMS = PricingParams()
@@ -201,47 +203,65 @@ def test_two_checkpoints_on_one_folder_keep_apart(spark, tmp_path):
     assert spark.read.parquet(out).select("query").distinct().count() == 2
 
 
-def test_a_folded_log_does_not_grow_with_the_triggers(spark, tmp_path):
-    for number in range(7):
-        put(tmp_path / "in", number, [(number, "A"), (number, "B", "available")])
-    prices = live.pricing_stream(decoded(spark, tmp_path / "in"), PARAMS)
-    out = tmp_path / "out"
-    live.run_to_end(streams.table_sink(prices, str(out), str(tmp_path / "c"), fold=pricing.compact_updates, fold_every=3))
-    [own] = out.iterdir()
-    assert sorted(p.name for p in own.iterdir()) == ["batch_id=6", "batch_id=7", "folded=5"]  # the last one has no data
-    folded = pricing.compact_updates(streams.read_log(spark, str(out)))
-    full, whole = run(spark, tmp_path)
-    want = pricing.compact_updates(streams.read_log(spark, whole))
-    assert sorted(map(tuple, folded.drop("calculated_at").collect())) == sorted(map(tuple, want.drop("calculated_at").collect()))
-    assert streams.read_log(spark, str(out)).count() < streams.read_log(spark, whole).count()
-
-
-def test_a_crash_between_fold_and_removal(spark, tmp_path):
-    own = tmp_path / "out" / "query=q"
-    at = lambda s: datetime(2026, 4, 24, 8, 0, s)
-    for batch in range(3):
-        spark.createDataFrame([("z", at(0), at(batch), batch)], "h3_zone string, window_start timestamp, calculated_at timestamp, n int"
-                              ).write.parquet(str(own / f"batch_id={batch}"))
-    pricing.compact_updates(spark.read.parquet(str(own)).drop("batch_id")).write.parquet(str(own / "folded=2"))
-    assert [r.n for r in streams.read_log(spark, str(tmp_path / "out")).collect()] == [2]
-    streams.fold_log(spark, str(own), 2, pricing.compact_updates)  # the batch runs again
-    assert [p.name for p in own.iterdir()] == ["folded=2"]
-    assert [r.n for r in streams.read_log(spark, str(tmp_path / "out")).collect()] == [2]
-
-
 def test_latest_table_has_one_row_per_zone(spark, tmp_path):
+    """In any order of arrival: the files of the log come newest first."""
     for number in range(4):
         put(tmp_path / "in", number, [(number * 7, "A"), (number * 7, f"z{number}")])
     _, log = run(spark, tmp_path)
+    files = [f for f in sorted(tmp_path.glob("out-update/*/*/part-*"), reverse=True)]
+    for second, path in enumerate(files):
+        os.utime(path, (1_700_000_000 + second,) * 2)
     schema = streams.read_log(spark, log).schema
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{log}/*/*")
-    out = str(tmp_path / "latest")
-    live.run_to_end(streams.table_sink(pricing.latest_pricing(rows), out, str(tmp_path / "latest-c"),
-                                       fold=pricing.latest_pricing, fold_every=1))
-    table = streams.read_log(spark, out)
-    assert table.count() == 5 == table.select("h3_zone").distinct().count()
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{log}/*/*")
+    table = BucketTable(str(tmp_path / "latest"), "h3_zone", 4)
+    live.run_to_end(streams.latest_sink(rows, table, str(tmp_path / "latest-c")))
     want = pricing.latest_pricing(streams.read_log(spark, log))
-    assert sorted(map(tuple, table.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    got = table.read(spark)
+    assert got.count() == 5 and sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_panes_hold_a_third_of_the_state_and_give_the_same_windows(spark, tmp_path):
+    """24 windows per event: at every batch, against the stream that keeps a row per window."""
+    params = PricingParams(window_seconds=24, slide_seconds=1)
+    for number in range(8):
+        put(tmp_path / "in", number, [(number * 12 + i % 12, f"z{i % 7}", *(() if i % 2 else ("available",))) for i in range(20)])
+    put(tmp_path / "in", 8, [(2, "z1"), (3, "late")])
+    held, logs = [], []
+    for label, stream in (("panes", live.closed_pricing_stream), ("windows", live.pricing_stream)):
+        sink = streams.table_sink(stream(decoded(spark, tmp_path / "in"), params), str(tmp_path / label), str(tmp_path / f"{label}-c"), "append")
+        query = live.run_to_end(sink)
+        held.append(max(sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress))
+        logs.append(streams.read_log(spark, str(tmp_path / label)).drop("calculated_at"))
+    assert 3 * held[0] <= held[1]
+    last = logs[0].agg(F.max("window_end")).first()[0]
+    got, want = (sorted(map(tuple, log.where(F.col("window_end") <= last).collect())) for log in logs)
+    assert got == want and len(got) > 100
+    assert 0 <= logs[1].where(F.col("window_end") > last).select("window_end").distinct().count() <= 5
+    with pytest.raises(ValueError):
+        live.closed_pricing_stream(decoded(spark, tmp_path / "in"), params, 0)
+
+
+def test_state_as_a_table(spark, tmp_path):
+    for number, rows in enumerate(LATE):
+        put(tmp_path / "in", number, rows)
+    _, out = run(spark, tmp_path)
+    checkpoint = str(tmp_path / "checkpoint-update")
+    held = state.open_windows(spark, checkpoint, PARAMS)
+    assert sorted((r.h3_zone, r.window_end.second, r.demand_count) for r in held.collect()) == [
+        ("A", 30, 1), ("A", 35, 1), ("B", 45, 3), ("B", 50, 3), ("B", 55, 3)]
+    assert [tuple(r) for r in state.state_size(spark, checkpoint).collect()] == [(0, 5)]
+    marks = [r.watermark for r in state.watermarks(spark, checkpoint).orderBy("batch").collect()]
+    assert marks == sorted(marks) and marks[-1].second == 27
+
+
+def test_records_read_go_on_after_a_restart(spark, tmp_path):
+    table, checkpoint = BucketTable(str(tmp_path / "counts"), "topic", 1), str(tmp_path / "c")
+    for number in range(2):
+        put(tmp_path / "in", number, spread(number * 5, 10))
+    live.run_to_end(streams.count_sink(decoded(spark, tmp_path / "in"), table, checkpoint))
+    put(tmp_path / "in", 2, spread(10, 10))
+    live.run_to_end(streams.count_sink(decoded(spark, tmp_path / "in"), table, checkpoint))
+    assert {r.topic: r.records_read for r in table.read(spark).collect()} == {PARAMS.ride_topic: 15, PARAMS.driver_topic: 15}
 
 
 def test_registered_streams_are_real(spark, counter):

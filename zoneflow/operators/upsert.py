@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, MergeIntoWriter
 from pyspark.sql import functions as F
 
@@ -20,26 +22,31 @@ def assert_unique(df: DataFrame, key: str) -> None:
                          f"among them {sorted(str(row[0]) for row in some)}")
 
 
-def merge_rows(target: DataFrame, updates: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def merge_rows(target: DataFrame, updates: DataFrame, key: str, keep: tuple[str, ...] = (),
+               newer: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``target`` with the rows of ``updates`` replaced or added, and what happened to each row in ``change``.
 
     One full outer join gives the rows, the columns to ``keep`` and the figures of ``change_stats``, so both sides are made
     once. Rows are replaced whole, ``created_at`` included, unless a column is listed in ``keep``: those hold on to the
     target's value. Keys are unique on both sides, so the join has no hot key. ``change`` is ``kept`` for rows that
     ``updates`` does not mention, else ``inserted``, ``modified`` or ``same`` (before columns are kept).
+
+    ``newer`` tells, from the old and the new row as structs without the key, whether the new one replaces the old one; a row
+    that it leaves as it was is ``same``.
     """
     names = [name for name in target.columns if name != key]
     old = target.select(F.col(key).alias("_old_key"), F.struct(*names).alias("_old"))
     new = updates.select(F.col(key).alias("_new_key"), F.struct(*names).alias("_new"))
     in_old, in_new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
+    taken = in_new if newer is None else in_new & (~in_old | F.coalesce(newer(F.col("_old"), F.col("_new")), F.lit(False)))
 
     def value(name: str) -> Column:
         before, after = F.col("_old")[name], F.col("_new")[name]
-        return F.when(in_new, F.coalesce(before, after) if name in keep else after).otherwise(before).alias(name)
+        return F.when(taken, F.coalesce(before, after) if name in keep else after).otherwise(before).alias(name)
 
     change = (
         F.when(~in_new, "kept").when(~in_old, "inserted")
-        .when(F.col("_old").eqNullSafe(F.col("_new")), "same").otherwise("modified")
+        .when(~taken | F.col("_old").eqNullSafe(F.col("_new")), "same").otherwise("modified")
     )
     return old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer").select(
         *[F.coalesce("_new_key", "_old_key").alias(key) if name == key else value(name) for name in target.columns],

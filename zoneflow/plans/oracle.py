@@ -229,6 +229,14 @@ FROM docs, (VALUES (0), (3)) AS later(k) WHERE segment <> 'MACHINERY' AND nation
 UNION ALL SELECT config, 0, 'factor_not_positive', 'downtown.demand_factor'
 FROM docs WHERE segment <> 'MACHINERY' AND balance <= 0"""
 
+UPSERTED = f"""WITH {TWICE}
+SELECT * FROM first WHERE h3_zone NOT IN (SELECT h3_zone FROM second) UNION ALL SELECT * FROM second"""
+
+UPSERTED_KEEPING_CREATED = f"""WITH {TWICE}
+SELECT * FROM first WHERE h3_zone NOT IN (SELECT h3_zone FROM second)
+UNION ALL SELECT second.* REPLACE (coalesce(first.created_at, second.created_at) AS created_at)
+FROM second LEFT JOIN first USING (h3_zone)"""
+
 ORACLE: dict[str, str] = {
     "zone_window_pricing": f"WITH {windows(DAILY)} SELECT * FROM prices",
     "zone_window_pricing_spread": f"WITH {windows(DAILY)} SELECT * FROM prices",
@@ -286,12 +294,14 @@ SELECT zone_id, h3_zone, type, base_demand, base_supply, avg_distance, price_sen
 FROM zones ORDER BY h3_zone""",
     "map_zones_read": f"""WITH {CELLS}, {dimension(MOVED, '2024-02-01', 'zones')}
 SELECT zone_id, h3_zone, type, center_lat, center_lon FROM zones ORDER BY h3_zone""",
-    "zone_upsert": f"""WITH {TWICE}
-SELECT * FROM first WHERE h3_zone NOT IN (SELECT h3_zone FROM second) UNION ALL SELECT * FROM second""",
-    "zone_upsert_keeping_created": f"""WITH {TWICE}
-SELECT * FROM first WHERE h3_zone NOT IN (SELECT h3_zone FROM second)
-UNION ALL SELECT second.* REPLACE (coalesce(first.created_at, second.created_at) AS created_at)
-FROM second LEFT JOIN first USING (h3_zone)""",
+    "zone_upsert": UPSERTED,
+    "zone_upsert_keeping_created": UPSERTED_KEEPING_CREATED,
+    "zone_table_upsert": UPSERTED,
+    "zone_table_upsert_keeping_created": UPSERTED_KEEPING_CREATED,
+    "zone_table_upsert_stats": f"""WITH {TWICE},
+known AS (SELECT count(*) AS n FROM first JOIN second USING (h3_zone))
+SELECT known.n AS matched, known.n AS modified, (SELECT count(*) FROM second) - known.n AS upserted,
+  (SELECT count(*) FROM first) + (SELECT count(*) FROM second) - known.n AS total FROM known""",
     "zone_upsert_stats": f"""WITH {TWICE},
 old AS (SELECT {TYPED_COLUMNS} FROM first), new AS (SELECT {TYPED_COLUMNS} FROM second),
 same AS (SELECT count(*) AS n FROM (SELECT * FROM old INTERSECT SELECT * FROM new)),
@@ -317,5 +327,20 @@ SELECT count(*) AS tracked_zones, coalesce(sum(demand_count), 0)::BIGINT AS tota
     "stream_closed_windows":
         f"WITH {windows(DAILY)} SELECT * FROM prices "
         f"WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {DAILY.window_seconds} SECOND",
+    "stream_open_windows":
+        f"WITH {windows(DAILY)} SELECT * FROM prices "
+        f"WHERE window_end > (SELECT max(ts) FROM events) - INTERVAL {DAILY.window_seconds} SECOND",
+    "stream_closed_window_rows":
+        f"WITH {windows(DAILY)} SELECT count(*) AS rows_written FROM prices "
+        f"WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {DAILY.window_seconds} SECOND",
+    # blocks of six windows: a block ends with its last window
+    "stream_closed_windows_by_panes":
+        f"WITH {windows(HOURLY)} SELECT * FROM prices "
+        f"WHERE time_bucket(INTERVAL {6 * HOURLY.slide_seconds} SECOND, window_start, TIMESTAMP '1970-01-01') "
+        f"+ INTERVAL {HOURLY.window_seconds + 5 * HOURLY.slide_seconds} SECOND "
+        f"<= (SELECT max(ts) FROM events) - INTERVAL {HOURLY.window_seconds} SECOND",
+    "stream_records_read": f"""WITH {FEED}
+SELECT topic, count(*) + count(*) FILTER (event_time < (SELECT min(ts) + INTERVAL 1 DAY FROM events)) AS records_read
+FROM feed GROUP BY topic""",
     "stream_latest_pricing": f"WITH {windows(DAILY)}, {latest('prices')} SELECT * FROM latest",
 }

@@ -13,15 +13,18 @@ from zoneflow.functions.pricing import multiplier, pressure
 from zoneflow.operators import board, events, pricing, time_patterns as patterns, upsert, zones
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC
 from zoneflow.plans.tables import (
-    DAILY, HOURLY, MOVED, TUMBLING, as_feed, cells, feed, latest_time, ntz, pattern_documents, raw_messages,
-    read, segment_types, shipped_patterns, state_store, update_log,
+    DAILY, HOURLY, MOVED, TUMBLING, add_late_file, as_feed, cells, feed, latest_time, ntz, ordered_files, pattern_documents,
+    raw_messages, read, replayed, run_log, segment_types, shipped_patterns, state_store, update_log,
 )
 from zoneflow.session import materialize, new_folder
 from zoneflow.sources import messages
+from zoneflow.sources.buckets import BucketTable
 from zoneflow.sources.config import load_time_patterns
-from zoneflow.sources.streams import read_log, table_sink
+from zoneflow.sources.price_log import Folding, log_counts, read_folded
+from zoneflow.sources.streams import count_sink, latest_sink, read_log
 from zoneflow.sources.zones import RATE_FIELDS, field_gaps, read_map_zones, read_zones, write_snapshot
-from zoneflow.streaming.pricing import run_to_end
+from zoneflow.streaming.pricing import closed_pricing_stream, pricing_stream, run_to_end
+from zoneflow.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,9 +76,10 @@ def latest_closed_zone_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pricing_update_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log of a stream that folds it every third batch, and what came after the last fold."""
-    log = read_log(spark, update_log(spark, sf_dir, fold=pricing.compact_updates, fold_every=3))
-    return ntz(pricing.compact_updates(log), "window_start", "window_end").drop("calculated_at")
+    """The log of a stream that folds it every third batch, closed windows put away, and what came after the last fold."""
+    prices = pricing_stream(replayed(spark, sf_dir, ordered_files(spark, sf_dir)), DAILY)
+    out, _ = run_log(spark, prices, folding=Folding.of(DAILY, every=3, fanout=2))
+    return ntz(read_folded(spark, out), "window_start", "window_end").drop("calculated_at")
 
 
 @query
@@ -250,6 +254,32 @@ def zone_upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.upsert_stats(first.select(timeless), second.select(timeless), "h3_zone")
 
 
+def bucketed_zones(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> tuple[BucketTable, dict[str, int]]:
+    """The dimension as a bucketed table, seeded and seeded again; what the second upsert did."""
+    table = BucketTable(new_folder(spark, "zone-table"), "h3_zone", 8)
+    first, second = seeded_twice(spark, sf_dir)
+    table.upsert(first)
+    return table, table.upsert(second, keep)
+
+
+@query
+def zone_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ntz(bucketed_zones(spark, sf_dir)[0].read(spark), "created_at", "updated_at")
+
+
+@query
+def zone_table_upsert_keeping_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ntz(bucketed_zones(spark, sf_dir, ("created_at",))[0].read(spark), "created_at", "updated_at")
+
+
+@query
+def zone_table_upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second upsert counted while it wrote; every zone that both builds have gets a new time."""
+    changes = bucketed_zones(spark, sf_dir)[1]
+    names = ("matched", "modified", "upserted", "total")
+    return spark.createDataFrame([tuple(changes[name] for name in names)], ", ".join(f"{name} long" for name in names))
+
+
 @query
 def duplicate_zone_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.duplicates(feed(spark, sf_dir), "h3_zone")
@@ -341,17 +371,51 @@ def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(closed, "window_start", "window_end").drop("calculated_at")
 
 
+@query
+def stream_closed_windows_by_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 windows per event, state by pane and block; windows of blocks that have closed."""
+    prices = closed_pricing_stream(replayed(spark, sf_dir, ordered_files(spark, sf_dir)), HOURLY)
+    out, _ = run_log(spark, prices, "append", Folding.of(HOURLY, every=4))
+    return ntz(read_log(spark, out), "window_start", "window_end").drop("calculated_at")
+
+
+@query
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the stream still holds when it stops, read from its state."""
+    prices = pricing_stream(replayed(spark, sf_dir, ordered_files(spark, sf_dir)), DAILY)
+    _, checkpoint = run_log(spark, prices)
+    with state_store(spark):
+        return ntz(materialize(open_windows(spark, checkpoint, DAILY), "open-windows"), "window_start", "window_end")
+
+
+@query
+def stream_closed_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that an append stream has written, as its commits count them."""
+    prices = pricing_stream(replayed(spark, sf_dir, ordered_files(spark, sf_dir)), DAILY)
+    out, _ = run_log(spark, prices, "append", Folding.of(DAILY, every=4))
+    return log_counts(spark, out).select("rows_written")
+
+
 @query
 def stream_latest_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second stream over the first one's update log, kept as a table with one row per zone."""
+    """A second stream over the first one's update log, kept as a bucketed table with one row per zone."""
     prices = update_log(spark, sf_dir)
-    schema = read_log(spark, prices).schema
-    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{prices}/*/*")
-    out = new_folder(spark, "latest")
-    with state_store(spark):
-        run_to_end(table_sink(pricing.latest_pricing(log), out, new_folder(spark, "latest-checkpoint"),
-                              fold=pricing.latest_pricing, fold_every=1))
-    return ntz(read_log(spark, out), "window_start", "window_end").drop("calculated_at")
+    log = spark.readStream.schema(read_log(spark, prices).schema).option("maxFilesPerTrigger", 16).parquet(f"{prices}/*/*")
+    latest = BucketTable(new_folder(spark, "latest"), "h3_zone", 8)
+    run_to_end(latest_sink(log, latest, new_folder(spark, "latest-checkpoint")))
+    return ntz(latest.read(spark), "window_start", "window_end").drop("calculated_at")
+
+
+@query
+def stream_records_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read by topic, across a restart: the late file arrives after the first run has ended."""
+    folder, checkpoint = ordered_files(spark, sf_dir, with_late=False), new_folder(spark, "counts-checkpoint")
+    counts = BucketTable(new_folder(spark, "counts"), "topic", 1)
+    for arrive in (lambda: None, lambda: add_late_file(spark, sf_dir, folder)):
+        arrive()
+        with state_store(spark):
+            run_to_end(count_sink(replayed(spark, sf_dir, folder), counts, checkpoint))
+    return counts.read(spark)
 
 
 def _hour():

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from zoneflow.defaults import TIME_PATTERNS, ZONES, Area
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC, PricingParams
-from zoneflow.session import SETTINGS, new_folder
+from zoneflow.session import STATE_SETTINGS, new_folder
 from zoneflow.sources.folders import data_files, set_order
+from zoneflow.sources.price_log import Folding, log_sink
 from zoneflow.sources.streams import table_sink
 from zoneflow.streaming.pricing import pricing_stream, run_to_end
 
@@ -103,42 +104,58 @@ def segment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_FILES = 8  # pieces of time of a replayed table, one per trigger
 
 
-def ordered_files(spark: SparkSession, sf_dir: str) -> str:
+def ordered_files(spark: SparkSession, sf_dir: str, with_late: bool = True) -> str:
     """``events`` as a stream would bring them: files in order of time, and last one with old events once more.
 
     Modification times put the files in order, as they would be if each had been written when its events happened. The events
     of the last file are late for every window they lie in.
     """
-    events = read(spark, sf_dir, "events")
     folder = new_folder(spark, "events")
-    events.repartitionByRange(STREAM_FILES, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/ontime")
+    read(spark, sf_dir, "events").repartitionByRange(STREAM_FILES, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/ontime")
+    set_order(spark, data_files(spark, f"{folder}/ontime"))
+    if with_late:
+        add_late_file(spark, sf_dir, folder)
+    return folder
+
+
+def add_late_file(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The events of the first day once more, after all others."""
+    events = read(spark, sf_dir, "events")
     first_day = events.agg(F.min("ts") + F.expr("INTERVAL 1 DAY")).first()[0]
     events.where(F.col("ts") < F.lit(first_day)).coalesce(1).write.parquet(f"{folder}/late")
     set_order(spark, [*data_files(spark, f"{folder}/ontime"), *data_files(spark, f"{folder}/late")])
-    return folder
 
 
-def update_log(spark: SparkSession, sf_dir: str, mode: str = "update", **sink: object) -> str:
-    """Run the pricing stream over the ordered files to its end, one file per trigger; returns the folder of its log."""
+def replayed(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """A stream over ``ordered_files``, one file per trigger."""
     source = spark.readStream.schema(read(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1)
-    table = as_feed(source.parquet(f"{ordered_files(spark, sf_dir)}/*"))
-    table = table.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    out = new_folder(spark, "prices")
+    return as_feed(source.parquet(f"{folder}/*")).withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def update_log(spark: SparkSession, sf_dir: str, mode: str = "update") -> str:
+    """Run the pricing stream over the ordered files to its end, one file per trigger; returns the folder of its log."""
+    return run_log(spark, pricing_stream(replayed(spark, sf_dir, ordered_files(spark, sf_dir)), DAILY), mode)[0]
+
+
+def run_log(spark: SparkSession, prices: DataFrame, mode: str = "update", folding: Folding | None = None) -> tuple[str, str]:
+    """Run a stream of prices to its end; returns the folders of its log and of its checkpoint."""
+    out, checkpoint = new_folder(spark, "prices"), new_folder(spark, "prices-checkpoint")
     with state_store(spark):
-        run_to_end(table_sink(pricing_stream(table, DAILY), out, new_folder(spark, "prices-checkpoint"), mode, **sink))
-    return out
+        run_to_end(log_sink(prices, out, checkpoint, folding, mode) if folding else table_sink(prices, out, checkpoint, mode))
+    return out, checkpoint
 
 
 @contextmanager
 def state_store(spark: SparkSession) -> Iterator[None]:
-    """The state store of ``SETTINGS`` for queries that start inside, whatever the session has."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, SETTINGS[name])
+    """The state store of ``STATE_SETTINGS`` for queries that start inside, whatever the session has."""
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def pattern_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

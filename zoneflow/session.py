@@ -16,7 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a commit uploads what the batch changed, not the whole store
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+STATE_SETTINGS = {name: value for name, value in SETTINGS.items() if ".stateStore." in name}
 
 
 def build_session(name: str) -> SparkSession:

@@ -6,13 +6,16 @@ import json
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from zoneflow import schemas
+from zoneflow.operators.pricing import latest_pricing
 from zoneflow.params import PricingParams
-from zoneflow.sources.folders import numbered, remove, subfolders
+from zoneflow.sources.buckets import BucketTable
+from zoneflow.sources.folders import numbered, query_folder, subfolders
+from zoneflow.sources.price_log import read_committed
 
 TAIL_MESSAGES = 5000  # fixed value: messages per partition a late reader starts with
 BOOTSTRAP_SERVERS = "localhost:9092"
@@ -74,50 +77,51 @@ def kafka_sink(messages: DataFrame, topic: str, checkpoint: str, servers: str =
     )
 
 
-def table_sink(rows: DataFrame, path: str, checkpoint: str, mode: str = "update",
-               fold: Callable[[DataFrame], DataFrame] | None = None, fold_every: int = 100) -> DataStreamWriter:
+def table_sink(rows: DataFrame, path: str, checkpoint: str, mode: str = "update") -> DataStreamWriter:
     """Writer of an update log as parquet, one folder per query and micro-batch, files by size and not by shuffle width.
 
     File sinks refuse update mode. A batch that is run again after a failure replaces its own folder, so each update is
-    stored once. A query with a fresh checkpoint has a folder of its own and leaves the others' alone.
-
-    ``fold`` reduces a log to what still counts (``compact_updates``: a row per zone and window; ``latest_pricing``: a row
-    per zone). Every ``fold_every`` batches the query's log is replaced by its fold, so what ``read_log`` reads does not grow
-    with the number of triggers; with 1 the folder is a table with one row per key.
+    stored once. A query with a fresh checkpoint has a folder of its own and leaves the others' alone. A log that is to stay
+    small is written by ``price_log.log_sink``, a table of one row per zone by ``latest_sink``.
     """
+    own: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{path}/query={_query_id(spark, checkpoint)}"
-        batch.hint("rebalance").write.mode("overwrite").parquet(f"{own}/batch_id={batch_id}")
-        if fold and (batch_id + 1) % fold_every == 0:
-            fold_log(spark, own, batch_id, fold)
+        if not own:
+            own.append(query_folder(batch.sparkSession, path, checkpoint))
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{own[0]}/batch_id={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode)
     )
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that a query keeps in its checkpoint from its first start on."""
-    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+def latest_sink(prices: DataFrame, table: BucketTable, checkpoint: str) -> DataStreamWriter:
+    """Writer of the latest price per zone into a bucketed table: a batch rewrites the buckets of the zones it holds.
 
+    ``prices`` are rows with a ``calculated_at``, in any number per zone and without state: a batch is reduced to one row per zone
+    before it is merged, and an older price never replaces a newer one, whatever the order of arrival.
+    """
+    def order(row: Column) -> Column:
+        return F.struct(row["window_end"].cast("timestamp"), row["calculated_at"].cast("timestamp"))
 
-def fold_log(spark: SparkSession, own: str, upto: int, fold: Callable[[DataFrame], DataFrame]) -> None:
-    """Replace the batches up to ``upto`` of one query's log by their fold.
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(latest_pricing(batch), number=batch_id, newer=lambda old, new: order(new) > order(old))
 
-    The fold counts once it is complete; only then do the folders go that it stands for. After a crash in between readers
-    skip them, and the next fold removes them.
-    """
-    if upto not in numbered(spark, own, "folded"):
-        fold(_log_of(spark, own, upto)).hint("rebalance").write.mode("overwrite").parquet(f"{own}/folded={upto}")
-    for name, last in (("batch_id", upto), ("folded", upto - 1)):
-        for number, folder in numbered(spark, own, name, committed=False).items():
-            if number <= last:
-                remove(spark, folder)
+    return prices.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+
+
+def count_sink(records: DataFrame, table: BucketTable, checkpoint: str) -> DataStreamWriter:
+    """Writer of the number of records read by topic. Counts are the stream's state and the table's rows, so they go on after
+    a restart from the checkpoint, and a batch that is run again counts once."""
+    counts = records.groupBy("topic").agg(F.count(F.lit(1)).alias("records_read"))
+    return counts.writeStream.foreachBatch(
+        lambda batch, batch_id: table.upsert(batch, number=batch_id)
+    ).option("checkpointLocation", checkpoint).outputMode("update")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a log that ``table_sink`` has written: for each query the newest fold and the batches after it."""
+    """All rows of a log that ``table_sink`` or ``log_sink`` has written: of each query the committed batches."""
     logs = [_log_of(spark, own) for own in subfolders(spark, path, "query")]
     logs = [log for log in logs if log is not None]
     if not logs:
@@ -125,11 +129,11 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, logs)
 
 
-def _log_of(spark: SparkSession, own: str, upto: int | None = None) -> DataFrame | None:
-    folds = {n: folder for n, folder in numbered(spark, own, "folded").items() if upto is None or n <= upto}
-    newest = max(folds, default=-1)
-    folders = [folder for n, folder in numbered(spark, own, "batch_id").items() if n > newest and (upto is None or n <= upto)]
-    folders += [folds[newest]] if folds else []
+def _log_of(spark: SparkSession, own: str) -> DataFrame | None:
+    committed = read_committed(spark, own)
+    if committed is not None:
+        return committed
+    folders = list(numbered(spark, own, "batch_id").values())
     return spark.read.parquet(*folders) if folders else None
 
 
