@@ -35,10 +35,11 @@ BROADCAST_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class TemplateParams:
-    """``min_docs``: documents from which a template recurs. ``min_tokens``: shorter lines are left alone, unless they are long.
+    """``min_docs``: documents from which a template recurs. ``min_tokens``: shorter lines are no templates and recur only exactly.
     ``depth``: leading tokens that name a leaf. ``min_constant``: share of a template's tokens that must be constant, and
     again of those behind the leading ones, where fields do not count and ``min_named`` is the least number.
-    ``exact_bytes``: a line of so many bytes is long, and ``exact_docs``: documents from which it recurs exactly."""
+    ``exact_bytes``: a line of so many bytes is long, and ``exact_docs``: documents from which it recurs exactly; other lines, down
+    to a single token, recur exactly from ``min_docs`` documents on."""
 
     min_docs: int = 5
     exact_docs: int = 2
@@ -71,19 +72,15 @@ def is_told(tokens: list[bytes], params: TemplateParams) -> bool:
 
 
 def exact_line(line: bytes, params: TemplateParams) -> tuple[int, bool] | None:
-    """``(hash of the unmasked line, whether it is long)``, spaces apart; None for a line that is left alone."""
-    tokens = line.split()
-    whole = b" ".join(tokens)
-    long = len(whole) >= params.exact_bytes
-    if not long and len(tokens) < params.min_tokens:
-        return None
-    return xxhash.xxh64_intdigest(whole, 1) - (1 << 63), long
+    """``(hash of the unmasked line, whether it is long)``, spaces apart; None for a line without tokens."""
+    whole = b" ".join(line.split())
+    return (xxhash.xxh64_intdigest(whole, 1) - (1 << 63), len(whole) >= params.exact_bytes) if whole else None
 
 
 def _parsed(docs: DataFrame, params: TemplateParams) -> DataFrame:
     """``(key, doc_id, exact, long, line, leaf, tokens)``: the distinct lines of each document, tokens as 32-bit hashes.
 
-    ``line``, ``leaf`` and ``tokens`` are null where the document has the masked line already, or the line is no template."""
+    ``docs`` has one row per key. ``line``, ``leaf`` and ``tokens`` are null where the document has the masked line already, or the line is no template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,6 +120,13 @@ def recurring_lines(docs: DataFrame, params: TemplateParams = TemplateParams())
     """``(key, lines)``: for documents (``key``, ``doc_id``, ``text``), the hashes of masked and of exact lines to be dropped."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
     every = materialize(_parsed(docs, params), "templates-lines")
+    # Equal rows are one document, as often as they stand: their lines are alike, so one row of each line stays. Only keys that
+    # stand more than once take part, and those are found by a few bytes per document.
+    again = materialize(docs.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "templates-again")
+    if not again.isEmpty():
+        once = every.join(again, "key", "left_anti")
+        more = every.join(again, "key", "left_semi").dropDuplicates(["key", "exact"])
+        every = materialize(once.unionByName(more.select(*once.columns)), "templates-lines-once")
 
     # Lines that recur exactly, from two documents on if they are long.
     same = every.groupBy("exact").agg(F.count("*").alias("docs"), F.max("long").alias("long"), first).filter(
