@@ -24,9 +24,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 #: Characters of text that a task works on at a time.
 SLICE = 1 << 20
 #: Pieces whose ids a worker remembers; as many older ones are kept until the next time it is full.
-STORE = 250_000
+STORE = 500_000
 #: Pieces per recursive query.
-PIECES = 20_000
+PIECES = 50_000
 #: Recursion holds the square of a piece's bytes; longer pieces contract the same pairs in the same order by a heap.
 LONG_PIECE = 128
 
@@ -48,10 +48,9 @@ SELECT w, list(tok ORDER BY pos) AS ids
 FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step) GROUP BY w
 """
 
-DECODE = """
-SELECT d, string_agg(hex, '' ORDER BY pos) AS hex
-FROM (SELECT d, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM encoded) JOIN vocabulary USING (id) GROUP BY d
-"""
+#: ``encoded`` holds a row for each id of a list: list, place, id. A token's bytes are signs, one for each.
+DECODE = "SELECT d, string_agg(signs, '' ORDER BY pos) AS signs FROM encoded JOIN vocabulary USING (id) GROUP BY d"
+ZERO = "\u0100"  # the sign of byte 0; any other byte is the sign of its own number
 
 
 def read_ranks(path: str) -> bytes:
@@ -80,7 +79,7 @@ class Codec:
                     merged.append(rank)
         merges = pa.table({k: pa.array(v, pa.int32()) for k, v in (("first", first), ("second", second), ("merged", merged))})
         vocabulary = pa.table({
-            "id": pa.array(self.ranks.values(), pa.int32()), "hex": pa.array([token.hex() for token in self.ranks])})
+            "id": pa.array(self.ranks.values(), pa.int32()), "signs": pa.array([token.decode("latin-1").replace("\0", ZERO) for token in self.ranks])})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.con.register("given", rows)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -153,13 +152,12 @@ class Codec:
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """Bytes of each list of ids, by ordered aggregation."""
         ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
-        ends = np.cumsum([0, *(len(e) // 4 for e in encoded)])
         self.con.register("encoded", pa.table({
-            "d": pa.array(np.arange(len(encoded), dtype=np.int32)),
-            "ids": pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids))}))
+            "d": pa.array(np.repeat(np.arange(len(encoded), dtype=np.int32), [len(e) // 4 for e in encoded])),
+            "pos": pa.array(np.arange(len(ids), dtype=np.int32)), "id": pa.array(ids)}))
         found = dict(self.con.execute(DECODE).fetchall())
         self.con.unregister("encoded")
-        return [bytes.fromhex(found.get(d, "")) for d in range(len(encoded))]
+        return [found.get(d, "").replace(ZERO, "\0").encode("latin-1") for d in range(len(encoded))]
 
 
 @lru_cache(maxsize=2)
