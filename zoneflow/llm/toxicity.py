@@ -134,11 +134,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _tanh(x: np.ndarray) -> np.ndarray:
-    """In place, the hyperbolic tangent of x / -2."""
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """In place, the logistic function of -x."""
     np.exp(x, out=x)
     x += 1
-    np.reciprocal(x, out=x)
+    return np.reciprocal(x, out=x)
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """In place, the hyperbolic tangent of x / -2."""
+    _logistic(x)
     x *= 2
     x -= 1
     return x
@@ -210,21 +215,25 @@ class Network:
         with np.errstate(over="ignore"):
             for k, way in enumerate("fb"):
                 U, inputs = np.ascontiguousarray(w[f"U{way}"].T) * factor, projected[k] * factor
-                h = np.zeros((size, n), np.float32)
+                h = None
                 for t in range(window) if way == "f" else reversed(range(window)):
-                    u = U @ h
                     x = inputs[:, t:t + n]
-                    gates, new = u[:2 * size], u[2 * size:]
-                    gates += x[:2 * size]
-                    np.exp(gates, out=gates)
-                    gates += 1
-                    np.reciprocal(gates, out=gates)
-                    new *= gates[size:]
-                    new += x[2 * size:]
-                    _tanh(new)
-                    h -= new
-                    h *= gates[:size]
-                    h += new
+                    if h is None:  # the state before the first step is zero
+                        update = _logistic(x[:size].copy())
+                        new = _tanh(x[2 * size:].copy())
+                        h = np.multiply(update, new, out=update)
+                        np.subtract(new, h, out=h)
+                    else:
+                        u = U @ h
+                        gates, new = u[:2 * size], u[2 * size:]
+                        gates += x[:2 * size]
+                        _logistic(gates)
+                        new *= gates[size:]
+                        new += x[2 * size:]
+                        _tanh(new)
+                        h -= new
+                        h *= gates[:size]
+                        h += new
                     if way == "f":
                         forward[t] = h
                         continue
@@ -288,7 +297,8 @@ class Classifier:
     params: ToxicityParams
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        """Highest window score of each text; a text without words scores 0."""
+        """Highest window score of each text; a text without words scores 0. Equal texts are scored once."""
+        codes, texts = pd.factorize(np.array([text or "" for text in texts], dtype=object))
         scores = np.zeros(len(texts))
         at = 0
         while at < len(texts):
@@ -298,7 +308,7 @@ class Classifier:
                 end += 1
             scores[at:end] = self._score([words_of(t) for t in texts[at:end]])
             at = end
-        return scores
+        return scores[codes]
 
     def _score(self, docs: list[list[str]]) -> np.ndarray:
         if len(self.inputs.store) > STORE:
