@@ -57,7 +57,7 @@ class PhraseParams:
     min_count: int = 10
     top: int = 2000
     inside_percent: int = 50
-    shards: int = 4
+    shards: int = 2
     table_bits: int = 24
 
 
@@ -231,25 +231,23 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
     documents = spark.read.schema("lang string, text string, shard int").parquet(shards)
 
     reached = np.full(1 << params.table_bits, NEVER, np.uint8)
-    counted = spark.createDataFrame([], f"{COUNTS}, since int, reached int")
-    path, last_change, scan = None, -1, 0
+    counted = spark.createDataFrame([], f"{COUNTS}, since int, reached int, done boolean")
+    paths, last_change, scan = [], -1, 0
     # What reached the threshold in one scan activates longer phrases for a cycle; then nothing is left to count.
     while scan < params.shards or scan - last_change <= params.shards:
         shared = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))  # at most the table's size
         found = _counts(documents.where(F.col("shard") == scan % params.shards), shared, scan, params)
-        merged = counted.unionByName(
-            found.select("*", F.lit(scan).alias("since"), F.lit(None).cast("int").alias("reached"))
-        ).groupBy("lang", "phrase", "n").agg(
+        found = found.select("*", F.lit(scan).alias("since"), F.lit(None).cast("int").alias("reached"))
+        merged = counted.where("NOT done").drop("done").unionByName(found).groupBy("lang", "phrase", "n").agg(
             F.sum("a").alias("a"), F.min("since").alias("since"), F.min("reached").alias("reached"))
-        cycle_done = scan >= F.when(F.col("n") == 1, params.shards - 1).otherwise(F.col("since") + params.shards - 1)
+        # What has been counted for a cycle is not merged again: it is final, and gone if it is below the threshold.
+        done = scan >= F.when(F.col("n") <= 1, params.shards - 1).otherwise(F.col("since") + params.shards - 1)
         merged = merged.withColumn(
             "reached", F.when((F.col("n") > 0) & (F.col("a") >= params.min_count), F.coalesce("reached", F.lit(scan)))
-        ).where((F.col("n") == 0) | F.col("reached").isNotNull() | ~cycle_done).select(*counted.columns)
-        counted, written = _write(merged, f"phrases-scan{scan}")
+        ).withColumn("done", done).where((F.col("n") == 0) | F.col("reached").isNotNull() | ~F.col("done"))
+        counted, path = _write(merged.select(*counted.columns), f"phrases-scan{scan}")
+        paths.append(path)
         shared.destroy()  # this scan's counts are written and never made again
-        if path:
-            remove(spark, path)
-        path = written
         marked = _new_places(counted.where((F.col("reached") == scan) & (F.col("n") < params.max_words)), params)
         marked &= reached == NEVER
         if marked.any():
@@ -257,7 +255,10 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
             last_change = scan
         scan += 1
     remove(spark, shards)
-    return counted.where((F.col("n") == 0) | F.col("reached").isNotNull()).select("lang", "phrase", "n", "a")
+    # A phrase that came up late in its cycle is not yet marked in the last table, though its cycle is over too.
+    final = spark.read.schema(counted.schema).parquet(*paths).where("done").unionByName(
+        counted.where("NOT done AND reached IS NOT NULL"))
+    return final.select("lang", "phrase", "n", "a")
 
 
 def collocations(docs: DataFrame, params: PhraseParams = PhraseParams()) -> DataFrame:
