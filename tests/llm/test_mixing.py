@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from zoneflow.llm.mixing import BUCKETS, MixParams, mix_sources, order_documents, quotas, schedule
+from zoneflow.llm.mixing import BUCKETS, MixParams, exact_shares, mix_sources, order_documents, quotas, schedule
 
 SCHEMA = "doc_id long, source string"
 
@@ -96,8 +96,43 @@ def test_hundreds_of_sources_keep_their_own_targets(spark):
     assert len({r.source_group for r in got}) == 150 and all(r.release <= r.slot < r.deadline for r in got)
     total, done = sum(targets.values()), Counter()
     last = min(max(r.slot for r in got if r.source == s) for s in names)
-    for r in got:  # while no source has run out, each is under a block from its target, but for rounding to whole slots
+    for r in got:  # while no source has run out, each is under a block from its target
         if r.slot <= last:
             assert r.slot == r.position
             done[r.source] += 1
-            assert all(abs(done[s] - (r.slot + 1) * w / total) < 1.25 for s, w in targets.items())
+            assert all(abs(done[s] - (r.slot + 1) * w / total) < 1 for s, w in targets.items())
+
+
+@pytest.mark.parametrize("weights", [
+    [1, 2, 3, 4, 5, 6, 7], [0.5, 0.3, 0.1999, 0.0001], [1 / 8, 0.1, 3], [2.5] * 9, [1e-3, 7]], ids=str)
+def test_given_targets_are_kept_to_at_every_slot(weights):
+    share = exact_shares(dict(enumerate(weights)))
+    slots, total = schedule(share), sum(weights)
+    for g, w in enumerate(weights):
+        assert share[g] / len(slots) == pytest.approx(w / total, rel=1e-12)
+    done, now = [0] * len(weights), 0
+    while now < 100_000:
+        for g in slots:
+            done[g] += 1
+            now += 1
+            assert all(abs(d - now * w / total) < 1 for d, w in zip(done, weights, strict=True))
+    assert exact_shares({0: 0.2, 1: 0.1, 2: 0.7}) == {0: 2, 1: 1, 2: 7}
+    assert exact_shares({0: 1 / 3, 1: 2 / 3}) == {0: 1, 1: 2}
+
+
+def test_targets_that_no_period_holds_are_refused():
+    for weights in ({0: 3.14159265, 1: 1}, {0: 1, 1: 0}, {0: -1, 1: 2}):
+        with pytest.raises(ValueError, match="target weights"):
+            exact_shares(weights)
+
+
+def test_deviation_does_not_grow_with_the_table(spark):
+    """Over 1,500 periods of 28 slots, in the table and not in the schedule alone."""
+    targets = {f"s{w}": float(w) for w in range(1, 8)}
+    rows = spark.range(42_000).select(F.col("id").alias("doc_id"), F.expr(
+        "concat('s', 1 + size(filter(array(1, 3, 6, 10, 15, 21), c -> c <= pmod(id, 28))))").alias("source"))
+    got = mix_sources(rows, MixParams(block_rows=1), targets).orderBy("position").toPandas()
+    assert got["position"].tolist() == list(range(42_000)) and got["slot"].tolist() == list(range(42_000))
+    slots = got["slot"] + 1
+    for name, w in targets.items():
+        assert ((got["source"] == name).cumsum() - slots * w / 28).abs().max() < 1

@@ -3,8 +3,9 @@
 One slot takes one block of one source. With ``p`` of ``period`` slots, block ``k`` of a source may not start before slot
 ``floor(k * period / p)`` and must be done by slot ``ceil((k + 1) * period / p)``. Earliest deadline first meets all these
 windows, hence no source is ever a whole block ahead of or behind its target. The schedule repeats after ``period`` slots,
-so one period is worked out from the weights alone. Blocks, not rows, are then put in the order of their slots, in parallel
-ranges, and every row finds its place from the rows in the blocks before its own.
+so one period is worked out from the weights alone. Given targets are taken as exact ratios and the period is their common
+denominator, so nothing is rounded and nothing adds up over periods. Blocks, not rows, are then put in the order of their
+slots, in parallel ranges, and every row finds its place from the rows in the blocks before its own.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import heapq
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,15 +28,18 @@ from zoneflow.session import materialize
 BUCKETS = 4093
 #: Sources that one ``period`` is made for; for more of them the period grows in proportion.
 PERIOD_GROUPS = 64
+#: Longest period of given targets, in slots: one period is played on the driver.
+LONGEST_PERIOD = 1 << 20
 #: Blocks of a source that are listed at a time, so that a source with a third of all rows is many small groups.
 BLOCK_CHUNK = 4096
 
 
 @dataclass(frozen=True)
 class MixParams:
-    """``block_rows`` documents make a block. ``period`` is the number of slots for up to ``PERIOD_GROUPS`` sources. Every
+    """``block_rows`` documents make a block. Without targets ``period`` is the number of slots for up to ``PERIOD_GROUPS`` sources. Every
     source is a group of its own, unless ``max_groups`` is set lower: then all but the ``max_groups - 1`` largest share one
-    group, whose rows are mixed like any other's. ``exponent`` tempers the counts to default weights."""
+    group, whose rows are mixed like any other's. ``exponent`` tempers the counts to default weights, which are whole slots of
+    the period: these slots are the targets."""
 
     period: int = 1000
     block_rows: int = 16
@@ -57,6 +62,23 @@ def quotas(weights: Mapping[int, float], period: int) -> dict[int, int]:
     return share
 
 
+def exact_shares(weights: Mapping[int, float]) -> dict[int, int]:
+    """Slots of each group in the shortest period that holds all ratios of the weights exactly.
+
+    A weight counts as the decimal number it is written as (0.1 is a tenth). Raises if no period of ``LONGEST_PERIOD`` slots does.
+    """
+    ratios = {g: Fraction(str(w)) for g, w in weights.items()}
+    if min(ratios.values()) <= 0:
+        raise ValueError("target weights must be positive")
+    unit = math.lcm(*(r.denominator for r in ratios.values()))
+    whole = {g: int(r * unit) for g, r in ratios.items()}
+    common = math.gcd(*whole.values())
+    share = {g: n // common for g, n in whole.items()}
+    if sum(share.values()) > LONGEST_PERIOD:
+        raise ValueError(f"target weights need a period of {sum(share.values())} slots, {LONGEST_PERIOD} at most: give them fewer digits")
+    return share
+
+
 def schedule(share: Mapping[int, int]) -> list[int]:
     """The group of every slot of one period: among released blocks, the earliest deadline, then the lower group."""
     period = sum(share.values())
@@ -79,8 +101,8 @@ def mix_sources(docs: DataFrame, params: MixParams = MixParams(), targets: Mappi
     """``(doc_id, source, source_group, block, slot, release, deadline, position)``, one row per input row.
 
     ``position`` numbers all rows from 0 without gaps in the mixed order, ``slot`` is the place of the row's block in the
-    endless schedule. Weights are ``targets`` by source, or the sources' counts to the power ``exponent``; sources without a
-    target share the smallest one. When a source runs out the others keep their slots. Within a source rows follow
+    endless schedule. Weights are ``targets`` by source, kept to exactly however many rows there are, or the sources' counts to
+    the power ``exponent``; each source without a target has the smallest one. When a source runs out the others keep their slots. Within a source rows follow
     ``doc_id`` in ``BUCKETS`` residue classes; rows with equal ids follow each other in any order, null ids come last, and
     null is a source like any other. Other columns are ignored, an empty table gives an empty result.
     """
@@ -89,7 +111,9 @@ def mix_sources(docs: DataFrame, params: MixParams = MixParams(), targets: Mappi
 
 
 def order_documents(docs: DataFrame, params: MixParams = MixParams(), targets: Mapping[str, float] | None = None) -> DataFrame:
-    """All rows of ``docs`` with all their columns, dealt into partitions by position and in mixed order within each."""
+    """All rows of ``docs`` with all their columns, dealt into partitions by position and in mixed order within each.
+
+    Equal rows follow each other in any order, null ids and sources are placed as ``mix_sources`` says, an empty table stays empty."""
     ordered = _with_places(docs, params, targets).repartitionByRange("at").sortWithinPartitions("at")
     return ordered.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
@@ -100,6 +124,7 @@ def place_documents(
     """All rows of ``docs`` with all their columns and their position in the mixed order, in any order.
 
     The position follows from the rows alone, whatever files they were read from; a column called ``name`` is replaced.
+    Equal rows share out their places, nulls are placed as ``mix_sources`` says, an empty table stays empty.
     """
     return _with_places(docs, params, targets).select(
         *[F.col("__doc").getField(c).alias(c) for c in docs.columns if c != name], F.col("at").alias(name))
@@ -138,10 +163,11 @@ def _placed(rows: DataFrame, params: MixParams, targets: Mapping[str, float] | N
     if targets:
         least = min(targets.values())
         weights = {g: targets.get(names[g], least) if g < own_groups else least for g in range(len(size))}
+        share = exact_shares(weights or {0: 1})
     else:
         weights = {g: n ** params.exponent for g, n in enumerate(size)}
-    slots_all = max(params.period, -(-params.period * len(size) // PERIOD_GROUPS))
-    share = quotas(weights or {0: 1.0}, slots_all)
+        share = quotas(weights or {0: 1.0}, max(params.period, -(-params.period * len(size) // PERIOD_GROUPS)))
+    slots_all = sum(share.values())
 
     spark = rows.sparkSession
     named = _table(spark, "mix-groups", __source=pa.array(names, pa.string()), source_group=pa.array(groups, pa.int32()))
