@@ -61,6 +61,7 @@ def test_against_brute_force(spark, params):
     assert max(n for n, _, _ in want.values()) > 20
     found, there = sum(n for n, _, _ in got.values()), sum(n for n, _, _ in want.values())
     assert all(got[i][0] <= want[i][0] for i in want)
+    assert found % 2 == 0
     assert found >= 0.99 * there
     if params.margin >= 0.2:  # certain
         assert got == want
@@ -74,3 +75,40 @@ def test_empty_unusable_and_repeated_rows(spark):
     twice = [(7, [1.0, 2.0], 1), (7, [1.0, 2.0], 1), (None, [2.0, 4.0], 1), (9, [-1.0, 2.0], 1)]
     assert sorted(map(str, map(tuple, near_duplicate_vectors(spark.createDataFrame(twice, SCHEMA)).collect()))) == sorted(map(str, [
         (7, 2, 7, True), (7, 2, 7, True), (None, 2, 7, False), (9, 0, 9, True)]))
+
+
+def circle(n, kind="float"):
+    """Points on a circle inside 64 dimensions: every neighbourhood crosses the borders of lists."""
+    rng = np.random.default_rng(5)
+    plane = np.linalg.qr(rng.normal(size=(64, 2)))[0]
+    turn = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    points = np.float32(np.stack([np.cos(turn), np.sin(turn)], 1) @ plane.T)
+    return [(i, v.tolist(), 1) for i, v in enumerate(points)], f"vec_id long, embedding array<{kind}>, label int"
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_links_across_lists_count_at_both_ends(spark, kind):
+    rows, schema = circle(2000, kind)
+    params = PqParams(list_size=50, chunk=64)
+    got = {r.vec_id: r.n_links for r in near_duplicate_vectors(spark.createDataFrame(rows, schema), params).collect()}
+    points = np.array([v for _, v, _ in rows])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    assert got == dict(enumerate(((points @ points.T >= 0.98).sum(1) - 1).tolist()))
+
+
+def test_a_link_that_one_end_visits_counts_twice(spark):
+    """With a margin so narrow that some links are met from one side alone, every link found still has two ends."""
+    rows, schema = circle(600)
+    rows += [(600 + i, rows[i][1], 1) for i in range(0, 600, 7)]  # copies weigh more than one
+    for margin in (0.01, 0.05, 0.1):
+        got = near_duplicate_vectors(spark.createDataFrame(rows, schema), PqParams(list_size=20, margin=margin)).collect()
+        assert sum(r.n_links for r in got) % 2 == 0
+
+
+def test_one_long_vector_among_short_ones(spark):
+    rows = made(40)
+    long = np.random.default_rng(2).normal(size=200_000)
+    rows += [(9000, long.tolist(), 0), (9001, (2 * long).tolist(), 0)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_duplicate_vectors(
+        spark.createDataFrame(rows, SCHEMA), PqParams(margin=0.2)).collect()}
+    assert got == brute_force(rows)

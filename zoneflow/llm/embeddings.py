@@ -6,6 +6,7 @@ cut into chunks of members and of visitors; one task compares one chunk with one
 
 The table-lookup distance of a visitor to a member's code misses its true distance by the member's own coding error at most,
 which is stored with the code. A pair that it discards is therefore certainly no link; the others are reranked exactly.
+A link between two lists counts at both ends, whichever of the two visited the other's list.
 """
 
 from __future__ import annotations
@@ -59,6 +60,12 @@ def unit_rows(vectors: list | pd.Series, dim: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _unit_again(sent: pd.Series, kind: str) -> np.ndarray:
+    """``unit_rows`` of the vectors whose bytes ``_indexed`` sent, all of one length, without the zeros."""
+    out = np.frombuffer(b"".join(sent), kind).reshape(len(sent), -1).astype(np.float64)
+    return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+
 def _kmeans(points: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
     centres = points[rng.choice(len(points), min(k, len(points)), replace=False)].copy()
     for _ in range(rounds):
@@ -124,30 +131,37 @@ def table_distances(visitors: np.ndarray, centroid: np.ndarray, codes: np.ndarra
     return np.sqrt(total)
 
 
-def compare(visitors: pd.DataFrame, members: pd.DataFrame, index: PqIndex, params: PqParams) -> pd.DataFrame:
+def compare(visitors: pd.DataFrame, members: pd.DataFrame, index: PqIndex, params: PqParams, kind: str) -> pd.DataFrame:
     """Links of one chunk of visitors with one chunk of members of a list.
 
     Rows ``(a, b, n)``: for a visitor ``a`` the number ``n`` of vectors that it links to (``b`` null), and links ``(a, b)``
-    that hold the linked classes together, at most one per class and not one per pair.
+    that hold the linked classes together, at most one per class and not one per pair. A member that does not visit the visitor's
+    own list never meets it there, so the link is counted here for the member too.
     """
-    dim = index.dim
-    x = np.frombuffer(b"".join(visitors["vector"]), np.float64).reshape(-1, dim)
-    y = np.frombuffer(b"".join(members["vector"]), np.float64).reshape(-1, dim)
+    x, y = _unit_again(visitors["vector"], kind), _unit_again(members["vector"], kind)
+    zeros = ((0, 0), (0, index.dim - x.shape[1]))
     codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(y), -1)
     x_class, y_class = visitors["cls"].to_numpy(np.int64), members["cls"].to_numpy(np.int64)
+    here, lists = int(members["list"].iloc[0]), len(index.centroids)
+    home, weight = visitors["home"].to_numpy(np.int64), visitors["n"].to_numpy(np.int64)
+    visited = [np.frombuffer(v, np.int32) for v in members["visited"]]
+    meets = np.repeat(np.arange(len(y)), [len(v) for v in visited]) * lists + np.concatenate(visited)
+    unmet = np.zeros(len(y), np.int64)
     size, reach = members["n"].to_numpy(np.int64), math.sqrt(2 - 2 * params.cosine) + members["error"].to_numpy() + 1e-6
-    centroid = index.centroids[int(members["list"].iloc[0])]
+    centroid = index.centroids[here]
     tree = np.arange(len(y))
     rows: list[tuple[int, int | None, int]] = []
     for at in range(0, len(x), 256):
         some = x[at:at + 256]
-        near = table_distances(some, centroid, codes, index) <= reach[None, :]
+        near = table_distances(np.pad(some, zeros), centroid, codes, index) <= reach[None, :]
         near &= x_class[at:at + 256, None] != y_class[None, :]
         i, j = np.nonzero(near)
         good = np.concatenate([
             np.einsum("ij,ij->i", some[i[k:k + 65536]], y[j[k:k + 65536]]) >= params.cosine for k in range(0, len(i), 65536)
         ] or [np.zeros(0, bool)])
         i, j = i[good], j[good]
+        one_way = (home[at + i] != here) & ~np.isin(j * lists + home[at + i], meets)
+        np.add.at(unmet, j[one_way], weight[at + i[one_way]])
         cuts = np.searchsorted(i, np.arange(len(some) + 1))
         for row in np.nonzero(np.diff(cuts))[0].tolist():
             linked = j[cuts[row]:cuts[row + 1]]
@@ -157,6 +171,7 @@ def compare(visitors: pd.DataFrame, members: pd.DataFrame, index: PqIndex, param
             rows.extend((a, int(y_class[linked[k]]), 0) for k in first)
             if len(trees) > 1:
                 tree[np.isin(tree, trees)] = trees[0]
+    rows.extend((int(y_class[j]), None, int(unmet[j])) for j in np.nonzero(unmet)[0])
     return pd.DataFrame({
         "a": pd.array([r[0] for r in rows], "Int64"), "b": pd.array([r[1] for r in rows], "Int64"),
         "n": pd.array([r[2] for r in rows], "Int64")})
@@ -190,7 +205,9 @@ def near_duplicate_vectors(vectors: DataFrame, params: PqParams = PqParams()) ->
     sample = [r[0] for r in hashed_sample(classes.select("embedding", "cls"), F.col("cls"), bound).collect()]
     index = fit(unit_rows(sample, dim), min(params.max_lists, max(1, n // params.list_size)), params)
     shared = vectors.sparkSession.sparkContext.broadcast(index)
-    indexed = materialize(_indexed(classes, shared, params), "pq-lists")
+    # Numbers travel as they are stored; every task makes unit vectors of them in double precision.
+    kind = "float32" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "float64"
+    indexed = materialize(_indexed(classes, shared, params, kind), "pq-lists")
 
     keys = ["label", "size", "list"]
     per_list = indexed.groupBy(*keys).agg(
@@ -205,10 +222,10 @@ def near_duplicate_vectors(vectors: DataFrame, params: PqParams = PqParams()) ->
     dealt = dealt.withColumn("vc", F.explode(F.when(F.col("member"), every("visitor_chunks")).otherwise(F.array(own_visitor))))
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        return compare(group[~group["member"]], group[group["member"]], shared.value, params)
+        return compare(group[~group["member"]], group[group["member"]], shared.value, params, kind)
 
     found = materialize(
-        dealt.select(*keys, "mc", "vc", "member", "cls", "n", "vector", "codes", "error")
+        dealt.select(*keys, "mc", "vc", "member", "home", "visited", "cls", "n", "vector", "codes", "error")
         .groupBy(*keys, "mc", "vc").applyInPandas(meet, "a long, b long, n long"), "pq-found")
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("others"))
     roots = materialize(components(found.filter("b IS NOT NULL").select("a", "b"), "pq"), "pq-roots")
@@ -219,27 +236,33 @@ def near_duplicate_vectors(vectors: DataFrame, params: PqParams = PqParams()) ->
     return _result(rows, materialize(linked.join(smallest, "root").select("cls", "n_links", "component_id"), "pq-result"))
 
 
-def _indexed(classes: DataFrame, shared, params: PqParams) -> DataFrame:
-    """Each class once as a member of its list, with codes, and once as a visitor of every list that it visits."""
+def _indexed(classes: DataFrame, shared, params: PqParams, kind: str) -> DataFrame:
+    """Each class once as a member of its list, with codes and the lists it visits, and once as a visitor of each of these.
+
+    ``home`` is its own list. A slice is padded to the longest vector's length, so it has fewer rows if that is long.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
+        step = max(1, min(1024, params.sample_floats // index.dim))
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                some = batch.iloc[at:at + 1024].reset_index(drop=True)
+            for at in range(0, len(batch), step):
+                some = batch.iloc[at:at + step].reset_index(drop=True)
                 points = unit_rows(some["embedding"], index.dim)
                 lists, codes, errors = encode(points, index)
                 row, visited = visits(points, index, params.margin)
-                data = [p.tobytes() for p in points]
+                data = [np.asarray(v, kind).tobytes() for v in some["embedding"]]
+                of_row = np.split(visited.astype(np.int32), np.searchsorted(row, np.arange(1, len(points))))
                 member = pd.DataFrame({
-                    "label": some["label"], "size": some["embedding"].map(len), "list": lists, "member": True,
+                    "label": some["label"], "size": some["embedding"].map(len), "list": lists, "home": lists,
+                    "visited": [v.tobytes() for v in of_row], "member": True,
                     "cls": some["cls"], "n": some["n"], "vector": data, "codes": [c.tobytes() for c in codes], "error": errors})
-                visitor = member.iloc[row].assign(list=visited, member=False, codes=None, error=None)
+                visitor = member.iloc[row].assign(list=visited, member=False, visited=None, codes=None, error=None)
                 yield pd.concat([member, visitor.astype({"error": float})])
 
     label = classes.schema["label"].dataType.simpleString()
     return classes.select("cls", "n", "label", "embedding").mapInPandas(
-        run, f"label {label}, size int, list int, member boolean, cls long, n long, vector binary, codes binary, error double")
+        run, f"label {label}, size int, list int, home int, visited binary, member boolean, cls long, n long, vector binary, codes binary, error double")
 
 
 def _result(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
