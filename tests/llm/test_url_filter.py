@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from zoneflow.llm.oracle import ORACLE
-from zoneflow.llm.url_filter import judge_urls
+from zoneflow.llm.url_filter import SOFT, UrlVocabulary, judge_urls
 
 URLS = [
     None, "", "no scheme/net/", "http://", "http://EXAMPLE.net/en/1", "http://a.example.net/en/1?x=/de/", "http://a.example.net/fr/",
@@ -41,3 +41,17 @@ def test_verdicts(spark):
     assert by_url["https://x.org/fr/"].verdict == "allow"
     assert (by_url[None].host, by_url[None].path, by_url[None].verdict) == ("", "", "allow")
     assert judge_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def test_every_weight_decides(spark):
+    """Beside one light term a heavy one blocks and a light one does not; three light ones do, and repeats count once."""
+    light = [t for t, w in SOFT.items() if w == 1]
+    other = lambda t: light[0] if t != light[0] else light[1]
+    pairs = [(f"http://x.com/{t}/{other(t)}/{t}", w) for t, w in SOFT.items()]
+    got = judge_urls(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(pairs)], "page_id long, url string")).collect()
+    assert {r.page_id: r.verdict for r in got} == {i: "block" if w > 1 else "allow" for i, (_, w) in enumerate(pairs)}
+    assert {r.soft_hits for r in got} == {2}
+    changed = UrlVocabulary(soft=tuple((t, 3 - w) for t, w in SOFT.items()))
+    pages = spark.createDataFrame([(0, f"http://x.com/{'-'.join(light[:2])}"), (1, f"http://x.com/{'-'.join(light[:3])}")], "page_id long, url string")
+    assert [r.verdict for r in judge_urls(pages).orderBy("page_id").collect()] == ["allow", "block"]
+    assert [r.verdict for r in judge_urls(pages, vocabulary=changed).orderBy("page_id").collect()] == ["block", "block"]

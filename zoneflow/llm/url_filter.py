@@ -19,14 +19,14 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 STRICT = (
     "casino", "porn", "xxx", "viagra", "spam", "malware", "phishing", "warez", "escort", "gambling", "hentai", "botnet",
 )
-#: Soft terms have a weight; distinct ones add up.
+#: Soft terms have a weight; distinct ones add up. Two light ones are common in harmless urls, a heavy one with any other is not.
 SOFT = {
-    "ads": 1, "ad": 1, "track": 1, "tracker": 1, "banner": 1, "popup": 1, "affiliate": 1, "click": 1, "promo": 1, "bet": 1,
+    "ads": 2, "ad": 1, "track": 1, "tracker": 1, "banner": 1, "popup": 1, "affiliate": 2, "click": 1, "promo": 1, "bet": 1,
     "poker": 2, "slots": 2, "jackpot": 2, "win": 1, "bonus": 1, "sex": 2, "adult": 1, "dating": 1, "loan": 1, "pills": 2,
     "crack": 1, "keygen": 2, "torrent": 1, "farm": 1, "cheap": 1, "replica": 2,
 }
 #: Weight from which distinct soft terms block a url; at least two of them must be present.
-SOFT_LIMIT = 2
+SOFT_LIMIT = 3
 MIN_SOFT_TERMS = 2
 
 
