@@ -80,4 +80,4 @@ def test_secrets_without_digits_and_short_ones(spark, model):
     assert found == wanted
     assert {r.doc_id for r in got if r.is_secret} >= {0, 1, 2, 3} and not any(r.is_secret for r in got if r.doc_id == 6)
     one = S.candidates(spark.createDataFrame([(1, "token=" + "a.b" * 100_000)], SCHEMA)).collect()
-    assert one[0].value.startswith("a.ba.b")
+    assert [r.value for r in one] == ["a.b" * 100_000]

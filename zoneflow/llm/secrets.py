@@ -27,7 +27,7 @@ _CORE = rf"[^{_INSIDE}&.:?]"
 _ANNOUNCED = (
     rf"(?<=[=:\"'`\s])(?=[^{_INSIDE}]{{6}})(?<=[=:\"'`]\s{{0,4}}[\"'`]?|(?i:bearer)\s)(?!(?i:bearer|basic)\s)"
     rf"(?<=(?i:{ANNOUNCES})[A-Za-z_]{{0,12}}(?:[\"'`]?\s{{0,4}}[=:]\s{{0,4}}[\"'`]?|\s{{0,4}}[\"'`])|(?i:bearer)\s)"
-    rf"(?:{_CORE}++|[.:?](?={_CORE})|&(?!\w+=)(?={_CORE})){{1,64}}+")
+    rf"(?:{_CORE}++|[.:?](?={_CORE})|&(?!\w+=)(?={_CORE}))++")
 _RUN = r"(?<![A-Za-z0-9+/_\-])"
 #: An announced value, a whole run of key characters with a digit in it, or a long run that goes from small to capital letters twice.
 CANDIDATE = (
