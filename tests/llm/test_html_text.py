@@ -74,6 +74,23 @@ def test_broken_markup(model, source):
     assert isinstance(model.extract(source), str)
 
 
+def test_tags_of_any_length_are_whole(model):
+    """Also with more than 4,000 characters outside quotes, a ``>`` inside a quoted value behind them."""
+    for filler in ("x " * 30_000, "a='b' " * 30_000, ""):
+        source = f"<article><p>One line of words here.</p><p {filler}title=\"5 > 4\">Real text of the page here.</p></article>"
+        assert model.extract(source) == "One line of words here.\nReal text of the page here."
+
+
+def test_unread_elements_nest_and_may_lack_their_end(model):
+    text = "<p>One line of words here.</p>"
+    assert model.extract(f"<article>{text}<object>a<object>b</object>fallback</object>{text}</article>").count("\n") == 1
+    assert "fallback" not in model.extract(f"<article>{text}<object>a<object>b</object>fallback</object>{text}</article>")
+    assert model.extract(f"<article>{text}<svg><svg/><path></svg>{text}</article>").count("\n") == 1
+    assert model.extract(f"<article>{text}<object data=x>{text}</article>").count("\n") == 1  # never ends: its content is read
+    assert "\n" not in model.extract(f"<article>{text}<iframe src=x>{text}</article>")  # text alone: the rest of the page is its own
+    assert "\n" not in model.extract(f"<article>{text}<script>if (a) b('<script>');</script><!-- {text} --></article>")
+
+
 def test_query_form_and_odd_rows(spark):
     rng = random.Random(3)
     rows = [(i, f"http://x/{i}", page(rng, i)) for i in range(60)]

@@ -24,6 +24,8 @@ from zoneflow.llm.common import hashed_sample
 
 #: Elements whose text no reader sees as text.
 SKIPPED = {"script", "style", "template", "noscript", "iframe", "svg", "select", "button", "textarea", "title", "object", "canvas"}
+#: Those of them that hold text alone: they end at their first end tag, or with the page. The others hold elements.
+RAW = {"script", "style", "noscript", "iframe", "textarea", "title"}
 #: Elements that stand in a line of text; all others are blocks.
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "dfn", "del", "em", "font", "i", "img", "ins", "input",
@@ -51,7 +53,7 @@ HINTS = {
 HINT_OF = {word: group for group, words in reversed(HINTS.items()) for word in words.split()}
 MARKED = {"article", "main", "nav", "header", "footer", "aside", "form", "menu", "dialog", "figure", "ul", "ol", "table"}
 
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^'\">]|\"[^\"]*+\"|'[^']*+'){0,4000}+)>", re.S)
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HINT_WORD = re.compile(r"[a-z]+")
 _SENTENCE_END = (".", "!", "?", "…", "。", ".\"", ".”")
@@ -75,6 +77,21 @@ class Page:
         return len(self.parent) - 1
 
 
+def _skipped_to(source: str, name: str, at: int) -> int:
+    """Where an unread element ends whose start tag ends at ``at``: behind its own end tag, not that of an equal one inside.
+
+    Without an end tag one that holds text alone takes the rest of the page, and of another one only the start tag is skipped."""
+    depth = 1
+    for tag in re.compile(rf"<(/?){re.escape(name)}\b([^>]*)>", re.I).finditer(source, at):
+        if tag[1]:
+            depth = 0 if name in RAW else depth - 1
+        elif not tag[2].endswith("/"):
+            depth += 1
+        if not depth:
+            return tag.end()
+    return len(source) if name in RAW else at
+
+
 def parse(source: str) -> Page:
     """The page's tree. Broken markup is read as far as it goes: open elements end with their parent or the page."""
     page = Page()
@@ -124,8 +141,7 @@ def parse(source: str) -> Page:
         at, closing, name, attributes = match.end(), match[1] == "/", match[2].lower(), match[3]
         if name in SKIPPED:
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                at = close.end() if close else end
+                at = _skipped_to(source, name, at)
             continue
         if name in INLINE:
             if name == "a":
