@@ -275,6 +275,12 @@ SELECT event_time, count(*) FILTER (topic = 'ride_requests') AS request_count,
 log AS (SELECT topic, (user_id % 4)::INTEGER AS "partition", event_id AS "offset", h3_zone, status FROM feed),
 ends AS (SELECT topic, "partition", max("offset") - 5000 AS before FROM log GROUP BY ALL)
 SELECT log.* FROM log JOIN ends USING (topic, "partition") WHERE "offset" > before""",
+    "stream_tail_after_restart": f"""WITH {FEED},
+log AS (SELECT topic, (user_id % 4)::INTEGER AS "partition", event_id AS "offset", h3_zone AS "key", status AS "value" FROM feed),
+half AS (SELECT max("offset") // 2 AS middle FROM log),
+ends AS (SELECT topic, "partition", max("offset") + 1 - 500 AS begin FROM log, half WHERE "offset" <= middle GROUP BY ALL)
+SELECT log.* FROM log CROSS JOIN half LEFT JOIN ends USING (topic, "partition")
+WHERE "offset" > middle OR "offset" >= begin""",
     "events_with_time_factors": f"""WITH {FEED}, {SEGMENT_TYPES},
 timed AS (SELECT event_id, event_time, h3_zone, type FROM feed LEFT JOIN segment_types USING (h3_zone)),
 {enriched('timed')} SELECT * FROM enriched""",

@@ -13,17 +13,18 @@ from zoneflow.functions.pricing import multiplier, pressure
 from zoneflow.operators import board, events, pricing, time_patterns as patterns, upsert, zones
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC
 from zoneflow.plans.tables import (
-    DAILY, HOURLY, MOVED, TUMBLING, add_late_file, as_feed, cells, feed, latest_time, ntz, ordered_files, pattern_documents,
+    DAILY, HOURLY, MOVED, TUMBLING, add_late_file, as_feed, cells, feed, latest_time, message_feed, ntz, ordered_files, pattern_documents,
     raw_messages, read, replayed, run_log, segment_types, shipped_patterns, state_store, update_log,
 )
 from zoneflow.session import materialize, new_folder
 from zoneflow.sources import messages
 from zoneflow.sources.buckets import BucketTable
 from zoneflow.sources.config import load_time_patterns
+from zoneflow.sources.message_log import append_messages, read_message_log
 from zoneflow.sources.price_log import Folding, log_counts, read_folded
-from zoneflow.sources.streams import count_sink, latest_sink, read_log
+from zoneflow.sources.streams import count_sink, latest_sink, read_log, table_sink
 from zoneflow.sources.zones import RATE_FIELDS, field_gaps, read_map_zones, read_zones, write_snapshot
-from zoneflow.streaming.pricing import closed_pricing_stream, pricing_stream, run_to_end
+from zoneflow.streaming.pricing import closed_pricing_stream, pricing_stream, run_to_end, run_until_idle
 from zoneflow.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -418,5 +419,20 @@ def stream_records_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.read(spark)
 
 
+@query
+def stream_tail_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message log read from its last 500 offsets per partition on, in batches; half of all messages arrive after the first run
+    has ended, and the second goes on from the checkpoint."""
+    log, progress = new_folder(spark, "messages"), new_folder(spark, "messages-progress")
+    out, checkpoint = new_folder(spark, "polled"), new_folder(spark, "polled-checkpoint")
+    held = message_feed(spark, sf_dir)
+    last = held.agg(F.max("offset")).first()[0] or 0
+    for half in (F.col("offset") <= last // 2, F.col("offset") > last // 2):
+        append_messages(held.where(half), log)
+        stream = read_message_log(spark, log, "tail", 500, max_per_trigger=max(1, last), progress=progress)
+        run_until_idle(table_sink(stream, out, checkpoint, "append"))
+    return read_log(spark, out).select("topic", "partition", "offset", "key", "value")
+
+
 def _hour():
     return F.date_trunc("hour", F.col("event_time")).cast("timestamp_ntz")

@@ -81,6 +81,13 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_feed(read(spark, sf_dir, "events"), "props").select("topic", value.alias("value"))
 
 
+def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of four partitions per topic, with the event's id as offset."""
+    return as_feed(read(spark, sf_dir, "events"), "user_id").select(
+        "topic", (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.col("h3_zone").alias("key"), F.col("status").alias("value"))
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as candidate cells, spread over about 22 by 18 km."""
     key = F.col("c_custkey")

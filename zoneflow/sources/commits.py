@@ -13,8 +13,11 @@ FOLDER = "_commits"  # readers of data files skip names that begin so
 KEPT = 2  # commits whose folders stay, so that a reader may finish with the one it began with
 
 
-def commit(spark: SparkSession, root: str, number: int, state: dict) -> None:
-    """Make ``state`` what readers of ``root`` see. It appears whole or not at all: written aside, then renamed."""
+def commit(spark: SparkSession, root: str, number: int, state: dict, kept: int | None = KEPT) -> None:
+    """Make ``state`` what readers of ``root`` see. It appears whole or not at all: written aside, then renamed.
+
+    ``kept`` newest commits stay, all of them if it is None.
+    """
     files, folder = file_system(spark, f"{root}/{FOLDER}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files.mkdirs(folder)
@@ -24,7 +27,7 @@ def commit(spark: SparkSession, root: str, number: int, state: dict) -> None:
     out.close()
     if not files.rename(aside, path(folder, f"{number}.json")):
         raise RuntimeError(f"commit {number} of {root} is there already")
-    for old in _numbers(spark, root)[:-KEPT]:
+    for old in _numbers(spark, root)[:-kept] if kept else []:
         files.delete(path(folder, f"{old}.json"), False)
 
 
@@ -34,6 +37,11 @@ def newest(spark: SparkSession, root: str) -> dict | None:
     return states[0] if states else None
 
 
+def newest_number(spark: SparkSession, root: str) -> int | None:
+    numbers = _numbers(spark, root)
+    return numbers[-1] if numbers else None
+
+
 def last_states(spark: SparkSession, root: str, count: int = KEPT) -> list[dict]:
     """The newest states, newest first."""
     return [json.loads(read_text(spark, f"{root}/{FOLDER}/{number}.json")) for number in _numbers(spark, root)[::-1][:count]]

@@ -79,6 +79,16 @@ def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def run_until_idle(writer: DataStreamWriter) -> StreamingQuery:
+    """Process what the source holds now and stop, for sources that limit their batches themselves."""
+    query = writer.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def run_until_stopped(writer: DataStreamWriter) -> None:
     """Process new data as it arrives until the query is stopped or fails."""
     writer.start().awaitTermination()
