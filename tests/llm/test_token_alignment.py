@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -98,3 +99,18 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = A.align_tokens(docs, FIRST, SECOND).collect()
     assert sorted((r.doc_id or 0, r.n_links, r.count_sum) for r in rows) == [(0, 3, 9), (1, 3, 9), (1, 3, 9), (2, 0, 0)]
     assert A.align_tokens(docs.limit(0), FIRST, SECOND).collect() == []
+
+
+def test_chunks_encode_like_whole_texts():
+    worker = A.Sides(FIRST, SECOND)
+    assert worker.apart
+    draw = random.Random(11)
+    signs = ["a", "Ab", " ", "  ", "\n", "\r", "\t", "\xa0", ".", ");", "'s", "12", "é", "中", "<s>", "▁", "\u0301", "*/"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 12))) for _ in range(3000)]
+    chunked = worker.encode(texts)
+    worker.forget()
+    worker.apart = False
+    whole = worker.encode(texts)
+    for side, other in zip(chunked, whole, strict=True):
+        assert all((x == y).all() for x, y in zip(side, other, strict=True))
+    assert chunked[0][1].astype(bool).sum() > 1000

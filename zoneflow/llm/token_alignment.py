@@ -23,7 +23,6 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,13 +32,17 @@ from zoneflow.session import materialize
 
 #: Bytes of text that a task aligns at a time.
 SLICE = 1 << 20
-#: Pieces whose ids a worker remembers, and the length from which a piece alone is not remembered.
-STORE, LONG = 600_000, 10_000
+#: Characters of chunks that a worker remembers, and what each chunk counts for beside its own.
+STORE, ENTRY = 24_000_000, 32
 #: A pair of ids is one number: the A id and, in its last bits, the B id.
 ID_BITS = 20
-#: How the byte-level side cuts texts into pieces, and signs that every engine classes alike for it. Fixed values.
-PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_PLAIN = re.compile("[\t-\r\x20-\x7e\xa0-\u017e\u0391-\u03a1\u03b1-\u03c9\u0410-\u044f\u2013\u2014\u2018-\u201e\u2026\u20ac\u4e00-\u9fa5]*")
+#: A chunk is a space and what follows up to the next space behind a sign.
+CHUNK = re.compile("[ ][\t-\r\x20\xa0]*[^\t-\r\x20\xa0]*(?:[\t-\r\xa0][\t-\r\x20\xa0]*[^\t-\r\x20\xa0]*)*")
+#: Texts of signs that every pattern engine classes alike, without white space at the end.
+_SIGNS = "\x21-\x7e\xa1-žΑ-Ρα-ωА-я–—‘-„…€一-龥"
+_PLAIN = re.compile(f"[\t-\r\x20\xa0{_SIGNS}]*[{_SIGNS}]")
+#: A space behind a sign, where no chunk may be cut if a token has it.
+_INNER_SPACE = re.compile("[^\\s▁]▁")
 LISTS = [T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))]
 COLUMNS = [
     *(T.StructField(name, T.LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")),
@@ -71,7 +74,7 @@ class Sides:
         self.second_bytes = np.array([
             bytes([int(piece[1:-1], 16)]) if self.second.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(map(self.second.id_to_piece, range(self.second.get_piece_size())))] + [b""], object)
-        self.pattern = regex.compile(PATTERN)
+        self.apart = not any(_INNER_SPACE.search(piece) for piece in map(self.second.id_to_piece, range(self.second.get_piece_size())))
         self.forget()
         self.lengths = [np.array([len(x) for x in side], np.int64) for side in (self.first_bytes, self.second_bytes)]
         # How an id is written where another one of its side follows, and where it is the last one of its group.
@@ -79,50 +82,51 @@ class Sides:
             np.array([b"%d%b" % (i, mark) for i in range(len(side))], object)
             for side, ends in ((self.first_bytes, b",|"), (self.second_bytes, b",;")) for mark in (ends[:1], ends[1:])])
 
-    def encode_first(self, wholes: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts by the first side, one text's after the other's, their number by text, and whether they give the
-        text's bytes back.
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of either side, one text's after the other's, and their number by text; none for a text whose bytes one of the
+        sides does not give back.
 
-        The tokenizer cuts a text into pieces by its pattern and encodes each by itself, so a piece is given to it once and
-        remembered. Texts with signs that pattern engines may class differently go to it whole."""
-        cut = [self.pattern.findall(text) if _PLAIN.fullmatch(text) else [text] for text in wholes]
-        if len(self.pieces) > STORE:
+        No token of either side goes on from a sign into a space, so texts are cut before each space behind a sign, and a
+        chunk is encoded once and remembered. Texts with signs that pattern engines may class differently, or with white space
+        at the end, are one chunk."""
+        cut = [CHUNK.findall(" " + text) if self.apart and _PLAIN.fullmatch(text) else [" " + text] for text in texts]
+        if self.held > STORE:
             self.forget()
-        new = list(set(chain.from_iterable(cut)).difference(self.pieces))
+        new = list(set(chain.from_iterable(cut)).difference(self.chunks))
         if new:
-            found = [x.ids for x in self.first.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.array([len(ids) for ids in found])
-            ids = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
-            self.pieces.update(zip(new, range(len(self.starts), len(self.starts) + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, ids])
-            self.fine = np.concatenate([self.fine, self.gives_back(0, ids, sizes, [piece.encode() for piece in new])])
-        rows = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-        sizes = self.sizes[rows]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[rows] - ends[:-1], sizes)]
-        stops = np.concatenate([[0], np.cumsum([len(pieces) for pieces in cut])]).astype(np.int64)
+            self.remember(new)
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        rows = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(cut)), np.int64, counts.sum())
+        stops = np.concatenate([[0], np.cumsum(counts)])
         wrong = np.concatenate([[0], np.cumsum(~self.fine[rows])])[stops]
-        if any(len(pieces) == 1 and len(pieces[0]) > LONG for pieces in cut):
-            self.forget()
-        return ids, np.diff(ends[stops]), np.diff(wrong) == 0
+        kept = np.repeat((np.diff(wrong) == 0) & [len(text) > 0 for text in texts], counts)
+        found = []
+        for ids, starts, sizes in self.known:
+            taken = sizes[rows] * kept
+            ends = np.concatenate([[0], np.cumsum(taken)])
+            found.append((ids[np.arange(ends[-1]) + np.repeat(starts[rows] - ends[:-1], taken)], np.diff(ends[stops])))
+        return found
+
+    def remember(self, new: list[str]) -> None:
+        """Encode chunks, which start with a space; the second side adds it itself."""
+        data, fine = [chunk.encode() for chunk in new], np.ones(len(new), bool)
+        by_side = ([x.ids for x in self.first.encode_batch_fast(new, add_special_tokens=False)],
+                   self.second.encode([chunk[1:] for chunk in new], num_threads=1))
+        for side, lists in enumerate(by_side):
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum())
+            fine &= self.gives_back(side, ids, sizes, data)
+            known = self.known[side]
+            starts = len(known[0]) + np.cumsum(sizes) - sizes
+            self.known[side] = tuple(np.concatenate(pair) for pair in zip(known, (ids, starts, sizes), strict=True))
+        self.chunks.update(zip(new, range(len(self.fine), len(self.fine) + len(new)), strict=True))
+        self.fine = np.concatenate([self.fine, fine])
+        self.held += sum(map(len, new)) + ENTRY * len(new)
 
     def forget(self) -> None:
-        self.pieces: dict[str, int] = {}
-        self.starts, self.sizes, self.ids, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of either side, one text's after the other's, and their number by text; none for a text whose bytes one of the
-        sides does not give back."""
-        wholes = [" " + text for text in texts]
-        first, first_sizes, fine = self.encode_first(wholes)
-        found = self.second.encode(texts, num_threads=1)
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        second = np.fromiter(chain.from_iterable(found), np.int64, sizes.sum())
-        fine &= self.gives_back(1, second, sizes, [whole.encode() for whole in wholes])
-        fine &= [len(text) > 0 for text in texts]
-        return [(ids[np.repeat(fine, some)], np.where(fine, some, 0)) for ids, some in ((first, first_sizes), (second, sizes))]
+        self.chunks: dict[str, int] = {}
+        self.fine, self.held = np.zeros(0, bool), 0
+        self.known = [(np.zeros(0, np.int64),) * 3 for _ in range(2)]  # by side: ids of all chunks, and each one's start and number
 
     def gives_back(self, side: int, ids: np.ndarray, sizes: np.ndarray, data: list[bytes]) -> np.ndarray:
         """For each of ``data`` whether its ids, ``sizes`` of all ``ids`` in a row, are tokens of just these bytes."""
