@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from zoneflow.defaults import Area
+from zoneflow.functions.curve import circle_ranges, curve_key
+from zoneflow.functions.geo import EARTH_RADIUS_KM
+from zoneflow.operators.zones import within_radius
+from zoneflow.sources.cell_index import read_cells_within, write_cells
+
+SCHEMA = "h3_zone string, center_lat double, center_lon double"
+
+
+def interleaved(lat, lon, bits=20):
+    x, y = (min(2**bits - 1, max(0, int((value + reach) / (2 * reach) * 2**bits))) for value, reach in ((lon, 180), (lat, 90)))
+    return sum((x >> i & 1) << 2 * i | (y >> i & 1) << 2 * i + 1 for i in range(bits))
+
+
+def km(lat1, lon1, lat2, lon2):
+    a, b, c, d = map(math.radians, (lat1, lon1, lat2, lon2))
+    chord = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * math.atan2(math.sqrt(chord), math.sqrt(max(0.0, 1 - chord)))
+
+
+def test_key_interleaves_the_bits(spark):
+    draw = random.Random(3)
+    points = [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(200)]
+    points += [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (95.0, -200.0)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    assert [r[0] for r in df.select(curve_key(F.col("lat"), F.col("lon"))).collect()] == [interleaved(*p) for p in points]
+
+
+def test_key_of_no_place_is_null(spark):
+    df = spark.createDataFrame([(None, 1.0), (1.0, None), (float("nan"), 1.0)], "lat double, lon double")
+    assert [r[0] for r in df.select(curve_key(F.col("lat"), F.col("lon"))).collect()] == [None] * 3
+
+
+@pytest.mark.parametrize("center", [(35.76, -5.83), (0, 179.99), (10, -179.95), (89.99, 20), (-89.9, 0), (60, 0)])
+@pytest.mark.parametrize("radius", [0.0, 1, 60, 3000, 20100])
+@pytest.mark.parametrize("most", [4, 64])
+def test_ranges_hold_every_point_in_reach(center, radius, most):
+    draw = random.Random(f"{center}{radius}")
+    degrees = radius / 111
+    points = [center]
+    for _ in range(5000):
+        lat = max(-90.0, min(90.0, center[0] + draw.uniform(-1.3, 1.3) * degrees))
+        lon = draw.choice([draw.uniform(-180, 180), (center[1] + draw.uniform(-2, 2) * degrees + 180) % 360 - 180])
+        points.append((lat, lon))
+    ranges = circle_ranges(*center, radius, most)
+    assert 1 <= len(ranges) <= most
+    assert all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:]))
+    reached = [interleaved(*point) for point in points if km(*center, *point) <= radius]
+    assert reached
+    assert all(any(low <= key <= high for low, high in ranges) for key in reached)
+
+
+def test_more_ranges_fit_closer():
+    sizes = [sum(high - low + 1 for low, high in circle_ranges(35.76, -5.83, 8, most)) for most in (4, 16, 64, 256)]
+    assert sizes == sorted(sizes, reverse=True)
+    cell = math.radians(180 / 2**20) * EARTH_RADIUS_KM * math.radians(360 / 2**20) * EARTH_RADIUS_KM * math.cos(math.radians(35.76))
+    assert sizes[-1] < 1.1 * math.pi * 8**2 / cell
+
+
+def test_few_ranges_are_an_error():
+    with pytest.raises(ValueError, match="at least 4"):
+        circle_ranges(0, 0, 1, 3)
+
+
+def scanned(df):
+    """Rows that the scan gave out."""
+    df.collect()
+    found, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+        if "Scan" in plan.nodeName():
+            found.append(plan.metrics().apply("numOutputRows").value())
+    return sum(found)
+
+
+def test_a_radius_query_skips_most_of_a_large_table(spark, tmp_path):
+    draw = F.rand(7) * 20 - 10
+    cells = spark.range(0, 400_000, 1, 8).select(
+        F.concat(F.lit("z"), "id").alias("h3_zone"), (35.76 + draw).alias("center_lat"), (F.rand(8) * 20 - 15).alias("center_lon"))
+    cells.write.parquet(str(tmp_path / "plain"))
+    cells = spark.read.parquet(str(tmp_path / "plain"))
+    write_cells(cells, str(tmp_path / "index"), files=8, group_bytes=256 << 10)
+    area = Area(35.76, -5.83, 100.0)
+    by_curve = read_cells_within(spark, str(tmp_path / "index"), area)
+    by_box = within_radius(cells, area)
+    pushed = by_curve._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(curve" in pushed
+    assert sorted(by_curve.drop("curve").collect()) == sorted(by_box.collect()) != []
+    assert scanned(by_box) == 400_000
+    groups = [(part.row_group(i).column(part.schema.names.index("curve")).statistics, part.row_group(i).num_rows)
+              for part in (pq.ParquetFile(file).metadata for file in (tmp_path / "index").glob("*.parquet")) for i in range(part.num_row_groups)]
+    ranges = circle_ranges(area.center_lat, area.center_lon, area.radius_km)
+    touched = [n for keys, n in groups if any(keys.min <= high and low <= keys.max for low, high in ranges)]
+    assert len(touched) < len(groups) / 8
+    assert scanned(by_curve) <= sum(touched) < 400_000 / 8
+
+
+def test_equal_places_are_dealt_to_many_files(spark, tmp_path):
+    cells = spark.range(0, 20_000, 1, 4).select(F.concat(F.lit("z"), "id").alias("h3_zone"), F.lit(1.0).alias("center_lat"),
+                                                F.lit(2.0).alias("center_lon"))
+    write_cells(cells, str(tmp_path / "index"), files=8)
+    table = spark.read.parquet(str(tmp_path / "index"))
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 5_000
+    assert read_cells_within(spark, str(tmp_path / "index"), Area(1.0, 2.0, 1.0)).count() == 20_000
+
+
+def test_edge_cases(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA)
+    write_cells(empty, str(tmp_path / "empty"))
+    assert read_cells_within(spark, str(tmp_path / "empty"), Area(0.0, 0.0, 5.0)).count() == 0
+    rows = spark.createDataFrame([("a", None, 1.0), ("b", 0.0, float("nan")), (None, 0.0, 0.0), ("c", 0.0, 0.0), ("c", 0.0, 0.0)], SCHEMA)
+    write_cells(rows, str(tmp_path / "rows"))
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 5
+    found = read_cells_within(spark, str(tmp_path / "rows"), Area(0.0, 0.0, 5.0)).collect()
+    assert sorted(str(r.h3_zone) for r in found) == ["None", "c", "c"]
+    with pytest.raises(ValueError, match="curve"):
+        write_cells(rows.withColumn("curve", F.lit(1)), str(tmp_path / "clash"))

@@ -56,10 +56,14 @@ class TimePatterns:
     default: Factors = field(default_factory=Factors)
 
 
+#: How far from one the sum of probabilities may be.
+PROBABILITY_SLACK = 1e-9
+
+
 def check_probabilities(zone_types: tuple[ZoneType, ...]) -> None:
     """Selection probabilities add up to one."""
     total = sum(t.probability for t in zone_types)
-    if not abs(total - 1.0) <= 1e-9:
+    if not abs(total - 1.0) <= PROBABILITY_SLACK:
         raise ValueError(f"zone type probabilities add up to {total}, not to 1")
 
 

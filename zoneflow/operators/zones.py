@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from zoneflow import schemas
-from zoneflow.defaults import Area, ZonesConfig, ZoneType, check_probabilities
+from zoneflow.defaults import PROBABILITY_SLACK, Area, ZonesConfig, ZoneType, check_probabilities
 from zoneflow.functions.geo import haversine_km, in_box
 from zoneflow.session import materialize
 
@@ -55,6 +55,19 @@ def assign_zone_types(cells: DataFrame, zone_types: tuple[ZoneType, ...], seed:
     return cells.withColumn("_profile", F.get(profiles, pick)).select(*cells.columns, "_profile.*")
 
 
+def probability_sums(documents: DataFrame, name: str, document: str) -> DataFrame:
+    """``(name, types, total, valid)`` of JSON zone configurations: their number of zone types, the sum of their probabilities in
+    list order, and whether ``load_zone_config`` takes that sum.
+
+    Zone types or probabilities that are missing count as none and zero; a document that is no JSON has none.
+    """
+    config = F.from_json(F.col(document), "zone_types array<struct<probability double>>")
+    share = F.coalesce(F.transform(config["zone_types"]["probability"], lambda p: F.coalesce(p, F.lit(0.0))), F.array().cast("array<double>"))
+    return documents.select(F.col(name), share.alias("_shares")).select(
+        name, F.size("_shares").alias("types"), F.aggregate("_shares", F.lit(0.0), lambda total, p: total + p).alias("total"),
+    ).withColumn("valid", F.abs(F.col("total") - 1) <= PROBABILITY_SLACK)
+
+
 def _profile(t: ZoneType) -> Column:
     return F.struct(
         F.lit(t.zone_type_id).alias("zone_type_id"), F.lit(t.type).alias("type"),

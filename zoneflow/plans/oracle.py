@@ -294,6 +294,17 @@ SELECT h3_zone, event_time, expected_requests, expected_available,
   {multiplier('expected_requests', 'expected_available')} AS price_multiplier FROM rates""",
     "pattern_violations": f"WITH {VIOLATIONS}",
     "zones_within_radius": f"WITH {CELLS}, {inside(ZONES)} SELECT * FROM inside ORDER BY h3_zone",
+    "indexed_zones_within_radius": f"""WITH {CELLS}, {inside(ZONES)},
+grid AS (SELECT h3_zone, floor((center_lon + 180) / 360 * 1048576)::BIGINT AS x, floor((center_lat + 90) / 180 * 1048576)::BIGINT AS y
+  FROM cells)
+SELECT inside.*, list_sum([((x >> i) & 1) * (1::BIGINT << (2 * i)) + ((y >> i) & 1) * (2::BIGINT << (2 * i)) FOR i IN range(20)])::BIGINT
+  AS curve FROM inside JOIN grid USING (h3_zone)""",
+    "configured_zones": f"""WITH {CELLS}, {inside(ZONES)}, zones_only AS (SELECT h3_zone FROM inside),
+{typed('zones_only', ZONES, 'kinds')} SELECT * FROM kinds""",
+    "zone_config_sums": """WITH totals AS (
+  SELECT c_name AS config, CASE WHEN c_mktsegment = 'MACHINERY' THEN 0 ELSE 3 END AS types,
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN 0 ELSE 0.1::DOUBLE + 0.2::DOUBLE + c_nationkey / 10 END::DOUBLE AS total FROM customer)
+SELECT *, abs(total - 1) <= 1e-9 AS valid FROM totals""",
     "zone_dimension": f"WITH {CELLS}, {dimension(ZONES, '2024-01-01', 'zones')} SELECT * FROM zones",
     "zones_read": f"""WITH {CELLS}, {dimension(MOVED, '2024-02-01', 'zones')}
 SELECT zone_id, h3_zone, type, base_demand, base_supply, avg_distance, price_sensitivity, center_lat, center_lon

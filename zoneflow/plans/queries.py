@@ -14,12 +14,14 @@ from zoneflow.operators import board, events, pricing, time_patterns as patterns
 from zoneflow.params import DRIVER_UPDATES_TOPIC, RIDE_REQUESTS_TOPIC
 from zoneflow.plans.tables import (
     DAILY, HOURLY, MOVED, TUMBLING, add_late_file, as_feed, cells, feed, latest_time, message_feed, ntz, ordered_files, pattern_documents,
-    raw_messages, read, replayed, run_log, segment_types, shipped_patterns, state_store, update_log,
+    raw_messages, read, replayed, run_log, segment_types, shipped_patterns, shipped_zones, state_store,
+    update_log, zone_documents,
 )
 from zoneflow.session import materialize, new_folder
 from zoneflow.sources import messages
 from zoneflow.sources.buckets import BucketTable
-from zoneflow.sources.config import load_time_patterns
+from zoneflow.sources.cell_index import read_cells_within, write_cells
+from zoneflow.sources.config import load_time_patterns, load_zone_config
 from zoneflow.sources.message_log import append_messages, read_message_log
 from zoneflow.sources.price_log import Folding, log_counts, read_folded
 from zoneflow.sources.streams import count_sink, latest_sink, read_log, table_sink
@@ -225,6 +227,28 @@ def zones_within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.within_radius(cells(spark, sf_dir), ZONES.area).orderBy("h3_zone")
 
 
+@query
+def indexed_zones_within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over cells stored in curve order, with their keys."""
+    index = new_folder(spark, "cell-index")
+    write_cells(cells(spark, sf_dir), index)
+    return read_cells_within(spark, index, ZONES.area)
+
+
+@query
+def configured_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone types of all cells in reach, by the shipped configuration written as a file and loaded from it."""
+    config = load_zone_config(spark, shipped_zones(spark))
+    inside = zones.within_radius(cells(spark, sf_dir), config.area)
+    return zones.assign_zone_types(inside.select("h3_zone"), config.zone_types, config.random_seed)
+
+
+@query
+def zone_config_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration per customer: its sum of probabilities, and whether it is refused."""
+    return zones.probability_sums(zone_documents(spark, sf_dir), "config", "document")
+
+
 @query
 def zone_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(zones.build_zones(cells(spark, sf_dir), ZONES, F.lit(SEEDED)), "created_at", "updated_at")

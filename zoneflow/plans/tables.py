@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,6 +197,24 @@ def shipped_patterns(spark: SparkSession) -> str:
     return path
 
 
+def shipped_zones(spark: SparkSession) -> str:
+    """The shipped zone configuration as a JSON config file in the shared folder."""
+    path = new_folder(spark, "zone-config")
+    spark.range(1).select(F.lit(json.dumps(asdict(ZONES))).alias("value")).write.text(path)
+    return path
+
+
+def zone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zone configuration per customer: the nation sets one of three probabilities, so few of the sums are one."""
+    kinds = [
+        F.concat(F.lit(f'{{"zone_type_id":"{name}","probability":'), share.cast("string"), F.lit("}"))
+        for name, share in (("A", F.lit("0.1")), ("B", F.lit("0.2")), ("C", F.col("c_nationkey") / 10))]
+    document = F.concat(F.lit('{"zone_types":['), F.concat_ws(",", *kinds), F.lit("]}"))
+    return read(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("config"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", '{"zone_types":[]}').otherwise(document).alias("document"))
+
+
 def ntz(df: DataFrame, *names: str) -> DataFrame:
     """Timestamps as wall-clock UTC, as the SQL side has them."""
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})
