@@ -324,3 +324,17 @@ def test_price_stream_needs_a_lasting_checkpoint(spark, monkeypatch):
 def test_tail_offsets():
     bounds = [("t", 0, 0, 12000), ("t", 1, 9000, 12000), ("u", 0, 0, 10)]
     assert json.loads(streams.tail_offsets(bounds)) == {"t": {"0": 7000, "1": 9000}, "u": {"0": 0}}
+
+
+def test_merges_of_a_log_follow_its_bytes_and_not_its_files(spark, tmp_path):
+    """Ten files of one row each are one trigger; a limit of one byte makes every file a trigger of its own."""
+    log = f"{tmp_path}/log"
+    rows = spark.range(10).select(
+        F.concat(F.lit("z"), F.col("id") % 5).alias("h3_zone"), F.timestamp_seconds("id").alias("window_start"),
+        F.timestamp_seconds(F.col("id") + 15).alias("window_end"), F.timestamp_seconds(F.col("id") + 20).alias("calculated_at"))
+    rows.repartition(10, "window_start").write.option("maxRecordsPerFile", 1).parquet(f"{log}/query=a/batch_id=0")
+    for name, limit, merges in (("whole", {}, 1), ("cut", {"max_bytes": 1}, 10)):
+        table = BucketTable(f"{tmp_path}/{name}", "h3_zone", 2)
+        query = live.run_to_end(streams.latest_sink(streams.read_log_stream(spark, log, **limit), table, f"{tmp_path}/{name}-c"))
+        assert query.lastProgress.batchId == merges - 1
+        assert sorted(r.window_end.second for r in table.read(spark).collect()) == [20, 21, 22, 23, 24]

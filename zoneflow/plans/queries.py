@@ -24,7 +24,7 @@ from zoneflow.sources.cell_index import read_cells_within, write_cells
 from zoneflow.sources.config import load_time_patterns, load_zone_config
 from zoneflow.sources.message_log import append_messages, read_message_log
 from zoneflow.sources.price_log import Folding, log_counts, read_folded
-from zoneflow.sources.streams import count_sink, latest_sink, read_log, table_sink
+from zoneflow.sources.streams import count_sink, latest_sink, read_log, read_log_stream, table_sink
 from zoneflow.sources.zones import RATE_FIELDS, field_gaps, read_map_zones, read_zones, write_snapshot
 from zoneflow.streaming.pricing import closed_pricing_stream, pricing_stream, run_to_end, run_until_idle
 from zoneflow.streaming.state import open_windows
@@ -424,8 +424,7 @@ def stream_closed_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_latest_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second stream over the first one's update log, kept as a bucketed table with one row per zone."""
-    prices = update_log(spark, sf_dir)
-    log = spark.readStream.schema(read_log(spark, prices).schema).option("maxFilesPerTrigger", 16).parquet(f"{prices}/*/*")
+    log = read_log_stream(spark, update_log(spark, sf_dir))
     latest = BucketTable(new_folder(spark, "latest"), "h3_zone", 8)
     run_to_end(latest_sink(log, latest, new_folder(spark, "latest-checkpoint")))
     return ntz(latest.read(spark), "window_start", "window_end").drop("calculated_at")

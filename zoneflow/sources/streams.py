@@ -19,6 +19,7 @@ from zoneflow.sources.price_log import read_committed
 
 TAIL_MESSAGES = 5000  # fixed value: messages per partition a late reader starts with
 BOOTSTRAP_SERVERS = "localhost:9092"
+TRIGGER_BYTES = 256 << 20  # of a log that is read as a stream
 
 
 def kafka_options(servers: str, topics: Iterable[str], starting_offsets: str = "latest",
@@ -129,6 +130,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, logs)
 
 
+def read_log_stream(spark: SparkSession, path: str, max_bytes: int = TRIGGER_BYTES) -> DataFrame:
+    """A stream over the batches of a log that ``table_sink`` has written.
+
+    A trigger is limited by bytes, not by files: a stream writes as many files as its state is wide, however few rows they hold,
+    and a sink that merges each trigger into a table would merge once per so many files.
+    """
+    return spark.readStream.schema(read_log(spark, path).schema).option("maxBytesPerTrigger", max_bytes).parquet(f"{path}/*/*")
+
+
 def _log_of(spark: SparkSession, own: str) -> DataFrame | None:
     committed = read_committed(spark, own)
     if committed is not None:
