@@ -167,3 +167,19 @@ def test_instants_outside_utc_need_no_plain_form(spark):
             map(tuple, pricing.zone_window_pricing(df, hour, panes=False).collect()))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("window, slide", [(24, 1), (15, 4), (10, 7)])
+def test_panes_spread_only_finished_windows(spark, window, slide):
+    """Nothing is summed above the spreading, and windows equal those of events spread one by one, over several blocks."""
+    params = PricingParams(window_seconds=window, slide_seconds=slide)
+    events = spark.range(400).select(
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(900)) - 300).alias("event_time"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("z"), F.col("id") % 3)).alias("h3_zone"),
+        F.when(F.col("id") % 2 == 0, params.ride_topic).otherwise(params.driver_topic).alias("topic"),
+        F.when(F.col("id") % 5 > 0, "available").alias("status"))
+    by_panes = pricing.zone_window_pricing(events, params, True)
+    plan = by_panes._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Aggregate" in line for line in plan[:next(i for i, line in enumerate(plan) if "explode(sequence(" in line)])
+    want = pricing.zone_window_pricing(events, params, False)
+    assert sorted(map(repr, by_panes.collect())) == sorted(map(repr, want.collect()))

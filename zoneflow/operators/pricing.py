@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,19 +40,21 @@ def aggregate_zone_windows(events: DataFrame, params: PricingParams = PricingPar
 def _windows_of_panes(events: DataFrame, params: PricingParams) -> DataFrame:
     """Sliding windows from pane sums.
 
-    Panes are shuffled once more, by zone and block of time, and only then spread over their windows:
-    a block holds all panes of its windows (the few panes before it are sent to both blocks), so the
-    spread rows are summed where they are made. Blocks also cut a hot zone into even pieces.
+    A pane adds to all windows from the first to the last that hold it, so it is two changes of running sums: one at the first
+    window's start and one back after the last one's. Sums stay the same between two changes, and only what is finished is spread
+    over the windows in between; so a task sorts two rows per pane, however many windows a pane lies in. Panes are shuffled by
+    zone and block of time (those that lie across a border go to both blocks): blocks cut a hot zone into even pieces.
     """
     demand, supply = INCREMENTS
     kind = events.schema["event_time"].dataType
     window, slide = params.window_seconds, params.slide_seconds
+    length = BLOCK_WINDOWS * window // slide * slide  # a block holds whole slides
 
     def floor(seconds: Column, step: int) -> Column:
         return seconds - F.pmod(seconds, F.lit(step))
 
     def block(seconds: Column) -> Column:
-        return floor(seconds, BLOCK_WINDOWS * window)
+        return floor(seconds, length)
 
     pane = F.window("event_time", f"{params.pane_seconds} seconds").alias("pane")
     sums = events.groupBy(pane, "h3_zone").agg(F.sum(demand).alias(demand), F.sum(supply).alias(supply))
@@ -62,10 +65,22 @@ def _windows_of_panes(events: DataFrame, params: PricingParams) -> DataFrame:
     )
     blocks = F.array_distinct(F.array(block(F.col("first")), block(F.col("last"))))
     placed = covered.withColumn("block", F.explode(blocks)).repartition("block", "h3_zone")
-    spread = placed.withColumn("start", F.explode(F.sequence("first", "last", F.lit(slide).cast("long"))))
-    counts = spread.where(block(F.col("start")) == F.col("block")).groupBy("block", "h3_zone", "start").agg(
-        *_count(demand, supply)
-    )
+    begin = F.greatest("first", "block").alias("start")
+    end = F.least(F.col("last") + slide, F.col("block") + length).alias("start")
+    changes = placed.withColumn("change", F.explode(F.array(
+        F.struct(begin, F.col(demand), F.col(supply), F.lit(1).alias("panes")),
+        F.struct(end, (-F.col(demand)).alias(demand), (-F.col(supply)).alias(supply), F.lit(-1).alias("panes")),
+    ))).select("block", "h3_zone", "change.*")
+    ordered = W.partitionBy("block", "h3_zone").orderBy("start")
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # of changes at one start the last one has the sum of all; the others reach no window
+    steps = changes.select(
+        "h3_zone", "start", F.lead("start").over(ordered).alias("next"),
+        *[F.sum(name).over(so_far).alias(name) for name in (demand, supply, "panes")],
+    ).where((F.col("panes") > 0) & (F.col("next") > F.col("start")))
+    starts = F.sequence("start", F.col("next") - slide, F.lit(slide).cast("long"))
+    counts = steps.select("h3_zone", F.explode(starts).alias("start"), *[
+        F.col(name).cast("int").alias(count) for name, count in zip(INCREMENTS, COUNTS, strict=True)])
     bounds = F.struct(F.timestamp_seconds("start").cast(kind).alias("start"),
                       F.timestamp_seconds(F.col("start") + window).cast(kind).alias("end"))
     return counts.select(bounds.alias("window"), "h3_zone", *COUNTS)
