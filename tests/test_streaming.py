@@ -341,3 +341,10 @@ def test_merges_of_a_log_follow_its_bytes_and_not_its_files(spark, tmp_path):
         query = live.run_to_end(streams.latest_sink(streams.read_log_stream(spark, log, **limit), table, f"{tmp_path}/{name}-c"))
         assert query.lastProgress.batchId == merges - 1
         assert sorted(r.window_end.second for r in table.read(spark).collect()) == [20, 21, 22, 23, 24]
+
+
+def test_blocks_hold_sums_and_no_lists(spark, tmp_path):
+    put(tmp_path / "in", 0, spread(0, 10))
+    prices = live.closed_pricing_stream(decoded(spark, tmp_path / "in"), PARAMS)
+    plan = prices._jdf.queryExecution().analyzed().toString()
+    assert "collect_list" not in plan and plan.count("Aggregate [") == 2

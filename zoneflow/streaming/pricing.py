@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -27,13 +27,13 @@ def closed_pricing_stream(events: DataFrame, params: PricingParams = PricingPara
     """Priced zone windows of a stream of events, each once after it has closed, for append mode; with little state.
 
     Three steps. Events are summed into tumbling panes; a pane is handed on once the watermark has passed its end. Closed panes
-    are collected in blocks of time, each of which holds all panes of the ``block_slides`` windows that start in it. A closed
-    block is spread over its windows without any state. So an event is kept as part of one pane's row and then of a few blocks'
+    are summed in blocks of time, each of which holds all panes of the ``block_slides`` windows that start in it, with sums for
+    each of them. A closed block is spread over its windows without any state. So an event is kept as part of one pane's row and then of a few blocks'
     rows, where ``pricing_stream`` keeps a row for every window it lies in (window / slide of them).
 
     Two things differ from ``pricing_stream`` in append mode. A late event counts for all its windows or none: it is dropped once
     its pane has closed. And windows of a block come out together, up to ``block_slides - 1`` slides after the first of them
-    has closed. Zones are spread by hash, and a block's list holds at most its panes, however many events a zone has.
+    has closed. Zones are spread by hash, and a block's row has a fixed size, however many events a zone has.
     """
     if block_slides < 1:
         raise ValueError("block_slides must be at least one")
@@ -43,21 +43,21 @@ def closed_pricing_stream(events: DataFrame, params: PricingParams = PricingPara
     marked = with_indicators(events.withWatermark("event_time", params.watermark), params)
     panes = marked.groupBy(F.window("event_time", f"{params.pane_seconds} seconds"), "h3_zone").agg(
         F.sum(demand).alias(demand), F.sum(supply).alias(supply))
-    pane = F.struct(F.unix_seconds("window.start").alias("at"), demand, supply)
-    blocks = panes.withColumn("pane", pane).groupBy(
+    placed = panes.select(
         F.window(F.window_time("window"), f"{window - slide + block} seconds", f"{block} seconds").alias("block"), "h3_zone",
-    ).agg(F.collect_list("pane").alias("panes"))
-
-    def total(panes: Column, name: str) -> Column:
-        return F.aggregate(panes, F.lit(0).cast("long"), lambda sum_, pane: sum_ + pane[name]).cast("int")
-
-    first = F.unix_seconds("block.start")
-    starts = F.sequence(first, first + block - slide, F.lit(slide).cast("long"))
-    spread = blocks.select("h3_zone", F.explode(F.transform(starts, lambda start: F.struct(
-        start.alias("start"), F.filter("panes", lambda pane: (pane["at"] >= start) & (pane["at"] < start + window)).alias("panes")))).alias("found"))
-    counts = spread.where(F.size("found.panes") > 0).select(
-        F.struct(F.timestamp_seconds("found.start").alias("start"), F.timestamp_seconds(F.col("found.start") + window).alias("end")).alias("window"),
-        "h3_zone", total(F.col("found.panes"), demand).alias(COUNTS[0]), total(F.col("found.panes"), supply).alias(COUNTS[1]))
+        F.unix_seconds("window.start").alias("at"), demand, supply,
+    ).withColumn("at", F.col("at") - F.unix_seconds("block.start"))
+    # one flat sum per window and count, null without panes: no lists to merge with those in the state
+    inside = [F.col("at").between(i * slide, i * slide + window - 1) for i in range(block_slides)]
+    blocks = placed.groupBy("block", "h3_zone").agg(*[
+        F.sum(F.when(held, F.col(name))).alias(f"{name}{i}") for i, held in enumerate(inside) for name in INCREMENTS])
+    spread = blocks.select("h3_zone", F.unix_seconds("block.start").alias("first"), F.explode(F.array(*[F.struct(
+        F.lit(i * slide).alias("after"), *[F.col(f"{name}{i}").alias(name) for name in INCREMENTS],
+    ) for i in range(block_slides)])).alias("found")).where(F.col(f"found.{demand}").isNotNull()).withColumn(
+        "start", F.col("first") + F.col("found.after"))
+    counts = spread.select(
+        F.struct(F.timestamp_seconds("start").alias("start"), F.timestamp_seconds(F.col("start") + window).alias("end")).alias("window"),
+        "h3_zone", *[F.col(f"found.{name}").cast("int").alias(count) for name, count in zip(INCREMENTS, COUNTS, strict=True)])
     return price_windows(counts, params).withColumn("calculated_at", F.current_timestamp())
 
 
