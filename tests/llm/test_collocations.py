@@ -101,3 +101,25 @@ def test_cut_at_borders():
     assert words == ["b", "c", "d", "e", "f", "g"]
     assert some.joined.tolist() == [True, False, False, True, False, False]
     assert [some.langs[i].as_py() for i in some.lang] == ["x", "x", "y", "y", "y", "x"]
+
+
+def test_phrases_counted_for_a_cycle_are_not_coded_again(monkeypatch):
+    """Words that reached the threshold in scan 0 of two shards: their pairs are counted in scans 1 and 2, and gone through in 3."""
+    params, coded = C.PhraseParams(shards=2, table_bits=15), []
+    some = C.cut(pa.array(["a b c a b", "b c"]), pa.array(["x", "y"]))
+    assert some.lang.tolist() == [0] * 5 + [1] * 2 and sorted(set(some.code.tolist())) == list(range(5))
+    reached = np.full(1 << 15, C.NEVER, np.uint8)
+    for lang, word in (("x", b"a"), ("x", b"b"), ("x", b"c"), ("y", b"b"), ("y", b"c")):
+        reached[np.concatenate(C.places(np.array([C.word_hash(lang, word)], np.uint64), 1 << 15))] = 0
+    factorize = C.pd.factorize
+    monkeypatch.setattr(C.pd, "factorize", lambda codes: coded.append(len(codes)) or factorize(codes))
+    rows = [[(*r.values(),) for b in C.count_slice(some, reached, scan, params) for r in b.to_pylist()] for scan in (2, 3)]
+    assert sorted(rows[0]) == [("x", "a b", 2, 2), ("x", "b c", 2, 1), ("x", "c a", 2, 1), ("y", "b c", 2, 1)]
+    assert rows[1] == [] and coded == [5]
+
+
+def test_many_languages_and_few_words():
+    some = C.cut(pa.array(["a"] * 50), pa.array([f"l{i}" for i in range(50)]))
+    assert sorted(some.code.tolist()) == list(range(50))
+    codes = np.array([10**6, 5, 10**6])
+    assert C.numbered(codes, 10**7).tolist() == [0, 1, 0] and C.numbered(codes, 10**6 + 1).tolist() == [0, 1, 0]

@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zoneflow.llm.common import text_slices
-from zoneflow.session import new_folder
+from zoneflow.session import materialize, new_folder
 from zoneflow.sources.folders import remove
 
 #: Bytes of text that a task counts at a time.
@@ -97,13 +98,22 @@ def cut(texts: pa.Array, langs: pa.Array) -> Slice:
     words = words.dictionary_encode()
     langs = pc.fill_null(langs.cast(pa.large_string()), UNKNOWN_LANG).dictionary_encode()
     index = words.indices.to_numpy().astype(np.int64)
-    lang = langs.indices.to_numpy().astype(np.int64)[np.searchsorted(offsets, starts, "right") - 1]
-    code = pd.factorize(lang * len(words.dictionary) + index)[0]
+    lang = np.repeat(langs.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(starts, offsets)))
+    code = numbered(lang * len(words.dictionary) + index, len(langs.dictionary) * len(words.dictionary))
     joined = np.zeros(len(starts), bool)
     joined[:-1] = piece[1:] == piece[:-1]
     return Slice(langs.dictionary, words.dictionary, index, lang, code, joined)
 
 
+def numbered(codes: np.ndarray, size: int) -> np.ndarray:
+    """Codes below ``size`` as numbers from 0 without gaps; by a table of flags where that is not much larger than the codes."""
+    if size > 8 * len(codes):
+        return pd.factorize(codes)[0]
+    used = np.zeros(size, bool)
+    used[codes] = True
+    return (np.cumsum(used) - 1)[codes]
+
+
 def extend_hash(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase from the hash of all but its last word and that of the last word."""
     mixed = hashes * _MIX[0] + word
@@ -113,7 +123,12 @@ def extend_hash(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
+    return xxhash.xxh64_intdigest(word, _seed(lang))
+
+
+@lru_cache(maxsize=1024)
+def _seed(lang: str) -> int:
+    return xxhash.xxh32_intdigest(lang)
 
 
 def places(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +160,7 @@ def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParam
         lang, total = np.unique(some.lang, return_counts=True)
         yield found(np.array([np.argmax(some.lang == x) for x in lang]), 0, total)
     word = hashed[some.code]
-    hashes, ids = word, some.code
+    hashes = word
     one, two = places(hashed, len(reached))
     known = np.maximum(reached[one], reached[two])[some.code]  # scan in which the phrase at each place reached the threshold
     for n in range(2, params.max_words + 1):
@@ -153,24 +168,23 @@ def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParam
             return
         since = np.maximum(known[:-1], known[1:])
         fits = (since != NEVER) & some.joined[:len(since)] if n == 2 else since != NEVER
-        place = np.nonzero(fits)[0]
-        if not len(place):
-            return
-        since = since[place].astype(np.int64)
-        code, distinct = pd.factorize(ids[place] * kinds + some.code[place + n - 1])
-        counts = np.bincount(code[since >= scan - params.shards], minlength=len(distinct))
-        shown = np.empty(len(distinct), np.int64)
-        shown[code[::-1]] = place[::-1]
-        if counts.any():
-            yield found(shown[counts > 0], n, counts[counts > 0])
+        active = np.nonzero(fits & (since >= scan - params.shards))[0]  # others have been counted for their cycle
+        if len(active):
+            code = some.code[active]
+            for k in range(1, n):
+                code, distinct = pd.factorize(code * kinds + some.code[active + k])
+            shown = np.empty(len(distinct), np.int64)
+            shown[code[::-1]] = active[::-1]
+            yield found(shown, n, np.bincount(code, minlength=len(distinct)))
         if n < params.max_words:
+            place = np.nonzero(fits)[0]
+            if not len(place):
+                return
             every = np.zeros(len(known) - 1, np.uint64)
             every[place] = extend_hash(hashes[place], word[place + n - 1])
             one, two = places(every[place], len(reached))
             known, hashes = np.full(len(every), NEVER, np.uint8), every
             known[place] = np.maximum(reached[one], reached[two])
-            ids = np.zeros(len(every), np.int64)
-            ids[place] = code
 
 
 def _counts(shard: DataFrame, shared: Broadcast[bytes], scan: int, params: PhraseParams) -> DataFrame:
@@ -258,7 +272,8 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
     # A phrase that came up late in its cycle is not yet marked in the last table, though its cycle is over too.
     final = spark.read.schema(counted.schema).parquet(*paths).where("done").unionByName(
         counted.where("NOT done AND reached IS NOT NULL"))
-    return final.select("lang", "phrase", "n", "a")
+    # Readers use it several times, and it is small beside the counts that it is picked from.
+    return materialize(final.select("lang", "phrase", "n", "a"), "phrases")
 
 
 def collocations(docs: DataFrame, params: PhraseParams = PhraseParams()) -> DataFrame:
