@@ -38,7 +38,7 @@ from zoneflow.sources.folders import remove
 SLICE = 4 << 20
 NEVER = 255
 UNKNOWN_LANG = "und"
-COUNTS = "lang string, phrase string, n int, a long"
+COUNTS = "lang string, phrase string, n int, a long, since int"
 _WORD, _SPACE, _BREAK = 0, 1, 2
 _KIND = np.full(256, _WORD, np.uint8)
 _KIND[[0x20, 0x09]] = _SPACE
@@ -138,7 +138,8 @@ def places(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParams) -> Iterator[pa.RecordBatch]:
-    """Counts of what is active in this scan: ``(lang, phrase, n, a)`` by length, and of all words as the phrase of no words."""
+    """Counts of what is active in this scan: ``(lang, phrase, n, a, since)`` by length, and of all words as the phrase of no
+    words. ``since`` is the first scan that counts the phrase, whether it comes up there or not: entries of the table do not change."""
     if not len(some.code):
         return
     kinds = int(some.code.max()) + 1
@@ -148,17 +149,18 @@ def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParam
     hashed = np.fromiter((word_hash(names[i], words[j]) for i, j in zip(
         some.lang[at].tolist(), some.index[at].tolist(), strict=True)), np.uint64, kinds)
 
-    def found(place: np.ndarray, n: int, a: np.ndarray) -> pa.RecordBatch:
+    def found(place: np.ndarray, n: int, a: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
         parts = [some.words.take(pa.array(some.index[place + k])) for k in range(n)]
         phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if n else pa.array([b""] * len(place), pa.large_binary())
         return pa.RecordBatch.from_arrays([
             some.langs.take(pa.array(some.lang[place])).cast(pa.string()), phrase.cast(pa.binary()).cast(pa.string()),
-            pa.array(np.full(len(place), n, np.int32)), pa.array(a.astype(np.int64))], names=["lang", "phrase", "n", "a"])
+            pa.array(np.full(len(place), n, np.int32)), pa.array(a.astype(np.int64)), pa.array(first.astype(np.int32))],
+            names=["lang", "phrase", "n", "a", "since"])
 
     if scan < params.shards:
-        yield found(at, 1, np.bincount(some.code))
+        yield found(at, 1, np.bincount(some.code), np.zeros(kinds))
         lang, total = np.unique(some.lang, return_counts=True)
-        yield found(np.array([np.argmax(some.lang == x) for x in lang]), 0, total)
+        yield found(np.array([np.argmax(some.lang == x) for x in lang]), 0, total, np.zeros(len(lang)))
     word = hashed[some.code]
     hashes = word
     one, two = places(hashed, len(reached))
@@ -175,7 +177,7 @@ def count_slice(some: Slice, reached: np.ndarray, scan: int, params: PhraseParam
                 code, distinct = pd.factorize(code * kinds + some.code[active + k])
             shown = np.empty(len(distinct), np.int64)
             shown[code[::-1]] = active[::-1]
-            yield found(shown, n, np.bincount(code, minlength=len(distinct)))
+            yield found(shown, n, np.bincount(code, minlength=len(distinct)), since[shown].astype(np.int32) + 1)
         if n < params.max_words:
             place = np.nonzero(fits)[0]
             if not len(place):
@@ -245,13 +247,13 @@ def phrase_counts(docs: DataFrame, params: PhraseParams = PhraseParams()) -> Dat
     documents = spark.read.schema("lang string, text string, shard int").parquet(shards)
 
     reached = np.full(1 << params.table_bits, NEVER, np.uint8)
-    counted = spark.createDataFrame([], f"{COUNTS}, since int, reached int, done boolean")
+    counted = spark.createDataFrame([], f"{COUNTS}, reached int, done boolean")
     paths, last_change, scan = [], -1, 0
     # What reached the threshold in one scan activates longer phrases for a cycle; then nothing is left to count.
     while scan < params.shards or scan - last_change <= params.shards:
         shared = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))  # at most the table's size
         found = _counts(documents.where(F.col("shard") == scan % params.shards), shared, scan, params)
-        found = found.select("*", F.lit(scan).alias("since"), F.lit(None).cast("int").alias("reached"))
+        found = found.select("*", F.lit(None).cast("int").alias("reached"))
         merged = counted.where("NOT done").drop("done").unionByName(found).groupBy("lang", "phrase", "n").agg(
             F.sum("a").alias("a"), F.min("since").alias("since"), F.min("reached").alias("reached"))
         # What has been counted for a cycle is not merged again: it is final, and gone if it is below the threshold.
