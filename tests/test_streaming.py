@@ -348,3 +348,53 @@ def test_blocks_hold_sums_and_no_lists(spark, tmp_path):
     prices = live.closed_pricing_stream(decoded(spark, tmp_path / "in"), PARAMS)
     plan = prices._jdf.queryExecution().analyzed().toString()
     assert "collect_list" not in plan and plan.count("Aggregate [") == 2
+
+
+def test_blocks_keep_one_sum_per_window(spark, tmp_path):
+    """Demand and supply share it; a window of busy drivers alone has none of either, and comes out all the same."""
+    put(tmp_path / "in", 0, [(1, "a"), (2, "a", "available"), (3, "a", "available"), (4, "b", "busy")])
+    put(tmp_path / "in", 1, [(200, "c")])
+    prices = live.closed_pricing_stream(decoded(spark, tmp_path / "in"), PARAMS, 4)
+    plan = prices._jdf.queryExecution().analyzed().toString()
+    blocks = next(line for line in plan.splitlines() if "Aggregate [" in line and "block" in line)
+    assert blocks.count("sum(") == 4 and "explode(array(0, 1, 2, 3))" in plan
+    live.run_to_end(streams.table_sink(prices, str(tmp_path / "out"), str(tmp_path / "c"), "append"))
+    rows = streams.read_log(spark, str(tmp_path / "out")).select("h3_zone", F.second("window_start"), "demand_count", "available_driver_count")
+    assert sorted(map(tuple, rows.collect())) == [(z, s, *n) for z, n in (("a", (1, 2)), ("b", (0, 0))) for s in (0, 50, 55)]
+
+
+def _events(spark, folder, count):
+    """A table of events of its own, over ten days; returns its folder."""
+    number = F.col("id")
+    spark.range(count).select(
+        number.alias("event_id"), F.timestamp_seconds(1_704_067_200 + number * (864_000 // count)).cast("timestamp_ntz").alias("ts"),
+        (number % 7).alias("user_id"), F.when(number % 3 == 0, "click").otherwise("signup").alias("event_type"),
+        number.cast("double").alias("value"), F.lit('{"k": 1}').alias("props")).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_a_trigger_reads_its_file_in_many_tasks(spark, tmp_path, monkeypatch):
+    from pyarrow import parquet
+    from zoneflow.plans import tables
+
+    monkeypatch.setattr(tables, "ROW_GROUP_BYTES", 4096)
+    sf_dir = _events(spark, tmp_path, 40_000)
+    folder = tables.ordered_files(spark, sf_dir)
+    files = data_files(spark, f"{folder}/ontime")
+    assert len(files) == tables.STREAM_FILES and len(data_files(spark, f"{folder}/late")) == 1
+    assert all(parquet.read_metadata(name.removeprefix("file:")).num_row_groups >= 4 for name in files)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert sorted(spark.read.parquet(f"{folder}/ontime").collect()) == sorted(events.collect())
+    assert sorted(spark.read.parquet(f"{folder}/late").collect()) == sorted(events.where("ts < '2024-01-02'").collect())
+
+
+def test_logs_of_replays_have_plain_timestamps_and_leave_the_session_alone(spark, tmp_path):
+    from pyarrow import parquet
+    from zoneflow.plans import tables
+
+    before = {name: spark.conf.get(name, None) for name in tables.REPLAY_SETTINGS}
+    log = tables.update_log(spark, _events(spark, tmp_path, 1000))
+    assert {name: spark.conf.get(name, None) for name in tables.REPLAY_SETTINGS} == before
+    written = [name for name in streams.read_log(spark, log).inputFiles()]
+    kinds = {parquet.read_metadata(name.removeprefix("file://")).schema.column(1).physical_type for name in written}
+    assert kinds == {"INT64"}

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators import pricing, upsert
 from zoneflow.sources import buckets, commits, price_log, streams
 from zoneflow.sources.buckets import BucketTable
-from zoneflow.sources.folders import children
+from zoneflow.sources.folders import children, data_files
 from zoneflow.sources.price_log import Folding
 
 START = datetime(2026, 4, 24, 8)
@@ -80,6 +82,30 @@ def test_a_batch_shows_whole_or_not_at_all(spark, tmp_path, monkeypatch):
         map(tuple, pricing.compact_updates(whole).collect()))
 
 
+def test_tasks_of_a_fold_follow_its_rows(spark, tmp_path, monkeypatch):
+    """Of 8 shuffle partitions none would be written to more than 16 files, whatever the number of rows."""
+    own, names = f"{tmp_path}/query=q", [f"z{i}" for i in range(60)]
+    monkeypatch.setattr(price_log, "FOLD_ROWS", 10)
+    for number in range(4):
+        price_log.append(batch_of(spark, number, names), own, number, FOLDING)
+    state = commits.newest(spark, own)
+    assert len([name for folder in state["open"] for name in data_files(spark, f"{own}/{folder}")]) > 16
+    assert state["waiting"] == spark.read.parquet(*[f"{own}/{folder}" for folder in state["open"]]).count() > 0
+    whole = reduce(DataFrame.unionByName, [batch_of(spark, number, names) for number in range(4)])
+    assert sorted(map(tuple, price_log.read_folded(spark, str(tmp_path)).select(whole.columns).collect())) == sorted(
+        map(tuple, pricing.compact_updates(whole).collect()))
+
+
+def test_a_fold_goes_on_from_commits_that_count_no_waiting_rows(spark, tmp_path):
+    own = f"{tmp_path}/query=q"
+    price_log.append(batch_of(spark, 0), own, 0, FOLDING)
+    state = commits.newest(spark, own)
+    price_log.remove(spark, f"{own}/_commits")
+    commits.commit(spark, own, 0, {name: value for name, value in state.items() if name != "waiting"})
+    price_log.append(batch_of(spark, 1), own, 1, FOLDING)
+    assert commits.newest(spark, own)["waiting"] == price_log.read_folded(spark, str(tmp_path)).count() == 12
+
+
 def test_empty_batches_and_missing_logs(spark, tmp_path):
     own = f"{tmp_path}/query=q"
     for number in range(3):

@@ -7,9 +7,10 @@ busy) of the customer's cell; ``customer`` rows are the candidate cells. Both gr
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import asdict, replace
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,6 +110,18 @@ def segment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_FILES = 8  # pieces of time of a replayed table, one per trigger
+ROW_GROUP_BYTES = 4 << 20  # of those files: a trigger reads its one file in as many tasks as it has row groups
+#: For streams that run to their end here and whose log is read afterwards.
+REPLAY_SETTINGS = {
+    # counting the rows of a store costs one more lookup with every row put or removed
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # a store takes no more memory than its state needs, instead of 64 MB and more once that much has passed through it
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "16",
+    # the default is a 12-byte value that is made and compared as an object, three of them in every row of prices
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # a fold writes closed and open rows side by side, without sorting them apart
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
+}
 
 
 def ordered_files(spark: SparkSession, sf_dir: str, with_late: bool = True) -> str:
@@ -118,7 +131,8 @@ def ordered_files(spark: SparkSession, sf_dir: str, with_late: bool = True) -> s
     of the last file are late for every window they lie in.
     """
     folder = new_folder(spark, "events")
-    read(spark, sf_dir, "events").repartitionByRange(STREAM_FILES, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/ontime")
+    read(spark, sf_dir, "events").repartitionByRange(STREAM_FILES, "ts").sortWithinPartitions("ts").write.option(
+        "parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/ontime")
     set_order(spark, data_files(spark, f"{folder}/ontime"))
     if with_late:
         add_late_file(spark, sf_dir, folder)
@@ -129,7 +143,7 @@ def add_late_file(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The events of the first day once more, after all others."""
     events = read(spark, sf_dir, "events")
     first_day = events.agg(F.min("ts") + F.expr("INTERVAL 1 DAY")).first()[0]
-    events.where(F.col("ts") < F.lit(first_day)).coalesce(1).write.parquet(f"{folder}/late")
+    events.where(F.col("ts") < F.lit(first_day)).repartition(1).write.parquet(f"{folder}/late")
     set_order(spark, [*data_files(spark, f"{folder}/ontime"), *data_files(spark, f"{folder}/late")])
 
 
@@ -147,16 +161,17 @@ def update_log(spark: SparkSession, sf_dir: str, mode: str = "update") -> str:
 def run_log(spark: SparkSession, prices: DataFrame, mode: str = "update", folding: Folding | None = None) -> tuple[str, str]:
     """Run a stream of prices to its end; returns the folders of its log and of its checkpoint."""
     out, checkpoint = new_folder(spark, "prices"), new_folder(spark, "prices-checkpoint")
-    with state_store(spark):
+    with state_store(spark, REPLAY_SETTINGS):
         run_to_end(log_sink(prices, out, checkpoint, folding, mode) if folding else table_sink(prices, out, checkpoint, mode))
     return out, checkpoint
 
 
 @contextmanager
-def state_store(spark: SparkSession) -> Iterator[None]:
-    """The state store of ``STATE_SETTINGS`` for queries that start inside, whatever the session has."""
-    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
-    for name, value in STATE_SETTINGS.items():
+def state_store(spark: SparkSession, more: Mapping[str, str] = MappingProxyType({})) -> Iterator[None]:
+    """The state store of ``STATE_SETTINGS`` for queries that start inside, whatever the session has; ``more`` settings with it."""
+    settings = STATE_SETTINGS | more
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield

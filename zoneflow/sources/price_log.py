@@ -22,7 +22,9 @@ from zoneflow.params import PricingParams
 from zoneflow.sources.commits import commit, last_states, newest
 from zoneflow.sources.folders import children, exists, query_folder, remove, subfolders
 
-EMPTY = {"batch": -1, "rows": 0, "rewritten": 0, "end": None, "open": [], "closed": []}
+EMPTY = {"batch": -1, "rows": 0, "rewritten": 0, "waiting": 0, "end": None, "open": [], "closed": []}
+KEYS = ("h3_zone", "window_start")  # of ``compact_updates``
+FOLD_ROWS = 500_000  # rows that a task of a fold takes: its hash maps stay small, however long the log and whatever the shuffle width
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,8 @@ def append(batch: DataFrame, own: str, batch_id: int, folding: Folding) -> None:
         "rebalance").write.mode("overwrite").parquet(f"{own}/batch_id={batch_id}")
     found = seen.get
     after = state | {
-        "batch": batch_id, "rows": state["rows"] + found["rows"], "open": [*state["open"], f"batch_id={batch_id}"],
+        "batch": batch_id, "rows": state["rows"] + found["rows"],
+        "waiting": state.get("waiting", state["rows"]) + found["rows"], "open": [*state["open"], f"batch_id={batch_id}"],
         "end": max((end for end in (state["end"], found["end"]) if end is not None), default=None)}
     due = (batch_id + 1) % folding.every == 0
     if due:
@@ -86,9 +89,13 @@ def _folded(spark: SparkSession, own: str, state: dict, end: int | None, folding
         last = F.timestamp_micros(F.lit(end - folding.open_seconds * 1_000_000))
         closed = F.coalesce(F.col("window_end").cast("timestamp") <= last, F.lit(False))
     seen = Observation()
-    folding.fold(_read(spark, own, state["open"])).withColumn("_closed", closed).observe(
-        seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy("_closed").parquet(f"{own}/{name}")
-    rewritten = seen.get["rows"]
+    rows = _read(spark, own, state["open"])
+    # dealt out by key before the fold: most keys have one version, so a sum before the shuffle would only fill hash maps
+    dealt = rows.repartition(1 + state["waiting"] // FOLD_ROWS, *[key for key in KEYS if key in rows.columns])
+    folding.fold(dealt).withColumn("_closed", closed).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_closed")).alias("waiting"),
+    ).write.mode("overwrite").partitionBy("_closed").parquet(f"{own}/{name}")
+    rewritten, waiting = seen.get["rows"], seen.get["waiting"]
     parts = {flag: f"{name}/_closed={flag}" for flag in ("true", "false") if exists(spark, f"{own}/{name}/_closed={flag}")}
     runs = [*state["closed"], *([[0, parts["true"]]] if "true" in parts else [])]
     for level in range(folding.levels):
@@ -99,7 +106,8 @@ def _folded(spark: SparkSession, own: str, state: dict, end: int | None, folding
                 "rebalance").write.mode("overwrite").parquet(f"{own}/{merged}")
             runs = [run for run in runs if run[0] != level] + [[level + 1, merged]]
             rewritten += moved.get["rows"]
-    return state | {"open": [parts["false"]] if "false" in parts else [], "closed": runs, "rewritten": state["rewritten"] + rewritten}
+    return state | {
+        "open": [parts["false"]] if "false" in parts else [], "waiting": waiting, "closed": runs, "rewritten": state["rewritten"] + rewritten}
 
 
 def _sweep(spark: SparkSession, own: str) -> None:

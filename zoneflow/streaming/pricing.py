@@ -39,25 +39,27 @@ def closed_pricing_stream(events: DataFrame, params: PricingParams = PricingPara
         raise ValueError("block_slides must be at least one")
     window, slide = params.window_seconds, params.slide_seconds
     block = block_slides * slide
-    demand, supply = INCREMENTS
+    # both counts travel as one number, demand above supply, which halves the rows kept; as they come out as ints, 32 bits hold each
     marked = with_indicators(events.withWatermark("event_time", params.watermark), params)
-    panes = marked.groupBy(F.window("event_time", f"{params.pane_seconds} seconds"), "h3_zone").agg(
-        F.sum(demand).alias(demand), F.sum(supply).alias(supply))
+    both = F.shiftleft(F.col(INCREMENTS[0]).cast("long"), 32) + F.col(INCREMENTS[1])
+    panes = marked.groupBy(F.window("event_time", f"{params.pane_seconds} seconds"), "h3_zone").agg(F.sum(both).alias("events"))
     placed = panes.select(
         F.window(F.window_time("window"), f"{window - slide + block} seconds", f"{block} seconds").alias("block"), "h3_zone",
-        F.unix_seconds("window.start").alias("at"), demand, supply,
+        F.unix_seconds("window.start").alias("at"), "events",
     ).withColumn("at", F.col("at") - F.unix_seconds("block.start"))
-    # one flat sum per window and count, null without panes: no lists to merge with those in the state
-    inside = [F.col("at").between(i * slide, i * slide + window - 1) for i in range(block_slides)]
-    blocks = placed.groupBy("block", "h3_zone").agg(*[
-        F.sum(F.when(held, F.col(name))).alias(f"{name}{i}") for i, held in enumerate(inside) for name in INCREMENTS])
-    spread = blocks.select("h3_zone", F.unix_seconds("block.start").alias("first"), F.explode(F.array(*[F.struct(
-        F.lit(i * slide).alias("after"), *[F.col(f"{name}{i}").alias(name) for name in INCREMENTS],
-    ) for i in range(block_slides)])).alias("found")).where(F.col(f"found.{demand}").isNotNull()).withColumn(
-        "start", F.col("first") + F.col("found.after"))
+    # one flat sum per window, null without panes: no lists to merge with those in the state
+    sums = [F.sum(F.when(F.col("at").between(i * slide, i * slide + window - 1), F.col("events"))).alias(f"events{i}")
+            for i in range(block_slides)]
+    blocks = placed.groupBy("block", "h3_zone").agg(*sums)
+    # numbers are spread and sums picked by them: an array of structs would make an object of every window and field
+    numbers = F.explode(F.array(*[F.lit(i) for i in range(block_slides)])).alias("i")
+    picked = F.expr("CASE i " + " ".join(f"WHEN {i} THEN events{i}" for i in range(block_slides)) + " END")
+    spread = blocks.select("*", F.unix_seconds("block.start").alias("first"), numbers).select(
+        "h3_zone", (F.col("first") + F.col("i") * slide).alias("start"), picked.alias("events")).where("events IS NOT NULL")
     counts = spread.select(
         F.struct(F.timestamp_seconds("start").alias("start"), F.timestamp_seconds(F.col("start") + window).alias("end")).alias("window"),
-        "h3_zone", *[F.col(f"found.{name}").cast("int").alias(count) for name, count in zip(INCREMENTS, COUNTS, strict=True)])
+        "h3_zone", F.shiftright("events", 32).cast("int").alias(COUNTS[0]),
+        F.col("events").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(COUNTS[1]))
     return price_windows(counts, params).withColumn("calculated_at", F.current_timestamp())
 
 
